@@ -1,6 +1,6 @@
 """Registered queries, grouped like the operators they exercise."""
 
-from salesline.plans import cleaning, features
+from salesline.plans import cleaning, datasets, features
 from salesline.registry import QUERIES, SQL, Query
 
 
@@ -12,4 +12,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
-__all__ = ["cleaning", "features", "queries", "oracle_sql"]
+__all__ = ["cleaning", "datasets", "features", "queries", "oracle_sql"]

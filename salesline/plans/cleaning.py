@@ -252,16 +252,20 @@ for _strategy, _expr in (
 for _strategy, _expr in (
     ("ffill", _fill_sql("last_value", "ffill", "store_id, product_id")),
     ("bfill", _fill_sql("first_value", "bfill", "store_id, product_id")),
-    ("mean", "round(coalesce(value, avg(value) OVER (PARTITION BY store_id, product_id)), 7)"),
+    ("mean", "coalesce(value, avg(value) OVER (PARTITION BY store_id, product_id))"),
 ):
 
     def _fill_series(spark, sf, strategy=_strategy):
-        rows = dirty_sales(spark, sf).select("rid", "store_id", "product_id", "date", "value")
+        cents = F.round(F.col("value") * 100).alias("value")
+        rows = dirty_sales(spark, sf).select("rid", "store_id", "product_id", "date", cents)
         keys = ("store_id", "product_id")
-        out = clean.fill_missing(rows, ["value"], strategy, keys=keys).select("rid", "value")
-        return rounded(out, {"value": 7}) if strategy == "mean" else out
+        return clean.fill_missing(rows, ["value"], strategy, keys=keys).select("rid", "value")
 
-    query(f"d2_fill_{_strategy}_series", f"WITH {DIRTY_SQL} SELECT rid, {_expr} AS value FROM dirty_sales")(_fill_series)
+    query(
+        f"d2_fill_{_strategy}_series",
+        f"""WITH {DIRTY_SQL}, t AS (SELECT rid, store_id, product_id, date, round(value * 100) AS value FROM dirty_sales)
+        SELECT rid, {_expr} AS value FROM t""",
+    )(_fill_series)
 
 
 @query(
