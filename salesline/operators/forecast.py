@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesline.functions.calendar import calendar_columns, cyclic_columns, fourier_columns
 from salesline.operators.windows import LAGS, WINDOWS, min_rows
-from salesline.session import cut_lineage
 
 # Blend of the weekday factor, and history the factors need.
 SEASONAL_STRENGTH = 0.7
@@ -110,7 +110,19 @@ class PostProcessing:
         return self.original(raw) if self.log1p and self.bias_in_log else self.original(raw) + self.bias
 
     def bounded(self, yhat: Column) -> Column:
-        return F.greatest(yhat, F.lit(float(self.floor if self.floor > 0 else 0.0)))
+        return F.greatest(yhat, F.lit(float(self.lowest)))
+
+    @property
+    def lowest(self) -> float:
+        return self.floor if self.floor > 0 else 0.0
+
+    def scores(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of a batch in the original scale, and with the bias taken into account."""
+        if not self.log1p:
+            return raw, raw + self.bias
+        with np.errstate(over="ignore"):
+            original = np.expm1(raw + self.bias if self.bias_in_log else raw) - self.shift
+        return original, original if self.bias_in_log else original + self.bias
 
     def seasonal(self, yhat: Column, factor: Column) -> Column:
         return F.greatest(blend(yhat, factor, self.strength), F.lit(0.0))
@@ -121,7 +133,7 @@ def usable_score(raw: Column, last_value: Column, lags: Sequence[Column] = ()) -
     finite = raw.isNotNull() & ~F.isnan(raw) & (F.abs(raw) != float("inf"))
     if lags:
         unknown = sum((c.isNull().cast("int") for c in lags), F.lit(0))
-        finite = finite & (unknown < max(len(lags) // 2, 0))
+        finite = finite & (unknown < len(lags) // 2)
     return F.when(finite, raw).otherwise(last_value)
 
 
@@ -199,144 +211,162 @@ def series_state(
     )
 
 
-def _recent(size: int) -> Column:
-    """The known ones of the newest values."""
-    return F.filter(F.slice("_tail", 1, size), lambda v: v.isNotNull())
+OUTPUT = (
+    "ds date, step int, yhat double, raw_model double, pred_orig double, corrected double, "
+    "before_seasonality double, dow int"
+)
+Score = Callable[[pd.DataFrame], np.ndarray]
+
+
+def _rolling(recent: np.ndarray, size: int) -> dict[str, np.ndarray]:
+    """Statistics of the newest ``size`` values of every series, unknown ones left out."""
+    x = recent[:, :size]
+    known = ~np.isnan(x)
+    n = known.sum(axis=1)
+    enough = n >= min_rows(size)
+    total = np.where(known, x, 0.0).sum(axis=1)
+    mean = np.where(enough, total / np.maximum(n, 1), np.nan)
+    spread = np.where(known, (x - mean[:, None]) ** 2, 0.0).sum(axis=1)
+    return {
+        f"roll_mean_{size}": mean,
+        f"roll_std_{size}": np.where(enough, np.sqrt(spread / np.maximum(n - 1, 1)), 0.0),
+        f"roll_min_{size}": np.where(enough, np.where(known, x, np.inf).min(axis=1), np.nan),
+        f"roll_max_{size}": np.where(enough, np.where(known, x, -np.inf).max(axis=1), np.nan),
+    }
 
 
-def state_features(lags: Sequence[int], windows: Sequence[int]) -> dict[str, Column]:
-    """The lag, rolling and weighted features of the day after the state."""
-    out: dict[str, Column] = {f"lag_{k}": F.get("_tail", F.lit(k - 1)) for k in lags}
+def _calendar(day: np.ndarray) -> dict[str, np.ndarray]:
+    """The calendar features, named as in training."""
+    d = pd.DatetimeIndex(day)
+    week = d.isocalendar().week.to_numpy(dtype=float)
+    out = {
+        "year": d.year, "month": d.month, "day": d.day, "day_of_month": d.day, "quarter": d.quarter,
+        "dayofweek": d.dayofweek, "is_weekend": d.dayofweek >= 5, "week_of_year": week, "dayofyear": d.dayofyear,
+        "is_month_start": d.is_month_start, "is_month_end": d.is_month_end,
+    }
+    waves = [("month", d.month, 12, 1, ""), ("dow", d.dayofweek, 7, 1, ""), ("week", week, 52, 1, "")]
+    waves.append(("day_of_year", d.dayofyear, 365.25, 1, ""))
+    waves += [("fourier_yearly", d.dayofyear, 365.25, k, f"_{k}") for k in (1, 2)]
+    for name, x, period, turns, suffix in waves:
+        angle = 2 * np.pi * turns * np.asarray(x, dtype=float) / period
+        out[f"{name}_sin{suffix}"], out[f"{name}_cos{suffix}"] = np.sin(angle), np.cos(angle)
+    return {k: np.asarray(v, dtype=float) for k, v in out.items()}
+
+
+def _combined(f: dict[str, np.ndarray], windows: Sequence[int]) -> dict[str, np.ndarray]:
+    """Differences, ratios and ranges of the lag and rolling features, named as in training."""
+    out = {}
+    for a, b in ((1, 7), (7, 14), (1, 14)):
+        if f"lag_{a}" in f and f"lag_{b}" in f:
+            out[f"lag_diff_{a}_{b}"] = f[f"lag_{a}"] - f[f"lag_{b}"]
+    if "lag_1" in f and "lag_7" in f:
+        out["lag_ratio_1_7"] = f["lag_1"] / np.where(f["lag_7"] != 0, f["lag_7"], np.nan)
+    if "lag_7" in f and "lag_14" in f:
+        out["ratio_lag7_lag14"] = f["lag_7"] / (np.where(f["lag_14"] != 0, f["lag_14"], np.nan) + 1e-9)
+        out["diff_lag7_lag14"] = f["lag_7"] - f["lag_14"]
     for w in windows:
-        values = _recent(w)
-        n = F.size(values).cast("double")
-        enough = n >= min_rows(w)
-        total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-        out[f"roll_mean_{w}"] = F.when(enough, total / n)
-        out[f"_sq_{w}"] = F.aggregate(
-            values, F.lit(0.0), lambda a, v, t=total, m=n: a + (v - t / m) * (v - t / m)
-        )
-        out[f"roll_std_{w}"] = F.coalesce(F.when(enough, F.sqrt(F.col(f"_sq_{w}") / (n - 1))), F.lit(0.0))
-        out[f"roll_min_{w}"] = F.when(enough, F.array_min(values))
-        out[f"roll_max_{w}"] = F.when(enough, F.array_max(values))
-        out[f"ewma_{w}"] = F.when(F.col("_known") >= min_rows(w), F.try_divide(f"_num_{w}", f"_den_{w}"))
+        mean = np.where(f[f"roll_mean_{w}"] != 0, f[f"roll_mean_{w}"], np.nan)
+        out[f"roll_cv_{w}"] = np.clip(np.nan_to_num(f[f"roll_std_{w}"] / mean, nan=0.0), -10, 10)
+        out[f"roll_range_{w}"] = f[f"roll_max_{w}"] - f[f"roll_min_{w}"]
     return out
 
 
-def add_state_features(state: DataFrame, lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS) -> DataFrame:
-    features = state_features(lags, windows)
-    squares = {c: e for c, e in features.items() if c.startswith("_sq_")}
-    rest = {c: e for c, e in features.items() if c not in squares}
-    return state.withColumns(squares).withColumns(rest).drop(*squares)
-
-
-def _advance(state: DataFrame, yhat: str, keep: int, windows: Sequence[int]) -> DataFrame:
-    """Append the forecast to the state."""
-    new = F.col(yhat)
-    cols = {
-        "_tail": F.slice(F.concat(F.array(new), F.col("_tail")), 1, keep),
-        "_known": F.col("_known") + 1,
-        "_last_date": F.date_add("_last_date", 1),
-    }
-    for s in windows:
-        r = 1 - 2 / (s + 1)
-        cols[f"_num_{s}"] = F.col(f"_num_{s}") * r + new
-        cols[f"_den_{s}"] = F.col(f"_den_{s}") * r + 1
-    return state.withColumns(cols)
-
-
 def recursive_forecast(
     df: DataFrame,
     keys: Sequence[str],
     horizon: int,
-    score: Callable[[DataFrame], DataFrame],
+    score: Score,
     lags: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
     post: PostProcessing = PostProcessing(),
-    derive: Callable[[DataFrame], DataFrame] | None = None,
     carry: Sequence[str] = (),
     seasonal: bool = True,
     observed_row: bool = False,
-    cut_every: int = 5,
 ) -> DataFrame:
     """Forecast day by day, each step using the forecasts before it; all series advance together.
 
-    ``score`` adds ``raw_model`` to a table of features; ``derive`` adds further features. A step is a
-    narrow transformation of one row per series, so nothing is shuffled after the state is built.
-    ``observed_row=True`` scores the features of the last observed day instead of the day to forecast.
+    Spark reduces every series to one state row; batches of state rows then take all steps at once,
+    so nothing is shuffled or stored per step. ``score`` gets a table of features, one row per series,
+    with unknown cells as 0, and returns the raw scores. ``carry`` names numeric columns whose last
+    value is a feature; ``on_promo`` is always 0. ``observed_row=True`` scores the features of the
+    last observed day instead of those of the day to forecast.
     """
     check_horizon(horizon)
     keep = max(*lags, *windows) + 1
-    state = series_state(df, keys, tuple(lags) + (keep,), windows, carry=carry)
-    state = state.where("_last_value is not null")
+    state = series_state(df, keys, (*lags, keep), windows, carry=carry).where("_last_value is not null")
     if seasonal:
-        factors = weekly_factors(df, keys).groupBy(*keys).agg(
-            F.map_from_entries(F.collect_list(F.struct("dow", "factor"))).alias("_factors")
-        )
-        state = state.join(factors, list(keys), "left")
+        factors = weekly_factors(df, keys)
+        by_day = [F.max(F.when(F.col("dow") == d, F.col("factor"))).alias(f"_f{d}") for d in range(7)]
+        state = state.join(factors.groupBy(*keys).agg(*by_day), list(keys), "left")
     else:
-        state = state.withColumn("_factors", F.lit(None).cast("map<int,double>"))
-    state = state.withColumn("_steps", F.lit(None).cast("array<" + STEP_TYPE + ">"))
-    state = cut_lineage(state.withColumn("_steps", F.array().cast("array<" + STEP_TYPE + ">")))
-    columns = state.columns
-    for step in range(1, horizon + 1):
-        day = F.col("_last_date") if observed_row else F.date_add("_last_date", 1)
-        rows = _older_state(state, windows) if observed_row else state
-        rows = add_state_features(rows, lags, windows)
-        if observed_row:
-            rows = rows.withColumns({c: F.col(f"_kept_{c}") for c in _moving(windows)})
-        rows = rows.withColumn("date", day)
-        when = F.col("date")
-        rows = rows.withColumns({**calendar_columns(when), **cyclic_columns(when), **fourier_columns(when)})
-        if derive:
-            rows = derive(rows)
-        rows = score(rows)
-        raw = F.col("raw_model")
-        lag_cols = [F.col(f"lag_{k}") for k in lags]
-        rows = rows.withColumns({"_orig": post.original(raw), "_corr": post.corrected(raw)})
-        rows = rows.withColumn("_flat", post.bounded(usable_score(F.col("_corr"), F.col("_last_value"), lag_cols)))
-        next_day = F.date_add("_last_date", 1)
-        factor = F.try_element_at("_factors", F.weekday(next_day))
-        yhat = F.when(F.col("_factors").isNotNull(), post.seasonal(F.col("_flat"), factor)).otherwise(F.col("_flat"))
-        rows = rows.withColumn("_yhat", yhat)
-        point = F.struct(
-            next_day.alias("ds"),
-            F.lit(step).alias("step"),
-            F.bround("_yhat", 2).alias("yhat"),
-            F.bround(raw, 6).alias("raw_model"),
-            F.bround("_orig", 6).alias("pred_orig"),
-            F.bround("_corr", 6).alias("corrected"),
-            F.bround("_flat", 2).alias("before_seasonality"),
-            F.weekday(next_day).alias("dow"),
-        ).cast(STEP_TYPE)
-        rows = rows.withColumn("_steps", F.concat("_steps", F.array(point)))
-        state = _advance(rows, "_yhat", keep, windows).select(*columns)
-        if step % cut_every == 0 and step < horizon:
-            state = cut_lineage(state)
-    return state.select(*keys, F.inline("_steps"))
-
-
-STEP_TYPE = (
-    "struct<ds:date,step:int,yhat:double,raw_model:double,pred_orig:double,corrected:double,"
-    "before_seasonality:double,dow:int>"
-)
-
-
-def _moving(windows: Sequence[int]) -> list[str]:
-    return ["_tail", "_known", *[f"_{p}_{s}" for s in windows for p in ("num", "den")]]
-
-
-def _older_state(state: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """The state one day earlier, so that features describe the last observed day."""
-    rows = state.withColumns({f"_kept_{c}": F.col(c) for c in _moving(windows)})
-    newest = F.get("_tail", F.lit(0))
-    known = newest.isNotNull()
-    cols = {"_known": F.col("_known") - known.cast("long"), "_tail": F.slice("_tail", 2, 100_000)}
-    for s in windows:
-        r = 1 - 2 / (s + 1)
-        cols[f"_num_{s}"] = (F.col(f"_num_{s}") - F.coalesce(newest, F.lit(0.0))) / r
-        cols[f"_den_{s}"] = (F.col(f"_den_{s}") - known.cast("double")) / r
-    return rows.withColumns(cols)
+        state = state.withColumns({f"_f{d}": F.lit(None).cast("double") for d in range(7)})
+    rates = {s: 1 - 2 / (s + 1) for s in windows}
+
+    def features(recent, known, sums, day, rows) -> dict[str, np.ndarray]:
+        f = {f"lag_{k}": recent[:, k - 1] for k in lags}
+        for w in windows:
+            f |= _rolling(recent, w)
+            num, den = sums[w]
+            usable = (known >= min_rows(w)) & (den > 0)
+            f[f"ewma_{w}"] = np.where(usable, num / np.where(den > 0, den, 1.0), np.nan)
+        f |= _combined(f, windows) | _calendar(day)
+        f |= {c: rows[c].to_numpy(dtype=float) for c in carry}
+        f["on_promo"] = np.zeros(len(rows))
+        return f
+
+    def advance(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            n = len(rows)
+            recent = np.full((n, keep), np.nan)
+            for i, tail in enumerate(rows["_tail"]):
+                recent[i, : len(tail)] = np.asarray(tail, dtype=float)
+            known = rows["_known"].to_numpy(dtype=float)
+            sums = {s: (rows[f"_num_{s}"].to_numpy(float), rows[f"_den_{s}"].to_numpy(float)) for s in windows}
+            day = pd.to_datetime(rows["_last_date"]).to_numpy("datetime64[D]")
+            last = rows["_last_value"].to_numpy(dtype=float)
+            factors = rows[[f"_f{d}" for d in range(7)]].to_numpy(dtype=float)
+            for step in range(1, horizon + 1):
+                next_day = day + np.timedelta64(1, "D")
+                if observed_row:
+                    newest = recent[:, 0]
+                    seen = ~np.isnan(newest)
+                    older = np.hstack([recent[:, 1:], np.full((n, 1), np.nan)])
+                    before = {
+                        s: ((a - np.nan_to_num(newest)) / rates[s], (b - seen) / rates[s]) for s, (a, b) in sums.items()
+                    }
+                    f = features(older, known - seen, before, day, rows)
+                else:
+                    f = features(recent, known, sums, next_day, rows)
+                lag_cells = np.column_stack([v for c, v in f.items() if c.startswith("lag_")])
+                table = pd.DataFrame({c: np.nan_to_num(v, nan=0.0) for c, v in f.items()})
+                raw = np.asarray(score(table), dtype=float)
+                original, corrected = post.scores(raw)
+                too_few = np.isnan(lag_cells).sum(axis=1) >= lag_cells.shape[1] // 2
+                flat = np.where(np.isfinite(corrected) & ~too_few, corrected, last)
+                flat = np.maximum(flat, post.lowest)
+                dow = pd.DatetimeIndex(next_day).dayofweek.to_numpy()
+                factor = factors[np.arange(n), dow]
+                moved = np.maximum(flat * (1 + post.strength * (factor - 1)), 0.0)
+                yhat = np.where(np.isnan(factor), flat, moved)
+                yield pd.DataFrame(
+                    {
+                        **{k: rows[k] for k in keys},
+                        "ds": next_day.astype("datetime64[s]"),
+                        "step": np.int32(step),
+                        "yhat": np.round(yhat, 2),
+                        "raw_model": np.round(raw, 6),
+                        "pred_orig": np.round(original, 6),
+                        "corrected": np.round(corrected, 6),
+                        "before_seasonality": np.round(flat, 2),
+                        "dow": dow.astype(np.int32),
+                    }
+                ).assign(ds=lambda t: t["ds"].dt.date)
+                recent = np.hstack([yhat[:, None], recent[:, :-1]])
+                known, day = known + 1, next_day
+                sums = {s: (a * rates[s] + yhat, b * rates[s] + 1) for s, (a, b) in sums.items()}
+
+    types = dict(state.dtypes)
+    return state.mapInPandas(advance, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", " + OUTPUT)
 
 
 def forecast_errors(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

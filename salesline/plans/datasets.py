@@ -366,11 +366,11 @@ def score_sql(source: str) -> str:
 
 @query(
     "j10_j11_model_scores",
-    f"WITH {MODELS_SQL}, s AS ({score_sql('model_metrics')}) SELECT model, round(mae, 6) AS mae, score, verdict FROM s",
+    f"WITH {MODELS_SQL}, s AS ({score_sql('model_metrics')}) SELECT model, round(mae, 4) AS mae, score, verdict FROM s",
 )
 def model_scores(spark, sf):
     out = metrics.score_models(model_metrics(spark, sf)).select("model", "mae", "score", "verdict")
-    return rounded(out, {"mae": 6})
+    return rounded(out, {"mae": 4})
 
 
 ENTRIES_SQL = MODELS_SQL + """,
@@ -414,11 +414,11 @@ def metric_entries(spark, sf) -> DataFrame:
 @query(
     "j8_normalized_metrics",
     f"""WITH {ENTRIES_SQL} SELECT file AS model, upper(replace(replace(replace(replace(path, '_test_corrected', ''), '_test', ''),
-      'metrics.test.', ''), 'test.', '')) AS metric, round(number, 6) AS number FROM entries
+      'metrics.test.', ''), 'test.', '')) AS metric, round(number, 4) AS number FROM entries
     WHERE path NOT IN ('seed', 'test.mae') AND path <> 'MAE_test'""",
 )
 def normalized_metrics(spark, sf):
-    return rounded(metrics.normalize_metrics(metric_entries(spark, sf)), {"number": 6})
+    return rounded(metrics.normalize_metrics(metric_entries(spark, sf)), {"number": 4})
 
 
 @query(
@@ -437,17 +437,17 @@ def backend_labels(spark, sf):
       max(number) FILTER (path IN ('MAE_test_corrected', 'metrics.test.mae')) AS mae,
       max(number) FILTER (path IN ('RMSE_test', 'metrics.test.rmse')) AS rmse,
       max(number) FILTER (path IN ('R2_test', 'metrics.test.r2')) AS r2 FROM entries GROUP BY file),
-    s AS ({score_sql('wide')}) SELECT model, round(mae, 6) AS mae, round(rmse, 4) AS rmse, round(r2, 8) AS r2, score, verdict FROM s""",
+    s AS ({score_sql('wide')}) SELECT model, round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(r2, 8) AS r2, score, verdict FROM s""",
 )
 def model_summary(spark, sf):
     out = metrics.summarize_models(metrics.normalize_metrics(metric_entries(spark, sf)))
-    return rounded(out, {"mae": 6, "rmse": 4, "r2": 8})
+    return rounded(out, {"mae": 4, "rmse": 4, "r2": 8})
 
 
 @query(
     "j13_browse_metrics",
-    f"""WITH {ENTRIES_SQL} SELECT file AS model, path, round(number, 6) AS number FROM entries WHERE file LIKE '%prophet%'""",
+    f"""WITH {ENTRIES_SQL} SELECT file AS model, path, round(number, 4) AS number FROM entries WHERE file LIKE '%prophet%'""",
 )
 def browse_metrics(spark, sf):
     rows = metric_entries(spark, sf).where(metrics.backend_label(F.col("model")) == "Prophet")
-    return rounded(rows, {"number": 6})
+    return rounded(rows, {"number": 4})
