@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -51,9 +52,16 @@ def first_digits(text: Column) -> Column:
     return F.when(run != "", run).try_cast("bigint")
 
 
+def _shape(layout: str) -> str:
+    """A pattern of the texts a layout can read."""
+    digits = re.sub("[yMdHms]+", lambda m: rf"\d{{{len(m[0])}}}", layout.replace("'", "").replace(".", r"\."))
+    return f"^{digits}$"
+
+
 def timestamp_by_layouts(text: Column, layouts: Sequence[str]) -> Column:
-    """The first layout that fits decides."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in layouts]).cast("timestamp_ntz")
+    """The first layout that fits decides. A failed parse is dear, so the shape is checked first."""
+    tries = [F.when(text.rlike(_shape(p)), F.try_to_timestamp(text, F.lit(p))) for p in layouts]
+    return F.when(text.rlike(r"^\d+[-/.]\d+[-/.]\d+"), F.coalesce(*tries).cast("timestamp_ntz"))
 
 
 def day_first_date(text: Column) -> Column:
