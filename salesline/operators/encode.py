@@ -9,45 +9,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesline.operators.ordering import range_blocks, row_index, running_sum
+from salesline.session import broadcast_if_small, cut_lineage
 
 
 def fit_labels(df: DataFrame, col: str, blocks: int | None = None) -> DataFrame:
     """``(<col>, code)``: codes from 0 in sorted order of the categories."""
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return row_index(distinct, [col], name="code", blocks=blocks).withColumn("code", F.col("code").cast("int"))
+    codes = row_index(distinct, [col], name="code", blocks=blocks)
+    return cut_lineage(codes.withColumn("code", F.col("code").cast("int")))
 
 
 def apply_labels(df: DataFrame, col: str, labels: DataFrame, name: str | None = None) -> DataFrame:
     """Categories without a code, and unknown ones, get -1."""
-    dim = labels.select(F.col(col).alias("_cat"), F.col("code").alias("_code"))
+    dim = broadcast_if_small(labels.select(F.col(col).alias("_cat"), F.col("code").alias("_code")))
     coded = df.join(dim, F.col(col) == F.col("_cat"), "left").withColumn(
         name or col, F.coalesce(F.col("_code"), F.lit(-1))
     )
     return coded.drop("_cat", "_code")
 
 
+def fit_all_labels(df: DataFrame, cols: Sequence[str], blocks: int | None = None) -> dict[str, DataFrame]:
+    """The label tables of several columns, from one pass."""
+    names = [f"c{i}" for i in range(len(cols))]
+    texts = df.select(*[F.col(c).cast("string").alias(n) for c, n in zip(cols, names)])
+    long = texts.unpivot([], names, "_name", "_cat").where("_cat is not null").distinct()
+    codes = row_index(long, ["_cat"], ["_name"], "code", blocks).withColumn("code", F.col("code").cast("int"))
+    codes = cut_lineage(codes)
+    return {c: codes.where(F.col("_name") == n).select(F.col("_cat").alias(c), "code") for c, n in zip(cols, names)}
+
+
 def encode_categorical(
     df: DataFrame, cols: Sequence[str], encoders: dict[str, DataFrame] | None = None
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Replace categories by codes; learns the encoders that are not given."""
+    """Replace text categories by codes; learns the encoders that are not given."""
     known = dict(encoders or {})
+    cols = [c for c in cols if c in df.columns]
+    new = [c for c in cols if c not in known]
+    if new:
+        known |= fit_all_labels(df, new)
     for c in cols:
-        if c not in df.columns:
-            continue
-        if c not in known:
-            known[c] = fit_labels(df, c)
         df = apply_labels(df, c, known[c])
     return df, known
 
 
-def fit_target_means(df: DataFrame, col: str, target: str = "value", smoothing: float = 10.0) -> DataFrame:
+def category_sums(df: DataFrame, cols: Sequence[str], target: str = "value") -> DataFrame:
+    """Sum and count of the target for each combination of categories: all that encoders need."""
+    return df.groupBy(*cols).agg(F.sum(target).alias("_sum"), F.count(target).alias("_n"))
+
+
+def means_from_sums(sums: DataFrame, col: str, smoothing: float = 10.0) -> DataFrame:
     """``(<col>, encoded, global_mean)``; a null category row carries the global mean alone."""
-    whole = df.agg(F.avg(target)).scalar()
-    stats = df.groupBy(col).agg(F.avg(target).alias("_mean"), F.count(target).alias("_n"))
-    smooth = (F.col("_n") * F.col("_mean") + smoothing * F.col("_g")) / (F.col("_n") + smoothing)
-    return stats.withColumn("_g", whole).select(
-        col, F.when(F.col(col).isNotNull(), smooth).alias("encoded"), F.col("_g").alias("global_mean")
-    )
+    whole = sums.agg(F.sum("_sum") / F.sum("_n")).scalar()
+    stats = sums.groupBy(col).agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")).withColumn("_g", whole)
+    smooth = (F.coalesce("_sum", F.lit(0.0)) + smoothing * F.col("_g")) / (F.col("_n") + smoothing)
+    known = F.col(col).isNotNull() & (F.col("_n") > 0)
+    return stats.select(col, F.when(known, smooth).alias("encoded"), F.col("_g").alias("global_mean"))
+
+
+def fit_target_means(df: DataFrame, col: str, target: str = "value", smoothing: float = 10.0) -> DataFrame:
+    return means_from_sums(cut_lineage(category_sums(df, [col], target)), col, smoothing)
 
 
 def apply_target_means(
@@ -58,7 +78,7 @@ def apply_target_means(
     if encoder is None:
         return df.withColumn(name, df.agg(F.avg(target)).scalar())
     whole = encoder.agg(F.max("global_mean")).scalar()
-    dim = encoder.select(F.col(col).alias("_cat"), F.col("encoded").alias("_enc"))
+    dim = broadcast_if_small(encoder.select(F.col(col).alias("_cat"), F.col("encoded").alias("_enc")))
     joined = df.join(dim, F.col(col) == F.col("_cat"), "left")
     return joined.withColumn(name, F.coalesce(F.col("_enc"), whole)).drop("_cat", "_enc")
 

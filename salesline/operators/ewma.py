@@ -3,7 +3,8 @@
 With ``r = 1 - alpha`` a weight ``r ** age`` falls below 1e-18 after a block of ``B`` rows. Inside a
 block the sums of ``x * r ** -j`` stay in range; the two blocks before add theirs, scaled by
 ``r ** B`` each. The mean is taken where a value is known, where its own weight is 1, and carried
-over unknown rows, which is what an adjusted mean with ageing over gaps gives.
+over unknown rows, which is what an adjusted mean with ageing over gaps gives. Spans share blocks as
+long as the shortest of them stays in range, so that one sort serves all of them.
 """
 
 from __future__ import annotations
@@ -18,39 +19,59 @@ from salesline.operators.ordering import Series, carry, over_series, range_block
 from salesline.operators.windows import WINDOWS
 
 
+def _rate(span: int) -> float:
+    return 1 - 2 / (span + 1)
+
+
 def block_rows(span: int) -> int:
-    return int(math.log(1e-18) / math.log(1 - 2 / (span + 1)))
+    """Rows after which a weight no longer counts."""
+    return int(math.log(1e-18) / math.log(_rate(span)))
+
+
+def _range_rows(span: int) -> int:
+    """Rows after which the inverse weight would leave the range of a double."""
+    return int(math.log(1e-280) / math.log(_rate(span)))
 
 
-def _weighted_mean(x: Column, span: int, w: WindowSpec, keys: Sequence[str]) -> tuple[dict[str, Column], Column]:
-    """Helper columns, in the order to add them, and the mean at rows where ``_x`` is known."""
-    size, rate = block_rows(span), 1 - 2 / (span + 1)
+def span_groups(spans: Sequence[int]) -> list[list[int]]:
+    """Spans that can share blocks."""
+    groups: list[list[int]] = []
+    for s in sorted(spans):
+        if groups and block_rows(s) <= _range_rows(groups[-1][0]):
+            groups[-1].append(s)
+        else:
+            groups.append([s])
+    return groups
+
+
+def _known_means(rows: DataFrame, spans: Sequence[int], w: WindowSpec, keys: Sequence[str]) -> DataFrame:
+    """Add ``_m_<span>``, the mean at rows where ``_x`` is known; ``_et`` numbers the rows of a series."""
+    size, x = block_rows(max(spans)), F.col("_x")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys, "_eb").orderBy("_et").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_eb", F.floor(F.col("_et") / size).cast("long"))
     age = F.col("_et") - F.col("_eb") * size
-    up = F.pow(F.lit(rate), -age)
+    names = [f"{p}{s}_" for s in spans for p in ("_n", "_d")]
+    terms = {}
+    for s in spans:
+        up = F.pow(F.lit(_rate(s)), -age)
+        terms[f"_n{s}_t"] = F.coalesce(x * up, F.lit(0.0))
+        terms[f"_d{s}_t"] = F.when(x.isNotNull(), up).otherwise(0.0)
+    rows = rows.withColumns(terms)
+    rows = rows.withColumns({f"{n}0": F.sum(f"{n}t").over(inside) for n in names}).drop(*terms)
     last_row = age == size - 1
+    for k in (1, 2):
+        before = {
+            f"{n}{k}": F.coalesce(F.last(F.when(last_row, F.col(f"{n}{k - 1}")), ignorenulls=True).over(earlier), F.lit(0.0))
+            for n in names
+        }
+        rows = rows.withColumns(before)
 
-    def of_block_before(c: str) -> Column:
-        return F.coalesce(F.last(F.when(last_row, F.col(c)), ignorenulls=True).over(earlier), F.lit(0.0))
-
-    steps = [
-        {"_eb": F.floor(F.col("_et") / size).cast("long")},
-        {
-            "_n0": F.coalesce(F.sum(x * up).over(inside), F.lit(0.0)),
-            "_d0": F.coalesce(F.sum(F.when(x.isNotNull(), up)).over(inside), F.lit(0.0)),
-        },
-        {"_n1": of_block_before("_n0"), "_d1": of_block_before("_d0")},
-        {"_n2": of_block_before("_n1"), "_d2": of_block_before("_d1")},
-    ]
+    def total(name: str, s: int) -> Column:
+        return sum((F.col(f"{name}{k}") * F.pow(F.lit(_rate(s)), age + k * size) for k in range(3)), F.lit(0.0))
 
-    def total(letter: str) -> Column:
-        out = F.lit(0.0)
-        for k in range(3):
-            out = out + F.col(f"_{letter}{k}") * F.pow(F.lit(rate), age + k * size)
-        return out
-
-    return steps, F.when(x.isNotNull(), total("n") / total("d"))
+    means = {f"_m_{s}": F.when(x.isNotNull(), total(f"_n{s}_", s) / total(f"_d{s}_", s)) for s in spans}
+    return rows.withColumns(means).drop("_eb", *[f"{n}{k}" for n in names for k in range(3)])
 
 
 def add_ewma(
@@ -61,48 +82,49 @@ def add_ewma(
     min_count: int | None = None,
 ) -> DataFrame:
     """``ewma_<span>`` of the rows before each row; needs ``max(span // 2, 3)`` known values."""
-    if series.daily:
-        w = series.window()
-        rows = df.withColumn("_et", (F.row_number().over(w) - 1).cast("long"))
-        rows = rows.withColumn("_x", F.lag(F.col(value).cast("double"), 1).over(w))
-        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-        for span in spans:
-            steps, mean = _weighted_mean(F.col("_x"), span, w, series.keys)
-            for step in steps:
-                rows = rows.withColumns(step)
-            need = min_count or max(span // 2, 3)
-            enough = (F.count("_x").over(so_far) >= need) & series.key_present()
-            rows = rows.withColumn("_m", mean).withColumn(
-                f"ewma_{span}", F.when(enough, F.last("_m", ignorenulls=True).over(so_far))
+    need = {s: min_count or max(s // 2, 3) for s in spans}
+    if not series.daily:
+        return _add_long_ewma(df, value, spans, series, need)
+    w = series.window()
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.withColumns(
+        {"_et": (F.row_number().over(w) - 1).cast("long"), "_x": F.lag(F.col(value).cast("double"), 1).over(w)}
+    )
+    for group in span_groups(spans):
+        rows = _known_means(rows, group, w, series.keys)
+    rows = rows.withColumns(
+        {
+            f"ewma_{s}": F.when(
+                (F.count("_x").over(so_far) >= need[s]) & series.key_present(),
+                F.last(f"_m_{s}", ignorenulls=True).over(so_far),
             )
-        return rows.drop("_et", "_x", "_eb", "_m", *[f"_{c}{k}" for c in "nd" for k in range(3)])
-
-    out = df
-    for span in spans:
-        out = _add_long_ewma(out, value, span, series, min_count or max(span // 2, 3))
-    return out
+            for s in spans
+        }
+    )
+    return rows.drop("_et", "_x", *[f"_m_{s}" for s in spans])
 
 
-def _add_long_ewma(df: DataFrame, value: str, span: int, series: Series, need: int) -> DataFrame:
+def _add_long_ewma(
+    df: DataFrame, value: str, spans: Sequence[int], series: Series, need: dict[int, int]
+) -> DataFrame:
     """Blocks of rows with a reach of two weight blocks; gaps and counts carried over all blocks."""
 
     def add(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        rows = rows.withColumn("_et", (F.row_number().over(w) - 1).cast("long"))
-        rows = rows.withColumn("_x", F.lag(F.col(value).cast("double"), 1).over(w))
-        steps, mean = _weighted_mean(F.col("_x"), span, w, [*series.keys, "b"])
-        for step in steps:
-            rows = rows.withColumns(step)
-        helpers = ["_et", "_eb", *[f"_{c}{k}" for c in "nd" for k in range(3)]]
-        return rows.withColumn("_m", mean).drop(*helpers)
-
-    means = over_series(df, series, 2 * block_rows(span) + 2, add)
+        rows = rows.withColumns(
+            {"_et": (F.row_number().over(w) - 1).cast("long"), "_x": F.lag(F.col(value).cast("double"), 1).over(w)}
+        )
+        for group in span_groups(spans):
+            rows = _known_means(rows, group, w, [*series.keys, "b"])
+        return rows.drop("_et")
+
+    means = over_series(df, series, 2 * block_rows(max(spans)) + 2, add)
     blocks = range_blocks(means, [*series.keys, *series.order], series.blocks)
     counted = running_sum(blocks, {"_known": F.col("_x").isNotNull().cast("long")}, series.keys)
-    filled = carry(counted, ["_m"], series.keys)
-    enough = (F.col("_known") >= need) & series.key_present()
-    return filled.withColumn(f"ewma_{span}", F.when(enough, F.col("_c__m"))).drop(
-        "_blk", "_pos", "_known", "_x", "_m", "_c__m"
-    )
+    filled = carry(counted, [f"_m_{s}" for s in spans], series.keys)
+    out = {
+        f"ewma_{s}": F.when((F.col("_known") >= need[s]) & series.key_present(), F.col(f"_c__m_{s}")) for s in spans
+    }
+    return filled.withColumns(out).select(*df.columns, *out)
 
 
 def add_store_ewma(df: DataFrame, value: str = "value", date: str = "date") -> DataFrame:

@@ -13,6 +13,7 @@ from salesline.operators import encode, windows
 from salesline.operators.conform import feature_names
 from salesline.operators.ewma import add_ewma, add_store_ewma
 from salesline.operators.ordering import Series
+from salesline.session import cut_lineage
 
 # Columns that never are features of a model.
 NOT_FEATURES = ("value", "date", "id", "category", "revenue", "unit_price", "email", "quantity")
@@ -62,20 +63,26 @@ def build_features(
     encoders: Encoders | None = None,
     horizon: int = 1,
 ) -> tuple[DataFrame, Encoders]:
-    """Features with the encoders they were built with. Given encoders are applied as they are."""
+    """Features with the encoders they were built with. Given encoders are applied as they are.
+
+    New encoders are learned from one grouped pass over the input, stored because it is small.
+    """
     out = numeric_features(df, value, date, lags, sizes, keys, horizon)
     keys = [c for c in GROUP_COLUMNS if c in out.columns] if keys is None else list(keys)
     types = dict(out.dtypes)
     texts = [c for c in keys if types[c] == "string"]
-    if encoders is None:
-        out, means = encode.add_target_encoding(out, texts, value)
-        known = Encoders(means=means)
-    else:
-        for c in texts:
-            out = encode.apply_target_means(out, c, encoders.means.get(c), value)
-        known = encoders
     if categories is None:
         categories = [c for c, t in out.dtypes if t == "string"]
+    known = encoders
+    if known is None:
+        base = windows.add_crosses(add_time_features(feature_names(df), date))
+        sums = cut_lineage(encode.category_sums(base, sorted({*texts, *categories}), value))
+        known = Encoders(
+            encode.fit_all_labels(sums, categories) if categories else {},
+            {c: encode.means_from_sums(sums, c) for c in texts},
+        )
+    for c in texts:
+        out = encode.apply_target_means(out, c, known.means.get(c), value)
     out, labels = encode.encode_categorical(out, categories, known.labels)
     return out, Encoders(labels, known.means)
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The most rows of a table of two or three short columns that every executor may hold.
+BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "salesline", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,3 +52,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later plans start from stored rows."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a narrow table for broadcast if counting shows it is small; a larger one is joined by shuffle.
+
+    Meant for tables that are stored already, so that the count costs little.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
