@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from salesline.functions.parsing import scrub
 from salesline.operators.ordering import carry, range_blocks
-from salesline.operators.quantiles import exact_quantiles
+from salesline.operators.quantiles import quantiles_of, value_counts
+from salesline.session import broadcast_if_small, cut_lineage
 
 # Fixed value: the largest believable quantity of one row.
 QUANTITY_CAP = 10_000
@@ -81,8 +82,8 @@ def outlier_flag(
     if keys:
         rows = df.join(df.groupBy(*keys).agg(*stats), list(keys), "left")
     else:
-        one = df.agg(*stats)
-        rows = df.withColumns({"_mean": one.select("_mean").scalar(), "_std": one.select("_std").scalar()})
+        one = df.agg(*stats).select(F.struct("*")).scalar()
+        rows = df.withColumns({"_mean": one["_mean"], "_std": one["_std"]})
     z = F.abs((F.col(value) - F.col("_mean")) / F.when(F.col("_std") > 0, F.col("_std")))
     return rows.withColumn(name, F.coalesce(z > threshold, F.lit(False))).drop("_mean", "_std")
 
@@ -106,12 +107,12 @@ def cap_quantity(
 ) -> DataFrame:
     """Replace impossible quantities by the product's median of believable ones, unknown ones by the
     overall median. ``by_product=False`` uses the overall median for both."""
-    good = df.where(F.col(quantity) <= cap).select(product, quantity)
-    overall = exact_quantiles(good, quantity, {"median": 0.5}, (), blocks).select("median").scalar()
+    counts = cut_lineage(value_counts(df.where(F.col(quantity) <= cap), quantity, [product] if by_product else []))
+    overall = quantiles_of(counts, {"median": 0.5}, (), blocks).select("median").scalar()
     if not by_product:
         return df.withColumn(quantity, F.when(F.col(quantity) <= cap, F.col(quantity)).otherwise(overall))
-    medians = exact_quantiles(good, quantity, {"_median": 0.5}, (product,), blocks)
-    medians = medians.where(F.col(product).isNotNull())
+    medians = quantiles_of(counts, {"_median": 0.5}, (product,), blocks)
+    medians = broadcast_if_small(cut_lineage(medians.where(F.col(product).isNotNull())))
     joined = df.join(medians, product, "left")
     fixed = (
         F.when(F.col(quantity) <= cap, F.col(quantity))
@@ -150,7 +151,8 @@ def clean(
     rows = fill_missing(rows, [value], strategy, order, keys, blocks)
     if fill_others:
         rows = fill_other_columns(rows, fill_others, order, keys, blocks)
-    rows = remove_outliers(rows, value, threshold)
+    # Filling shuffles all rows; what follows passes over them several times.
+    rows = remove_outliers(cut_lineage(rows), value, threshold)
     if "quantity" in rows.columns:
         rows = cap_quantity(rows, by_product=by_product and "product_id" in rows.columns, blocks=blocks)
         if "price" in rows.columns:

@@ -60,8 +60,19 @@ def range_blocks(df: DataFrame, order: Sequence[str | Column], blocks: int | Non
     )
 
 
+def _parts(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k) for k in keys] or [F.lit(0)]
+
+
+def _spanning(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Summary rows of keys found in several blocks. The blocks are ordered by key, so a block holds
+    at most two such keys: its first and its last."""
+    found = F.count(F.lit(1)).over(Window.partitionBy(*_parts(keys)))
+    return summary.withColumn("_nb", found).where("_nb > 1").drop("_nb")
+
+
 def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach one summary row per (key, block); null keys meet null keys."""
+    """Attach summary rows, at most two per block and so small; null keys meet null keys."""
     renamed = summary.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(BLOCK).alias("_kb"),
@@ -70,58 +81,61 @@ def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> D
     cond = rows[BLOCK] == renamed["_kb"]
     for i, k in enumerate(keys):
         cond = cond & rows[k].eqNullSafe(renamed[f"_k{i}"])
-    return rows.join(renamed, cond, "left").drop("_kb", *[f"_k{i}" for i in range(len(keys))])
-
-
-def _over_blocks(keys: Sequence[str], descending: bool = False) -> WindowSpec:
-    parts = [F.col(k) for k in keys] or [F.lit(0)]
-    order = F.col(BLOCK).desc() if descending else F.col(BLOCK).asc()
-    return Window.partitionBy(*parts).orderBy(order)
+    joined = rows.join(F.broadcast(renamed), cond, "left")
+    return joined.drop("_kb", *[f"_k{i}" for i in range(len(keys))])
 
 
 def carry(
     rows: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), forward: bool = True, prefix: str = "_c_"
 ) -> DataFrame:
-    """Nearest known value at or before (``forward``) or at or after each row, per key."""
+    """Nearest known value at or before (``forward``) or at or after each row, per key.
+
+    ``rows`` are range blocks whose order starts with the keys.
+    """
     pick = F.max_by if forward else F.min_by
     summary = rows.groupBy(*keys, BLOCK).agg(
         *[pick(c, F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_s_{c}") for c in cols]
     )
-    before = _over_blocks(keys, descending=not forward).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(
+    order = F.col(BLOCK).asc() if forward else F.col(BLOCK).desc()
+    before = Window.partitionBy(*_parts(keys)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = _spanning(summary, keys).select(
         *keys, BLOCK, *[F.last(f"_s_{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in cols]
     )
-    joined = _join_summary(rows, summary, keys)
+    joined = _join_summary(rows, carried, keys)
     pos = F.col(POS).asc() if forward else F.col(POS).desc()
-    inside = (
-        Window.partitionBy(*keys, BLOCK).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    for c in cols:
-        joined = joined.withColumn(
-            f"{prefix}{c}", F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_b_{c}"))
-        )
-    return joined.drop(*[f"_b_{c}" for c in cols])
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    filled = {
+        f"{prefix}{c}": F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_b_{c}")) for c in cols
+    }
+    return joined.withColumns(filled).drop(*[f"_b_{c}" for c in cols])
 
 
 def running_sum(
     rows: DataFrame, sums: dict[str, str | Column], keys: Sequence[str] = (), totals: bool = False
 ) -> DataFrame:
-    """Inclusive running sums in row order, per key; ``totals`` adds ``<name>_total`` of the key."""
+    """Inclusive running sums in row order, per key; ``totals`` adds ``<name>_total`` of the key.
+
+    ``rows`` are range blocks whose order starts with the keys.
+    """
     held = rows.withColumns({f"_v_{n}": F.col(e) if isinstance(e, str) else e for n, e in sums.items()})
     summary = held.groupBy(*keys, BLOCK).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums])
-    before = _over_blocks(keys).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*([F.col(k) for k in keys] or [F.lit(0)]))
+    of_key = Window.partitionBy(*_parts(keys))
+    before = of_key.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     outs = [F.sum(f"_s_{n}").over(before).alias(f"_b_{n}") for n in sums]
     if totals:
-        outs += [F.sum(f"_s_{n}").over(whole).alias(f"{n}_total") for n in sums]
-    joined = _join_summary(held, summary.select(*keys, BLOCK, *outs), keys)
-    inside = (
-        Window.partitionBy(*keys, BLOCK).orderBy(POS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    for n in sums:
-        here, earlier = F.sum(f"_v_{n}").over(inside), F.col(f"_b_{n}")
-        joined = joined.withColumn(n, F.coalesce(here, F.lit(0)) + F.coalesce(earlier, F.lit(0)))
-    return joined.drop(*[f"_v_{n}" for n in sums], *[f"_b_{n}" for n in sums])
+        outs += [F.sum(f"_s_{n}").over(of_key).alias(f"_w_{n}") for n in sums]
+    joined = _join_summary(held, _spanning(summary, keys).select(*keys, BLOCK, *outs), keys)
+    here = Window.partitionBy(*keys, BLOCK)
+    inside = here.orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0)
+    new = {
+        n: F.coalesce(F.sum(f"_v_{n}").over(inside), zero) + F.coalesce(F.col(f"_b_{n}"), zero) for n in sums
+    }
+    if totals:
+        whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        new |= {f"{n}_total": F.coalesce(F.col(f"_w_{n}"), F.sum(f"_v_{n}").over(whole)) for n in sums}
+    helpers = [f"_{p}_{n}" for n in sums for p in ("v", "b", "w")]
+    return joined.withColumns(new).drop(*helpers)
 
 
 def row_index(

@@ -96,12 +96,11 @@ def missing_summary(df: DataFrame) -> DataFrame:
 def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, threshold: float = 3.0) -> DataFrame:
     """Outliers of every numeric column, and their sum as ``(all)``."""
     cols = list(cols or numeric_columns(df))
-    stats = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{p}_{c}") for c in cols for p, f in (("m", F.avg), ("s", F.stddev_samp))]
-    )
+    both = [f(F.col(c).cast("double")).alias(f"{p}_{c}") for c in cols for p, f in (("m", F.avg), ("s", F.stddev_samp))]
+    stats = df.agg(*both).select(F.struct("*")).scalar()
     marks = []
     for c in cols:
-        mean, std = stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()
+        mean, std = stats[f"m_{c}"], stats[f"s_{c}"]
         far = F.abs(F.col(c) - mean) / F.when(std > 0, std) > threshold
         marks.append(F.count_if(far).alias(c))
     row = df.agg(*marks)
@@ -116,7 +115,8 @@ def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
     if not 10 <= bins <= 100:
         raise ValueError("between 10 and 100 bins")
     span = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    ends = span.select(F.struct("lo", "hi")).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     x = F.col(value).cast("double")
     place = F.when(hi > lo, F.least(F.floor((x - lo) / ((hi - lo) / bins)), F.lit(bins - 1))).otherwise(0)
     counts = df.where(F.col(value).isNotNull()).groupBy(place.cast("int").alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
@@ -186,7 +186,7 @@ def _dense_rank(rows: DataFrame, col: str, name: str) -> DataFrame:
     tops = rows.groupBy(BLOCK).agg(F.max(col).alias("_top"))
     before = Window.partitionBy(F.lit(0)).orderBy(BLOCK)
     tops = tops.select(F.col(BLOCK).alias("_kb"), F.lag("_top").over(before).alias("_prev"))
-    joined = rows.join(tops, F.col(BLOCK) == F.col("_kb")).drop("_kb")
+    joined = rows.join(F.broadcast(tops), F.col(BLOCK) == F.col("_kb")).drop("_kb")
     above = F.coalesce(F.lag(col).over(Window.partitionBy(BLOCK).orderBy(POS)), F.col("_prev"))
     fresh = (above.isNull() | (above != F.col(col))).cast("long")
     ranked = running_sum(joined.withColumn("_new", fresh), {name: "_new"})

@@ -26,7 +26,16 @@ def exact_quantiles(
     blocks: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one column per named probability."""
-    counts = range_blocks(value_counts(df, value, keys), [*keys, "_value"], blocks)
+    return quantiles_of(value_counts(df, value, keys), probabilities, keys, blocks)
+
+
+def quantiles_of(
+    counted: DataFrame, probabilities: dict[str, float], keys: Sequence[str] = (), blocks: int | None = None
+) -> DataFrame:
+    """Quantiles from ``value_counts``, which may be counted by more than the keys."""
+    if set(counted.columns) != {*keys, "_value", "_n"}:
+        counted = counted.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n"))
+    counts = range_blocks(counted, [*keys, "_value"], blocks)
     rows = running_sum(counts, {"_end": "_n"}, keys, totals=True)
     first, last = F.col("_end") - F.col("_n"), F.col("_end") - 1
 
@@ -46,7 +55,3 @@ def exact_quantiles(
             for n in probabilities
         ],
     )
-
-
-def median_of(df: DataFrame, value: str, blocks: int | None = None) -> DataFrame:
-    return exact_quantiles(df, value, {"median": 0.5}, (), blocks)

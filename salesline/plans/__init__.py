@@ -1,6 +1,6 @@
 """Registered queries, grouped like the operators they exercise."""
 
-from salesline.plans import cleaning, datasets, features, forecasting, reports, sources, training
+from salesline.plans import cleaning, datasets, features, forecasting, reports, sources, streams, training
 from salesline.registry import QUERIES, SQL, Query
 
 
@@ -12,4 +12,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(SQL)
 
 
-__all__ = ["cleaning", "datasets", "features", "forecasting", "reports", "sources", "training", "queries", "oracle_sql"]
+__all__ = ["cleaning", "datasets", "features", "forecasting", "reports", "sources", "streams", "training"]

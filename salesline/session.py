@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that later plans start from stored rows."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` as a table in the shared folder, so that later plans start from its rows.
+
+    Later passes read only the columns they need, and nothing is lost with an executor.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
