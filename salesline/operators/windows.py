@@ -14,6 +14,11 @@ from salesline.operators.ordering import Series, over_series, range_blocks, runn
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (7, 14, 28)
 
+# Names of features whose first number says how far back they reach.
+FAMILIES = (
+    "lag", "roll_mean", "roll_std", "roll_min", "roll_max", "roll_range", "roll_cv", "ewma", "lag_diff", "lag_ratio",
+)
+
 
 def min_rows(window: int) -> int:
     """Known values a frame needs before it gives a result."""
@@ -128,9 +133,15 @@ def add_cumulative_sum(
 
 def drop_short_lags(df: DataFrame, horizon: int) -> DataFrame:
     """Drop ready-made lag and window columns that reach back less than the horizon."""
-    known = re.compile(r"^(?:lag|roll|ewma|ratio_lag|diff_lag)\D*?_?(\d+)")
-    short = [c for c in df.columns if (m := known.match(c)) and int(m.group(1)) < horizon]
-    return df.drop(*short)
+
+    def reach(column: str) -> int | None:
+        for f in sorted(FAMILIES, key=len, reverse=True):
+            if column.startswith(f + "_"):
+                number = re.match(r"\d+", column[len(f) + 1 :])
+                return int(number[0]) if number else None
+        return None
+
+    return df.drop(*[c for c in df.columns if (reach(c) or horizon) < horizon])
 
 
 def drop_warm_up(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -140,5 +140,6 @@ def test_short_window_is_refused(table):
 
 
 def test_drop_short_lags(spark):
-    df = spark.createDataFrame([(1,) * 7], "lag_7 int, lag_14 int, roll_mean_7 int, ewma_28 int, ratio_lag7_lag14 int, value int, price int")
-    assert windows.drop_short_lags(df, 14).columns == ["lag_14", "ewma_28", "value", "price"]
+    names = ["lag_7", "lag_14", "roll_mean_7", "ewma_28", "lag_diff_1_7", "ratio_lag7_lag14", "lag_note", "value"]
+    df = spark.createDataFrame([tuple(range(8))], names)
+    assert windows.drop_short_lags(df, 14).columns == ["lag_14", "ewma_28", "ratio_lag7_lag14", "lag_note", "value"]
