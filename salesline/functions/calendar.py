@@ -53,6 +53,7 @@ def add_time_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 def add_holiday_flag(df: DataFrame, holidays: DataFrame, date_col: str = "date") -> DataFrame:
     """``is_holiday`` from a table of holiday dates."""
-    days = holidays.select(F.col(date_col).alias("_day")).where("_day is not null").distinct()
-    joined = df.join(days, F.to_date(date_col) == F.col("_day"), "left")
+    # Distinct days: the calendar bounds the table.
+    days = holidays.select(F.to_date(date_col).alias("_day")).where("_day is not null").distinct()
+    joined = df.join(F.broadcast(days), F.to_date(date_col) == F.col("_day"), "left")
     return joined.withColumn("is_holiday", F.col("_day").isNotNull().cast("int")).drop("_day")

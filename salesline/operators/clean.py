@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesline.functions.parsing import scrub
 from salesline.operators.ordering import carry, range_blocks
 from salesline.operators.quantiles import quantiles_of, value_counts
-from salesline.session import broadcast_if_small, cut_lineage
+from salesline.session import cut_lineage, join_small
 
 # Fixed value: the largest believable quantity of one row.
 QUANTITY_CAP = 10_000
@@ -48,7 +48,7 @@ def fill_missing(
     if strategy == "mean":
         if keys:
             means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-            joined = df.join(means, list(keys), "left")
+            joined = join_small(df, means, keys)
             return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in cols}).drop(
                 *[f"_m_{c}" for c in cols]
             )
@@ -80,7 +80,7 @@ def outlier_flag(
     """True where the value is more than ``threshold`` sample deviations from the mean."""
     stats = [F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")]
     if keys:
-        rows = df.join(df.groupBy(*keys).agg(*stats), list(keys), "left")
+        rows = join_small(df, df.groupBy(*keys).agg(*stats), keys)
     else:
         one = df.agg(*stats).select(F.struct("*")).scalar()
         rows = df.withColumns({"_mean": one["_mean"], "_std": one["_std"]})
@@ -112,8 +112,7 @@ def cap_quantity(
     if not by_product:
         return df.withColumn(quantity, F.when(F.col(quantity) <= cap, F.col(quantity)).otherwise(overall))
     medians = quantiles_of(counts, {"_median": 0.5}, (product,), blocks)
-    medians = broadcast_if_small(cut_lineage(medians.where(F.col(product).isNotNull())))
-    joined = df.join(medians, product, "left")
+    joined = join_small(df, medians.where(F.col(product).isNotNull()), [product])
     fixed = (
         F.when(F.col(quantity) <= cap, F.col(quantity))
         .when(F.col(quantity) > cap, F.coalesce(F.col("_median"), overall))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesline.functions.parsing import promo_flag
 from salesline.operators.ordering import Series, row_index
+from salesline.session import join_small
 
 # Share of the training rows kept for validation, and the clip before the inverse log.
 VALIDATION_SHARE = 0.15
@@ -102,7 +103,8 @@ def expanding_folds(
             (F.row_number().over(Window.orderBy("_day")) - 1).cast("long").alias("_i"),
             F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("_n"),
         )
-        rows = df.join(ranked, F.col(date) == F.col("_day")).drop("_day")
+        # One row per day: the calendar bounds the table.
+        rows = df.join(F.broadcast(ranked), F.col(date) == F.col("_day")).drop("_day")
     else:
         raise ValueError("by must be 'date' or 'row'")
     rows = rows.withColumn("_k", k).withColumn("fold", F.explode(F.sequence(F.lit(1), F.col("_k"))))
@@ -146,7 +148,7 @@ def mean_fallback(
     """Forecast of series without a model: their mean, else the mean of all; never below 0."""
     means = train.groupBy(*keys).agg(F.avg(target).alias("_m"))
     whole = train.agg(F.avg(target)).scalar()
-    joined = test.join(means, list(keys), "left")
+    joined = join_small(test, means, keys)
     return joined.withColumn(name, F.greatest(F.lit(0.0), F.coalesce(F.col("_m"), whole))).drop("_m")
 
 

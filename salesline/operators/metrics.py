@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesline.session import join_small
+
 # Score weights, and the lowest R2 of each verdict.
 WEIGHTS = {"mae": 0.4, "rmse": 0.4, "r2": 0.2}
 VERDICTS = (
@@ -48,7 +50,7 @@ def bias_corrected(
     known = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     bias = F.avg(F.col(yhat) - F.col(y)).alias("_bias")
     if keys:
-        rows = known.join(known.groupBy(*keys).agg(bias), list(keys))
+        rows = join_small(known, known.groupBy(*keys).agg(bias), keys)
     else:
         rows = known.withColumn("_bias", known.agg(bias).scalar())
     better = F.col(yhat) - F.col("_bias")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join a grouped table, computed once; if it is small no row of ``df`` moves, however
+    unevenly the keys are spread."""
+    return df.join(broadcast_if_small(cut_lineage(table)), list(keys), "left")
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a narrow table for broadcast if counting shows it is small; a larger one is joined by shuffle.
 

@@ -154,29 +154,38 @@ def forecast_records(forecasts: DataFrame, method: str, keys: Sequence[str]) ->
     )
 
 
+def _lanes(digest: Column) -> list[Column]:
+    """Two 60-bit numbers of a digest."""
+    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint").alias(n) for at, n in ((1, "a"), (17, "b"))]
+
+
+def _lane_sums() -> list[Column]:
+    """Combined lanes: the same for the same rows in any order."""
+    out = [F.count(F.lit(1)).alias("rows")]
+    out += [F.coalesce(F.bit_xor(n), F.lit(0).cast("bigint")).alias(f"xor_{n}") for n in "ab"]
+    out += [F.coalesce(F.sum(F.col(n).cast("decimal(20,0)")).cast("string"), F.lit("0")).alias(f"sum_{n}") for n in "ab"]
+    return out
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row that is the same for the same rows in any order and any column order."""
     cells = [F.coalesce(F.concat(F.lit("V"), F.col(f"`{c}`").cast("string")), F.lit("N")) for c in sorted(df.columns)]
-    digest = F.md5(F.concat_ws("\x1f", *cells))
-
-    def lane(start: int) -> Column:
-        return F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
-
-    lanes = df.select(lane(1).alias("a"), lane(17).alias("b"))
-    return lanes.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.bit_xor("a"), F.lit(0).cast("bigint")).alias("xor_a"),
-        F.coalesce(F.bit_xor("b"), F.lit(0).cast("bigint")).alias("xor_b"),
-        F.coalesce(F.sum(F.col("a").cast("decimal(20,0)")).cast("string"), F.lit("0")).alias("sum_a"),
-        F.coalesce(F.sum(F.col("b").cast("decimal(20,0)")).cast("string"), F.lit("0")).alias("sum_b"),
-    )
+    return df.select(*_lanes(F.md5(F.concat_ws("\x1f", *cells)))).agg(*_lane_sums())
 
 
 def duplicate_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Checksums that more than one file shares, with their number and first name."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    hashed = files.select(F.sha2("content", 256).alias("checksum"), F.element_at(F.split("path", "/"), -1).alias("file"))
-    return hashed.groupBy("checksum").agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("first_file")).where("files > 1")
+    """Files of the same size with the same lines: the checksum, how many there are, the first name.
+
+    Lines are hashed where they are read, so a large file is never held whole.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    hashed = lines.select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("size"), *_lanes(F.md5("value"))
+    )
+    per_file = hashed.groupBy("file", "size").agg(*_lane_sums())
+    checksum = F.sha2(F.concat_ws("-", "size", "rows", "xor_a", "xor_b", "sum_a", "sum_b"), 256)
+    named = per_file.select(checksum.alias("checksum"), "file")
+    return named.groupBy("checksum").agg(F.count(F.lit(1)).alias("files"), F.min("file").alias("first_file")).where("files > 1")
 
 
 def ingest_record(raw: DataFrame, conformed: DataFrame, source: str, mapping: dict[str, str]) -> DataFrame:
