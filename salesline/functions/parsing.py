@@ -72,7 +72,8 @@ def request_timestamp(text: Column) -> Column:
     """Dates as requests write them: seconds since 1970, ISO, or one of the known layouts."""
     t = F.trim(text)
     seconds = t.try_cast("double")
-    epoch = F.timestamp_micros((seconds * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
     return F.when(seconds.isNotNull() & t.rlike(r"^[0-9]+(\.[0-9]+)?$"), epoch).otherwise(
         timestamp_by_layouts(t, REQUEST_LAYOUTS)
     )

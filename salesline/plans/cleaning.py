@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salesline.functions import parsing
 from salesline.operators import clean, repair
-from salesline.plans.views import DIRTY_SQL, TEXT_SQL, dirty_sales, dirty_text, table
+from salesline.plans.views import DIRTY_SQL, TEXT_SQL, dirty_sales, dirty_text, sales_line, table
 from salesline.registry import query, rounded
 
 # ------------------------------------------------------------------------------------------- parsing
@@ -79,12 +79,10 @@ def day_first(spark, sf):
       {layouts_sql('txt', ('%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y', '%Y/%m/%d', '%d-%m-%Y'))} END AS parsed_at FROM asked""",
 )
 def request_dates(spark, sf):
-    from salesline.plans.views import sales_line
-
     true_date = sales_line(spark, sf).select("rid", "date")
     asked = dirty_text(spark, sf).join(true_date, "rid")
     at = (
-        F.when(F.col("rid") % 5 == 0, F.unix_timestamp(F.col("date").cast("timestamp")).cast("string"))
+        F.when(F.col("rid") % 5 == 0, (F.unix_date("date").cast("bigint") * 86_400).cast("string"))
         .when(F.col("rid") % 5 == 1, F.date_format("date", "MM/dd/yyyy"))
         .otherwise(F.col("sold_on"))
     )
@@ -222,7 +220,7 @@ def harmonize(spark, sf):
 )
 def utc_timestamps(spark, sf):
     """Event times with a zone, taken back to plain UTC."""
-    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("date"))
+    rows = table(spark, sf, "events").select("event_id", F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z"))).alias("date"))
     return clean.harmonize_dates(rows)
 
 

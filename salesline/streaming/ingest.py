@@ -55,10 +55,10 @@ def ingest_new_files(
 
 
 def daily_totals(stream: DataFrame, value: str = "value", ts: str = "ts", late: str = "2 days") -> DataFrame:
-    """Sum and count per day; rows later than ``late`` are left out of days already closed."""
+    """Sum and count per UTC day; rows later than ``late`` are left out of days already closed."""
     return (
         stream.withWatermark(ts, late)
         .groupBy(F.window(ts, "1 day").alias("_w"))
         .agg(F.sum(value).alias("total"), F.count(value).alias("n"))
-        .select(F.to_date("_w.start").alias("date"), "total", "n")
+        .select(F.to_date(F.to_utc_timestamp("_w.start", F.current_timezone())).alias("date"), "total", "n")
     )
