@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from salesline.llm import decontaminate, perspectives
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from salesline.llm import decontaminate, langid, perspectives, sentencepieces
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -29,3 +32,19 @@ def op8(spark, sf):
     """Benchmark passages in documents."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find_contamination(docs, table(spark, sf, "benchmark")))
+
+
+@query("op5_language_filters")
+def op5(spark, sf):
+    """The language of every document."""
+    docs = table(spark, sf, "documents")
+    model = langid.fit_languages(langid.learned_rows(docs))
+    found = langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query("op7_sentencepiece")
+def op7(spark, sf):
+    """Piece ids of every document, and the text they stand for."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return sentencepieces.encode_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
