@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesline.llm import decontaminate, langid, perspectives, sentencepieces
+from salesline.llm import decontaminate, langid, perspectives, sentencepieces, topk, warc
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -48,3 +48,16 @@ def op7(spark, sf):
     """Piece ids of every document, and the text they stand for."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return sentencepieces.encode_digests(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
+@query("op3_impact_search", topk.SQL)
+def op3(spark, sf):
+    """The five nearest vectors of every fiftieth one."""
+    vectors = table(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op9_capture_index", warc.SQL)
+def op9(spark, sf):
+    """Pages written as archives and read back through the capture index."""
+    return warc.archive_and_read(table(spark, sf, "pages"))
