@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 U64 = np.uint64
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BATCH_BYTES = 4 << 20
+BITMAP = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +123,17 @@ def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
 
 
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """Which of the numbers 0 to ``BITMAP - 1`` occur in a column: at most 2 MB, whatever the number of rows."""
+    n = F.col(column) + 1
+    rows = keys.groupBy(F.bitmap_bucket_number(n).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("m")).collect()
+    out = np.zeros(BITMAP, bool)
+    for r in rows:
+        part = np.unpackbits(np.frombuffer(bytes(r.m), np.uint8), bitorder="little").astype(bool)
+        out[(r.b - 1) * 32768 : (r.b - 1) * 32768 + len(part)] = part
+    return out
+
+
 def text_key(name: str = "doc_id"):
     """crc32 of the id written as text, as the folds of the labelled rows are defined."""
     return F.crc32(F.col(name).cast("string"))

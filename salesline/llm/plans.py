@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesline.llm import decontaminate, langid, perspectives, sentencepieces, topk, warc
+from salesline.llm import decontaminate, extract, langid, perspectives, sentencepieces, topk, toxicity, warc
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -61,3 +61,19 @@ def op3(spark, sf):
 def op9(spark, sf):
     """Pages written as archives and read back through the capture index."""
     return warc.archive_and_read(table(spark, sf, "pages"))
+
+
+@query("op1_restored_toxicity")
+def op1(spark, sf):
+    """The toxicity of every document after its spelling is restored."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model, terms = toxicity.fit(docs, table(spark, sf, "labels"))
+    found = toxicity.score_toxicity(docs.withColumn("held_out", toxicity.held_out()), model, terms)
+    score = F.col("toxicity")
+    return found.select("doc_id", "held_out", score.alias("score"), (score >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op4_host_extract")
+def op4(spark, sf):
+    """The main text of every page."""
+    return extract.extract_main_text(table(spark, sf, "pages"))
