@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesline.llm import decontaminate, extract, langid, perspectives, sentencepieces, topk, toxicity, warc
+from salesline.llm import decontaminate, extract, jaccard, langid, perspectives, sentencepieces, topk, toxicity, warc
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -77,3 +77,9 @@ def op1(spark, sf):
 def op4(spark, sf):
     """The main text of every page."""
     return extract.extract_main_text(table(spark, sf, "pages"))
+
+
+@query("op10_partition_join", jaccard.SQL)
+def op10(spark, sf):
+    """Groups of similar documents."""
+    return jaccard.similar_groups(table(spark, sf, "documents"))
