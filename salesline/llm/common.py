@@ -123,17 +123,27 @@ def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
 
 
-def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Which of the numbers 0 to ``BITMAP - 1`` occur in a column: at most 2 MB, whatever the number of rows."""
+def bit_table(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which of the numbers below ``2 ** bits`` occur in a column, eight to a byte: its size is fixed by ``bits``."""
     n = F.col(column) + 1
-    rows = keys.groupBy(F.bitmap_bucket_number(n).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("m")).collect()
-    out = np.zeros(BITMAP, bool)
-    for r in rows:
-        part = np.unpackbits(np.frombuffer(bytes(r.m), np.uint8), bitorder="little").astype(bool)
-        out[(r.b - 1) * 32768 : (r.b - 1) * 32768 + len(part)] = part
+    rows = keys.groupBy(F.bitmap_bucket_number(n).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("m"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.toLocalIterator():
+        part = np.frombuffer(bytes(r.m), np.uint8)
+        out[(r.b - 1) * 4096 : (r.b - 1) * 4096 + len(part)] = part
     return out
 
 
+def bit_test(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each number is in a table of ``bit_table``."""
+    return (packed[(keys >> keys.dtype.type(3)).astype(np.int64)] >> (keys & keys.dtype.type(7)).astype(np.uint8)) & 1 == 1
+
+
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """Which of the numbers 0 to ``BITMAP - 1`` occur in a column, as booleans."""
+    return np.unpackbits(bit_table(keys, column, BITMAP.bit_length() - 1), bitorder="little").astype(bool)
+
+
 def text_key(name: str = "doc_id"):
     """crc32 of the id written as text, as the folds of the labelled rows are defined."""
     return F.crc32(F.col(name).cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesline.llm import decontaminate, extract, jaccard, langid, perspectives, sentencepieces, topk, toxicity, warc
+from salesline.llm import decontaminate, extract, jaccard, langid, perspectives, sentencepieces, suffixes, topk, toxicity, warc
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -83,3 +83,9 @@ def op4(spark, sf):
 def op10(spark, sf):
     """Groups of similar documents."""
     return jaccard.similar_groups(table(spark, sf, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf):
+    """What is left of every document without strings that stand earlier."""
+    return suffixes.digest(suffixes.cut_repeats(table(spark, sf, "documents").select("doc_id", "text")))
