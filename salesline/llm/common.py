@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 U64 = np.uint64
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -27,10 +26,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def field_of(df: DataFrame, name: str, as_name: str | None = None) -> T.StructField:
-    return T.StructField(as_name or name, df.schema[name].dataType, True)
-
-
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut an Arrow batch so that each piece holds about ``limit`` bytes of ``column``, one row at least."""
     n = batch.num_rows
@@ -115,12 +110,10 @@ def lower_table() -> np.ndarray:
     return out
 
 
-def binary_rows(arrays: Sequence[bytes | None]) -> pa.Array:
-    return pa.array(arrays, pa.binary())
-
-
-def has_rows(df: DataFrame) -> bool:
-    return bool(df.take(1))
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` without the columns, whatever their case, that an operator is about to add."""
+    taken = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
 def bit_table(keys: DataFrame, column: str, bits: int) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import Powers, lower_table, mix, pieces, runs_of, span_hashes, text_bytes, words_of
+from salesline.llm.common import Powers, lower_table, mix, pieces, runs_of, span_hashes, text_bytes, without, words_of
 
 WINDOW = 10
 ITEM_BYTES = 8 << 20
@@ -190,9 +190,10 @@ def find_contamination(
     """``documents`` with one more column ``hits`` (see ``HITS``): verified occurrences of item windows.
 
     A null text has no words; a null or wordless item has no windows; repeated items and rows are all
-    reported. Items with equal windows are all named. An empty benchmark hits nothing.
+    reported. Items with equal windows are all named. An empty benchmark hits nothing. A column ``hits`` is replaced.
     """
-    names = list(documents.columns)
+    documents = without(documents, ["hits"])
+    names = [f"`{c}`" for c in documents.columns]
     out, column = documents, "_hits0"
     blocks = 0
     for block in item_blocks(benchmark, item, item_text, item_bytes):

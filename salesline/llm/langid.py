@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import U64, mix, pieces, text_key
+from salesline.llm.common import U64, mix, pieces, text_key, without
 
 GRAM = 4
 BITS = 22
@@ -92,7 +92,7 @@ def gram_hashes(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray
 
 def positions(h: np.ndarray, bits: int, k: int) -> np.ndarray:
     """Position number ``k`` of each hash in an array of ``2 ** bits``."""
-    return (mix(h + U64(k + 1) * U64(0x9E3779B97F4A7C15)) >> U64(64 - bits)).astype(np.int64)
+    return (mix(h + U64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> U64(64 - bits)).astype(np.int64)
 
 
 @dataclass
@@ -184,10 +184,11 @@ def identify(documents: DataFrame, model: LanguageFilters, text: str = "text") -
     """``documents`` with lang_pred, lang_score (share among languages) and lang_cover (share of n-grams).
 
     Null and letterless texts are ``und`` with score 0; texts whose n-grams no filter knows get the first
-    language with score 0; equal counts go to the first language by name. Without any labelled row all
+    language with score 0; columns of the added names are replaced; equal counts go to the first language by name. Without any labelled row all
     texts are ``und``.
     """
     new = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType()), T.StructField("lang_cover", T.DoubleType())]
+    documents = without(documents, [f.name for f in new])
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from salesline.llm.common import pieces
+from salesline.llm.common import pieces, without
 
 MARK = "▁"
 CACHE = 300_000
@@ -213,7 +213,7 @@ class Encoder:
 def encode_decode(documents: DataFrame, model_path: str, text: str = "text", check: bool = True) -> DataFrame:
     """``documents`` with ids (array of int, the end id last), and decoded.
 
-    Null is as empty: the end id alone, decoded to an empty text. With ``check`` the ids of all units, as they are
+    Null is as empty: the end id alone, decoded to an empty text. Columns of the added names are replaced. With ``check`` the ids of all units, as they are
     first met, and of one whole text of each Arrow batch are compared with the library's; a difference is an error. ``model_path`` must be readable on executors.
     """
     new = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
@@ -240,6 +240,8 @@ def encode_digests(documents: DataFrame, model_path: str, text: str = "text", ch
 
 
 def _run(documents, model_path, text, check, new, kind, rows) -> DataFrame:
+    documents = without(documents, [f.name for f in new])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # the remembered units hold no cycles, and walking them costs more than encoding
         encoder = Encoder(model_path, check)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import U64, Powers, bit_table, bit_test, bitmap, mix, pieces, text_bytes
+from salesline.llm.common import U64, Powers, bit_table, bit_test, bitmap, mix, pieces, text_bytes, without
 from salesline.session import cut_lineage
 
 LENGTH, GRAM = 100, 24
@@ -339,7 +339,7 @@ def repeated_strings(rows: DataFrame, parts: int, mixed: np.ndarray, crowded: np
 
 
 def numbered(documents: DataFrame, doc: str, text: str) -> DataFrame:
-    """All rows with a unique whole number ``doc`` in the order that decides which string is earlier.
+    """All rows with a unique whole number ``_doc`` in the order that decides which string is earlier.
 
     That is the id itself if ids are whole numbers without null or repetition. Else rows are numbered in the order of
     id (null last) and text, equal rows among themselves in any order, by sorted blocks.
@@ -348,10 +348,10 @@ def numbered(documents: DataFrame, doc: str, text: str) -> DataFrame:
     if whole:
         odd = documents.groupBy(F.col(doc).cast("long").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("d is null or n > 1")
         if not odd.take(1):
-            return documents.withColumn("doc", F.col(doc).cast("long"))
+            return documents.withColumn("_doc", F.col(doc).cast("long"))
     order = [F.col(doc).isNull(), F.col(doc), F.coalesce(F.col(text), F.lit(""))]
     ordered = documents.repartitionByRange(*order).sortWithinPartitions(*order)
-    return cut_lineage(ordered.withColumn("doc", F.monotonically_increasing_id()))
+    return cut_lineage(ordered.withColumn("_doc", F.monotonically_increasing_id()))
 
 
 def find_repeats(rows: DataFrame) -> DataFrame:
@@ -372,21 +372,23 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
 
     A byte goes if a string of ``LENGTH`` bytes covers it that also starts earlier: in a row of smaller id, or before
     it in the same text. Null text is empty; texts shorter than ``LENGTH`` stay; rows of equal or null id are
-    ordered as ``numbered`` says. Stretches that touch count as one span.
+    ordered as ``numbered`` says. Stretches that touch count as one span. Columns of
+    the added names are replaced.
     """
+    new = [T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
+    documents = without(documents, [*(f.name for f in new), "_doc", "_hit", "_spans"])
     rows = numbered(documents, doc, text)
-    found = cut_lineage(find_repeats(rows.select("doc", F.col(text).alias("text"))))
+    found = cut_lineage(find_repeats(rows.select(F.col("_doc").alias("doc"), F.col(text).alias("text"))))
     touched = bitmap(found.select(F.pmod("doc", F.lit(1 << 24)).alias("k")), "k")
     spans = found.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("_spans"))  # bounded by the text's length
     shared = documents.sparkSession.sparkContext.broadcast(np.packbits(touched))
     fields = documents.schema.fields
-    new = [T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     names = [f.name for f in fields]
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            hit = known[batch.column("doc").to_numpy(zero_copy_only=False).astype(np.int64) % (1 << 24)]
+            hit = known[batch.column("_doc").to_numpy(zero_copy_only=False).astype(np.int64) % (1 << 24)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], [*batch.schema.names, "_hit"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,13 +408,27 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
             columns = [batch.column(n) for n in names] + [pa.array(c, k) for c, k in zip(body, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, [*names, *(f.name for f in new)])
 
-    flagged = rows.select(*names, "doc").mapInArrow(flag, T.StructType([*fields, T.StructField("doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
-    hit = flagged.where("_hit").drop("_hit").join(spans, "doc", "left")
+    quoted = [f"`{n}`" for n in names]
+    flagged = rows.select(*quoted, "_doc").mapInArrow(flag, T.StructType([*fields, T.StructField("_doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
+    hit = flagged.where("_hit").drop("_hit").join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
     rest = flagged.where("not _hit").drop("_hit").withColumn("_spans", F.lit(None).cast("array<struct<a:bigint,b:bigint>>"))
     schema = T.StructType([*fields, *new])
-    both = [x.select(*names, "_spans").mapInArrow(cut, schema) for x in (rest, hit)]
+    both = [x.select(*quoted, "_spans").mapInArrow(cut, schema) for x in (rest, hit)]
     return both[0].unionByName(both[1])
 
 
+def replace_text(cut: DataFrame, text: str = "text") -> DataFrame:
+    """The result of ``cut_repeats`` with what is left as its text; bytes that are no whole character are dropped."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(text).to_pylist(), batch.column("kept").to_pylist(), batch.column("n_removed").to_pylist(), strict=True)
+            out = [t if not n else k.decode("utf-8", "ignore") for t, k, n in rows]
+            i = batch.schema.get_field_index(text)
+            yield batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
+
+    return cut.mapInArrow(work, cut.schema)
+
+
 def digest(cut: DataFrame, doc: str = "doc_id") -> DataFrame:
     return cut.select(F.col(doc).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import pieces, text_key
+from salesline.llm.common import pieces, text_key, without
 from salesline.llm.langid import sample_rows
 from salesline.session import cut_lineage
 
@@ -329,11 +329,13 @@ def learn_terms(sample: DataFrame, model: CharModel) -> ToxicTerms:
 def score_toxicity(documents: DataFrame, model: CharModel, terms: ToxicTerms, text: str = "text", keep_restored: bool = False) -> DataFrame:
     """``documents`` with toxicity (0 to 1), toxic_terms (the terms found), and if asked the restored text.
 
-    Null and empty texts hold no term and get the score of texts without any. Equal texts get equal scores.
+    Null and empty texts hold no term and get the score of texts without any. Equal texts get equal scores. Columns
+    of the added names are replaced.
     """
     new = [T.StructField("toxicity", T.DoubleType()), T.StructField("toxic_terms", T.ArrayType(T.StringType()))]
     if keep_restored:
         new.append(T.StructField("restored", T.StringType()))
+    documents = without(documents, [f.name for f in new])
     shared = documents.sparkSession.sparkContext.broadcast((model, terms))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
