@@ -17,10 +17,12 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesline.llm.common import bitmap, pieces
 from salesline.session import checkpoint_dir, cut_lineage
 
 LEAST_REVISIT = 100
@@ -56,22 +58,40 @@ def with_types(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html")
     )
-    rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256)).withColumn("n", F.octet_length("html"))
-    first = rows.where(F.col("n") >= least).groupBy("digest").agg(F.min("page_id").alias("_first"), F.min(F.struct("page_id", "url")).alias("_at"), F.count(F.lit(1)).alias("_copies"))
-    first = first.where("_copies > 1 and _first is not null")
-    at = rows.where(F.col("n") >= least).groupBy("digest", "page_id").agg(F.min("url").alias("_url"))
-    first = first.join(at, (first["digest"] == at["digest"]) & (first["_first"] == at["page_id"])).select(first["digest"], "_first", "_url")
-    out = rows.join(first, "digest", "left")
-    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return out.select(
-        "page_id",
-        "url",
-        "html",
-        "digest",
+    long_rows = rows.where(F.octet_length("html") >= least).select("page_id", "url", F.sha2(F.col("html").cast("binary"), 256).alias("digest"))
+    ids = long_rows.groupBy("digest", "page_id").agg(F.min("url").alias("url"), F.count(F.lit(1)).alias("n"))
+    first = ids.groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("at"), F.sum("n").alias("n"))
+    first = cut_lineage(first.where("n > 1 and at is not null").select("digest", F.col("at.page_id").alias("_first"), F.col("at.url").alias("_url")))
+    key = F.conv(F.substring("digest", 1, 6), 16, 10).cast("long")
+    marked = _with_digest(rows, bitmap(first.select(key.alias("k")), "k"))
+    names = ["page_id", "url", "html", "digest"]
+    copies = marked.where("maybe_copied").select(*names).join(first, "digest", "left")
+    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first")) & (F.octet_length("html") >= least)
+    copies = copies.select(
+        *names,
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("_first")).alias("refers_to"),
         F.when(revisit, F.col("_url")).alias("refers_url"),
     )
+    alone = marked.where("not maybe_copied").select(
+        *names, F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url")
+    )
+    return alone.unionByName(copies)
+
+
+def _with_digest(rows: DataFrame, copied: np.ndarray) -> DataFrame:
+    """Add the payload's digest and whether a bitmap of copied digests has it: the others need no join."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(copied))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(shared.value).astype(bool)
+        for whole in batches:
+            for batch in pieces(whole, "html"):
+                digests = [hashlib.sha256(x.encode()).hexdigest() for x in batch.column("html").to_pylist()]
+                maybe = known[[int(d[:6], 16) for d in digests]]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests), pa.array(maybe)], [*batch.schema.names, "digest", "maybe_copied"])
+
+    return rows.mapInArrow(work, "page_id long, url string, html string, digest string, maybe_copied boolean")
 
 
 def _header(name: str, value) -> F.Column:
