@@ -216,9 +216,11 @@ def suspicious(joined: str) -> tuple[np.ndarray, np.ndarray]:
     mark[2:] |= same[1:] & same[:-1]
     single = np.zeros(len(codes), bool)
     single[1:-1] = word[1:-1] & ~word[:-2] & ~word[2:]
+    last = single.copy()  # the last one may have a ! behind it
+    last[1:-1] |= word[1:-1] & ~word[:-2] & (codes[2:] == ord("!"))
     gap = (k & GAP_BIT) > 0
     chain = np.zeros(len(codes), bool)  # a gap between two single characters
-    chain[1:-1] = gap[1:-1] & single[:-2] & single[2:]
+    chain[1:-1] = gap[1:-1] & single[:-2] & last[2:]
     mark[2:] |= chain[2:] & chain[:-2]
     at = np.flatnonzero(mark)
     bounds = np.flatnonzero(((k & SPACE_BIT) > 0) & ~chain)
