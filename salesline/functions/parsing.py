@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Texts read as "no number".
 NULL_TOKENS = ("nan", "NaN", "None", "-", "")
 
-# Date layouts tried in turn, day first.
-DAY_FIRST = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd",
-    "dd/MM/yyyy", "dd-MM-yyyy", "dd.MM.yyyy",
-)
-
-# Date layouts accepted in requests, in this order.
-REQUEST_LAYOUTS = (
-    "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy",
-)
+# Year, month and day with signs between them, day, month and year, or eight digits; perhaps a time, perhaps a zone.
+STAMP = (
+    r"^\s*(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})|(\d{4})(\d{2})(\d{2}))"
+    r"(?:[T ]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|z|UTC|([+-])(\d{2}):?(\d{2})?)?\s*$"
+)
+MARK = "\x01"
 
 
 def normalized_name(name: Column) -> Column:
@@ -52,31 +44,45 @@ def first_digits(text: Column) -> Column:
     return F.when(run != "", run).try_cast("bigint")
 
 
-def _shape(layout: str) -> str:
-    """A pattern of the texts a layout can read."""
-    digits = re.sub("[yMdHms]+", lambda m: rf"\d{{{len(m[0])}}}", layout.replace("'", "").replace(".", r"\."))
-    return f"^{digits}$"
+def parsed_timestamp(text: Column) -> Column:
+    """The date and time a text states, day before month, in UTC; null if it states none.
+
+    Days and months may have one digit. A second number above 12 after a day is the day, and the first the month.
+    Minutes, seconds and fractions may be missing; a zone's offset is taken off. One pattern cuts the text into parts.
+    """
+    groups = "|".join(["$1$6$7", "$2$8", "$3$9", "$4", "$5", "$10", "$11", "$12", "$13", "$14", "$15"])
+    parts = F.split(F.regexp_replace(text, STAMP, f"{MARK}|{groups}"), r"\|")
+    return F.get(F.transform(F.array(parts), _timestamp_of_parts), F.lit(0))  # so that the parts are cut once
 
 
-def timestamp_by_layouts(text: Column, layouts: Sequence[str]) -> Column:
-    """The first layout that fits decides. A failed parse is dear, so the shape is checked first."""
-    tries = [F.when(text.rlike(_shape(p)), F.try_to_timestamp(text, F.lit(p))) for p in layouts]
-    return F.when(text.rlike(r"^\d+[-/.]\d+[-/.]\d+"), F.coalesce(*tries).cast("timestamp_ntz"))
+def _timestamp_of_parts(parts: Column) -> Column:
+    year, month, day, first, second, hour, minute, sec, sign, zone_hour, zone_minute = (
+        F.get(parts, F.lit(i)).try_cast("decimal(16,6)" if i == 8 else "string" if i == 9 else "int") for i in range(1, 12)
+    )
+    swapped = second > 12
+    month = F.coalesce(month, F.when(swapped, first).otherwise(second))
+    day = F.coalesce(day, F.when(swapped, second).otherwise(first))
+    zero = F.lit(0)
+    at = F.try_make_timestamp_ntz(
+        year, month, day, F.coalesce(hour, zero), F.coalesce(minute, zero), F.coalesce(sec, zero.cast("decimal(16,6)"))
+    )
+    ahead = F.when(sign == "-", -1).otherwise(1)
+    offset = F.make_dt_interval(zero, ahead * F.coalesce(zone_hour, zero), ahead * F.coalesce(zone_minute, zero))
+    return F.when(F.get(parts, zero) == MARK, F.when(zone_hour.isNull(), at).otherwise(at - offset))
 
 
 def day_first_date(text: Column) -> Column:
-    return timestamp_by_layouts(F.trim(text), DAY_FIRST).cast("date")
+    return parsed_timestamp(text).cast("date")
 
 
 def request_timestamp(text: Column) -> Column:
-    """Dates as requests write them: seconds since 1970, ISO, or one of the known layouts."""
+    """Dates as requests write them: a stated date and time, or seconds since 1970. Eight digits are a date."""
     t = F.trim(text)
     seconds = t.try_cast("double")
     since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
-    return F.when(seconds.isNotNull() & t.rlike(r"^[0-9]+(\.[0-9]+)?$"), epoch).otherwise(
-        timestamp_by_layouts(t, REQUEST_LAYOUTS)
-    )
+    is_seconds = seconds.isNotNull() & t.rlike(r"^[0-9]+(\.[0-9]+)?$") & ~t.rlike(r"^[0-9]{8}$")
+    return F.when(is_seconds, epoch).otherwise(parsed_timestamp(t))
 
 
 def swapped_date(text: Column) -> Column:
@@ -98,8 +104,8 @@ def swapped_date(text: Column) -> Column:
 
 
 def repaired_date(parsed: Column, text: Column) -> Column:
-    """Keep a parsed date; otherwise try the swap, then a day-first reading of the text."""
-    return F.coalesce(parsed, swapped_date(text), day_first_date(text))
+    """Keep a parsed date; otherwise try the swap."""
+    return F.coalesce(parsed, swapped_date(text))
 
 
 def promo_flag(x: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesline.functions.parsing import (
-    clean_number, day_first_date, first_digits, normalized_name, plain_number, timestamp_by_layouts, DAY_FIRST,
+    clean_number, day_first_date, first_digits, normalized_name, parsed_timestamp, plain_number,
 )
 from salesline.operators.profile import numeric_columns
 
@@ -111,7 +111,7 @@ def column_evidence(df: DataFrame, cols: Sequence[str] | None = None, approximat
     texts = df.select(*[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(cols, names)])
     long = texts.unpivot([], names, "_name", "_text")
     text = F.col("_text")
-    is_date = F.when(text.isNotNull(), timestamp_by_layouts(F.trim(text), DAY_FIRST).isNotNull().cast("int"))
+    is_date = F.when(text.isNotNull(), parsed_timestamp(text).isNotNull().cast("int"))
     is_number = F.when(text.isNotNull(), clean_number(text).isNotNull().cast("int"))
     shares = long.groupBy("_name").agg(
         F.count(text).alias("known"),

@@ -18,17 +18,27 @@ def number_sql(c: str) -> str:
     return NUMBER_SQL.format(f"replace(regexp_replace({c}, '[ €$]', '', 'g'), ',', '.')")
 
 
-def layouts_sql(c: str, layouts=("%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%d-%m-%Y")) -> str:
-    """Layouts in order, each guarded by its digit counts, since DuckDB accepts short years and days."""
-    shape = {
-        "%Y-%m-%d": "\\d{4}-\\d{2}-\\d{2}",
-        "%Y/%m/%d": "\\d{4}/\\d{2}/\\d{2}",
-        "%d/%m/%Y": "\\d{2}/\\d{2}/\\d{4}",
-        "%m/%d/%Y": "\\d{2}/\\d{2}/\\d{4}",
-        "%d-%m-%Y": "\\d{2}-\\d{2}-\\d{4}",
-    }
-    tries = [f"CASE WHEN regexp_full_match({c}, '{shape[p]}') THEN try_strptime({c}, '{p}') END" for p in layouts]
-    return f"coalesce({', '.join(tries)})"
+DAY_SQL = r"(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})|(\d{4})(\d{2})(\d{2}))"
+TIME_SQL = r"(?:[T ]+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,6})\d*)?)?)?\s*(?:Z|z|UTC|([+-])(\d{2}):?(\d{2})?)?\s*"
+
+
+def uncaptured(pattern: str) -> str:
+    return pattern.replace("(?:", "(").replace("(", "(?:")
+
+
+def layouts_sql(c: str) -> str:
+    """The timestamp a text states: its parts put together again in one layout."""
+    g = {i: f"regexp_extract({c}, '^\\s*{DAY_SQL}{uncaptured(TIME_SQL)}$', {i})" for i in range(1, 10)}
+    h = {i: f"regexp_extract({c}, '^\\s*{uncaptured(DAY_SQL)}{TIME_SQL}$', {i})" for i in range(1, 8)}
+    swap = f"try_cast({g[5]} AS int) > 12"
+    month = f"{g[2]} || {g[8]} || CASE WHEN {swap} THEN {g[4]} ELSE {g[5]} END"
+    day = f"{g[3]} || {g[9]} || CASE WHEN {swap} THEN {g[5]} ELSE {g[4]} END"
+    two = lambda x: f"lpad({x}, 2, '0')"
+    text = f"{g[1]} || {g[6]} || {g[7]} || '-' || {two(month)} || '-' || {two(day)} || ' ' || {two(h[1])} || ':' || {two(h[2])} || ':' || {two(h[3])}"
+    minutes = f"60 * coalesce(try_cast({h[6]} AS int), 0) + coalesce(try_cast({h[7]} AS int), 0)"
+    offset = f"CASE WHEN {h[5]} = '-' THEN -1 ELSE 1 END * ({minutes})"
+    stated = f"regexp_full_match({c}, '\\s*{DAY_SQL}{TIME_SQL}')"
+    return f"CASE WHEN {stated} THEN try_strptime({text}, '%Y-%m-%d %H:%M:%S') + to_microseconds(rpad({h[4]}, 6, '0')::bigint) - to_minutes({offset}) END"
 
 
 SWAP_SQL = """CASE WHEN regexp_full_match(sold_on, '\\d+[-/]\\d+[-/]\\d+')
@@ -75,8 +85,8 @@ def day_first(spark, sf):
     f"""WITH {TEXT_SQL}, asked AS (SELECT rid, CASE WHEN rid % 5 = 0 THEN epoch(date)::bigint::varchar
       WHEN rid % 5 = 1 THEN m || '/' || d || '/' || y ELSE sold_on END AS txt
       FROM dirty_text JOIN (SELECT rid, date, y, m, d FROM cents_text) USING (rid))
-    SELECT rid, CASE WHEN regexp_full_match(txt, '[0-9]+') THEN make_timestamp(txt::bigint * 1000000) ELSE
-      {layouts_sql('txt', ('%Y-%m-%d', '%d/%m/%Y', '%m/%d/%Y', '%Y/%m/%d', '%d-%m-%Y'))} END AS parsed_at FROM asked""",
+    SELECT rid, CASE WHEN regexp_full_match(txt, '[0-9]+') AND length(txt) <> 8 THEN make_timestamp(txt::bigint * 1000000) ELSE
+      {layouts_sql('txt')} END AS parsed_at FROM asked""",
 )
 def request_dates(spark, sf):
     true_date = sales_line(spark, sf).select("rid", "date")

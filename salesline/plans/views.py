@@ -57,7 +57,9 @@ cents_text AS (
 dirty_text AS (
   SELECT rid,
     CASE WHEN rid % 13 = 0 THEN NULL WHEN rid % 17 = 0 THEN 'unknown' ELSE 'store_' || l_suppkey END AS shop,
-    CASE WHEN rid % 29 = 0 THEN 'not a date' WHEN rid % 31 = 0 THEN substr(y, 3, 2) || '/' || d || '/' || m
+    CASE WHEN rid % 29 = 0 THEN 'not a date' WHEN rid % 37 = 0 THEN ltrim(d, '0') || '/' || ltrim(m, '0') || '/' || y
+      WHEN rid % 41 = 0 THEN y || '-' || m || '-' || d || 'T03:04:05Z' WHEN rid % 43 = 0 THEN y || '-' || m || '-' || d || ' 01:30:00.250+02:00'
+      WHEN rid % 47 = 0 THEN y || '-' || ltrim(m, '0') || '-' || d || ' 10:00' WHEN rid % 53 = 0 THEN y || m || d WHEN rid % 31 = 0 THEN substr(y, 3, 2) || '/' || d || '/' || m
       WHEN rid % 3 = 0 THEN y || '-' || m || '-' || d WHEN rid % 3 = 1 THEN d || '/' || m || '/' || y
       ELSE y || '-' || d || '-' || m END AS sold_on,
     CASE rid % 7 WHEN 0 THEN '€ ' || amount WHEN 1 THEN replace(amount, '.', ',') WHEN 2 THEN amount || ' $'
@@ -155,6 +157,7 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     line = sales_line(spark, sf_dir)
     y, m, d = (F.date_format("date", p) for p in ("yyyy", "MM", "dd"))
+    iso = F.concat_ws("-", y, m, d)
     amount, turn = money(F.col("cents")), F.col("rid") % 7
     price = money(F.floor(F.col("price") * 100 + 0.5).cast("bigint"))
     return line.select(
@@ -164,6 +167,11 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("store_"), F.col("l_suppkey").cast("string")))
         .alias("shop"),
         F.when(_every(29), "not a date")
+        .when(_every(37), F.concat_ws("/", F.ltrim(d, F.lit("0")), F.ltrim(m, F.lit("0")), y))
+        .when(_every(41), F.concat(iso, F.lit("T03:04:05Z")))
+        .when(_every(43), F.concat(iso, F.lit(" 01:30:00.250+02:00")))
+        .when(_every(47), F.concat(F.concat_ws("-", y, F.ltrim(m, F.lit("0")), d), F.lit(" 10:00")))
+        .when(_every(53), F.concat(y, m, d))
         .when(_every(31), F.concat(F.substring(y, 3, 2), F.lit("/"), d, F.lit("/"), m))
         .when(_every(3), F.concat_ws("-", y, m, d))
         .when(F.col("rid") % 3 == 1, F.concat_ws("/", d, m, y))
