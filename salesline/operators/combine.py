@@ -12,7 +12,7 @@ from salesline.operators.profile import NUMERIC
 
 # Labels of rows known from history only, from the forecast only, from both.
 HISTORY, FORECAST, OVERLAP = "Historique", "Prevision", "Overlap"
-ANOMALY_PCT, ANOMALY_ROWS = 50.0, 50
+ANOMALY_PCT = 50.0
 
 FORECAST_POINT = "array<struct<ds:string,yhat:string,y:string,yhat_lower:string,yhat_upper:string>>"
 
@@ -72,9 +72,9 @@ def outside_bounds(combined: DataFrame) -> DataFrame:
 
 
 def deviating(
-    combined: DataFrame, order: Sequence[str], threshold: float = ANOMALY_PCT, rows: int | None = ANOMALY_ROWS
+    combined: DataFrame, order: Sequence[str], threshold: float = ANOMALY_PCT, rows: int | None = None
 ) -> DataFrame:
-    """Days off by more than the threshold in percent; the first ``rows`` of them, or all with None."""
+    """Days off by more than the threshold in percent; all of them, or the first ``rows``."""
     off = error_table(combined).where(F.col("pct_error") > threshold)
     return off.orderBy(*order).limit(rows) if rows else off
 

@@ -1,7 +1,7 @@
 """Find which columns of a file hold the id, the date and the value, and bring them into shape.
 
-Evidence about the contents is gathered from all rows in one pass; only one row of shares per table
-reaches the driver, where the column names are matched.
+Evidence about the contents is gathered from all rows in one pass. Every column gets points for every target, from its
+name and its contents, in a table of a row per column and target; targets are assigned in one ordered pass over it.
 """
 
 from __future__ import annotations
@@ -9,10 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesline.functions.parsing import (
@@ -73,30 +71,14 @@ def bare_name(name: str) -> str:
     return re.sub(r"[^a-z0-9]", "", name.lower())
 
 
-def name_score(name: str, aliases: Sequence[str]) -> float:
-    """Likeness of a header to the nearest alias, 0 to 100."""
-    n = plain_name(name)
-    return max((SequenceMatcher(None, n, plain_name(a)).ratio() * 100 for a in aliases), default=0.0)
-
-
-def name_scores(names: Column, aliases: Sequence[str]) -> Column:
-    """``name_score`` for a column of names."""
-
-    @F.pandas_udf("double")
-    def score(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda n: None if n is None else name_score(n, aliases))
-
-    return score(names)
+def edit_likeness(names: Column, aliases: Sequence[str]) -> Column:
+    """Likeness of headers to the nearest alias by edit distance, 0 to 100."""
+    plain = F.array(*[F.lit(plain_name(a)) for a in aliases])
 
+    def nearest(n: Column) -> Column:
+        return F.array_max(F.transform(plain, lambda a: 100 * (1 - F.levenshtein(n, a) / F.greatest(F.length(n), F.length(a)))))
 
-def edit_likeness(names: Column, aliases: Sequence[str]) -> Column:
-    """Likeness by edit distance, 0 to 100, for tables of names; stays in the engine throughout."""
-    n = normalized_name(names)
-    scores = []
-    for a in aliases:
-        alias = F.lit(plain_name(a))
-        scores.append(100 * (1 - F.levenshtein(n, alias) / F.greatest(F.length(n), F.length(alias))))
-    return F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return F.get(F.transform(F.array(normalized_name(names)), nearest), F.lit(0))
 
 
 def _as_text(df: DataFrame, c: str) -> Column:
@@ -137,64 +119,96 @@ def gather(df: DataFrame, approximate: bool = False) -> list[Evidence]:
     return [found.get(c, Evidence(c, 0, 0.0, 0.0, 0.0)) for c in df.columns]
 
 
-def column_scores(
-    evidence: Sequence[Evidence],
+def evidence_table(spark: SparkSession, evidence: Sequence[Evidence]) -> DataFrame:
+    rows = [(i, e.column, e.known, e.date_share, e.number_share, e.distinct_share) for i, e in enumerate(evidence)]
+    schema = "position int, column string, known long, date_share double, number_share double, distinct_share double"
+    return spark.createDataFrame(rows, schema)
+
+
+def score_table(
+    evidence: DataFrame,
     targets: Sequence[str] = TARGETS,
     aliases: dict[str, Sequence[str]] = ALIASES,
     numbers_always: bool = False,
-) -> dict[str, list[tuple[str, float]]]:
-    """Score of every column for every target. ``numbers_always`` gives every column the number bonus."""
-    out: dict[str, list[tuple[str, float]]] = {}
-    for target in targets:
-        rows = []
-        for e in evidence:
-            bonus = 0
-            if target == "date" and e.date_share >= DATE_SHARE:
-                bonus = DATE_BONUS
-            elif target == "value" and (numbers_always or e.number_share >= NUMBER_SHARE):
-                bonus = NUMBER_BONUS
-            elif target == "id":
-                bonus = int(e.distinct_share * UNIQUE_BONUS)
-            rows.append((e.column, name_score(e.column, aliases.get(target, [target])) + bonus))
-        out[target] = rows
+) -> DataFrame:
+    """One row per column and target: turn (of the target), target, position, column, points for the name and for the
+    contents, and their sum. ``numbers_always`` gives every column the number bonus."""
+    enough = F.lit(True) if numbers_always else F.col("number_share") >= NUMBER_SHARE
+    contents = {
+        "id": F.floor(F.col("distinct_share") * UNIQUE_BONUS),
+        "date": F.when(F.col("date_share") >= DATE_SHARE, DATE_BONUS).otherwise(0),
+        "value": F.when(enough, NUMBER_BONUS).otherwise(0),
+    }
+    cells = [
+        F.struct(
+            F.lit(i).alias("turn"),
+            F.lit(t).alias("target"),
+            edit_likeness(F.col("column"), aliases.get(t, [t])).alias("name_points"),
+            contents.get(t, F.lit(0)).cast("double").alias("content_points"),
+        )
+        for i, t in enumerate(targets)
+    ]
+    rows = evidence.select("position", "column", F.explode(F.array(*cells)).alias("c")).select("c.*", "position", "column")
+    return rows.withColumn("score", F.col("name_points") + F.col("content_points"))
+
+
+def assign(ranked: DataFrame, order: Sequence[str | Column], mapping: dict[str, str] | None = None) -> dict[str, str]:
+    """Go once through (target, column) rows in the given order; a row counts if neither is taken yet."""
+    out = dict(mapping or {})
+    for r in ranked.orderBy(*order).select("target", "column").collect():
+        if r.target not in out and r.column not in out.values():
+            out[r.target] = r.column
     return out
 
 
 def best_mapping(
+    spark: SparkSession,
     evidence: Sequence[Evidence],
     targets: Sequence[str] = TARGETS,
     aliases: dict[str, Sequence[str]] = ALIASES,
     numbers_always: bool = False,
 ) -> dict[str, str]:
-    """Each target takes its best column that no earlier target took."""
-    mapping: dict[str, str] = {}
-    for target, rows in column_scores(evidence, targets, aliases, numbers_always).items():
-        free = [r for r in rows if r[0] not in mapping.values()]
-        if free:
-            mapping[target] = max(free, key=lambda r: r[1])[0]
-    return mapping
+    """Targets in turn take the column of most points, the first of equals, that no other target has."""
+    scores = score_table(evidence_table(spark, evidence), targets, aliases, numbers_always)
+    return assign(scores, ["turn", F.desc("score"), "position"])
+
+
+def fallback_table(evidence: DataFrame) -> DataFrame:
+    """Rows (target, column) with the round, rule and place in which a missing target may take a column.
+
+    Round 0 has, for each target in turn, bare names equal to a usual one (rule 0, in the order of the usual names),
+    then bare names that contain one (1), then for dates the columns with most dates (2). Round 1 lets ids and then
+    values take any column.
+    """
+    bare = F.regexp_replace(F.lower("column"), "[^a-z0-9]", "")
+    dated = (F.col("date_share") >= FALLBACK_DATE_SHARE) & (F.col("known") > 0)
+    cells = []
+    for turn, (target, names) in enumerate(FALLBACK_NAMES.items()):
+        usual = F.array(*[F.lit(n) for n in names])
+        rules = [
+            (F.array_contains(usual, bare), 0, F.array_position(usual, bare).cast("double")),
+            (F.exists(usual, lambda n: F.contains(bare, n)), 1, F.lit(0.0)),
+        ]
+        if target == "date":
+            rules.append((dated, 2, -F.col("date_share")))
+        cells += [F.when(holds, _cell(0, turn, rule, place, target)) for holds, rule, place in rules]
+    cells += [_cell(1, turn, 3, F.lit(0.0), target) for turn, target in enumerate(("id", "value"))]
+    rows = evidence.select("position", "column", F.explode(F.array(*cells)).alias("c")).where("c is not null")
+    return rows.select("c.*", "position", "column")
+
+
+def _cell(round_: int, turn: int, rule: int, place: Column, target: str) -> Column:
+    return F.struct(
+        F.lit(round_).alias("round"), F.lit(turn).alias("turn"), F.lit(rule).alias("rule"), place.alias("place"), F.lit(target).alias("target")
+    )
 
 
-def fallback_mapping(evidence: Sequence[Evidence], mapping: dict[str, str] | None = None) -> dict[str, str]:
-    """Fill in missing targets: exact bare name, name part, enough dates, then any free column."""
-    out = dict(mapping or {})
-    bare = {bare_name(e.column): e.column for e in evidence}
-    for target, names in FALLBACK_NAMES.items():
-        if target in out:
-            continue
-        exact = [bare[n] for n in names if n in bare]
-        part = [c for b, c in bare.items() if any(n in b for n in names)]
-        if exact or part:
-            out[target] = (exact or part)[0]
-        elif target == "date":
-            dated = [e for e in evidence if e.date_share * e.known > 0 and e.date_share >= FALLBACK_DATE_SHARE]
-            if dated:
-                out[target] = max(dated, key=lambda e: e.date_share).column
-    for target in ("id", "value"):
-        free = [e.column for e in evidence if e.column not in out.values()]
-        if target not in out and free:
-            out[target] = free[0]
-    return out
+def fallback_mapping(
+    spark: SparkSession, evidence: Sequence[Evidence], mapping: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Fill in missing targets by the rules of ``fallback_table``; no column is taken twice."""
+    ranked = fallback_table(evidence_table(spark, evidence))
+    return assign(ranked, ["round", "turn", "rule", "place", "position"], mapping)
 
 
 def require_targets(mapping: dict[str, str], targets: Sequence[str] = TARGETS) -> None:
@@ -238,8 +252,8 @@ def conform(
     """Detect (or take) the mapping, apply it, and compute unknown values from quantity and price."""
     if mapping is None or set(TARGETS) - set(mapping):
         evidence = gather(df, approximate)
-        mapping = best_mapping(evidence) if mapping is None else mapping
-        mapping = fallback_mapping(evidence, mapping)
+        mapping = best_mapping(df.sparkSession, evidence) if mapping is None else mapping
+        mapping = fallback_mapping(df.sparkSession, evidence, mapping)
     require_targets(mapping)
     parts = find_value_parts(df.columns) if recompute else None
     rows = df

@@ -32,9 +32,9 @@ def with_series_id(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def cutoff_date(df: DataFrame, horizon: int, date: str = "date") -> DataFrame:
     """One row: the first date of the test part, the ``horizon``-th last distinct date.
 
-    The distinct dates are bounded by the calendar, so ranking them in one task is safe.
+    The distinct days, times cut off, are bounded by the calendar, so ranking them in one task is safe.
     """
-    days = df.select(date).where(F.col(date).isNotNull()).distinct()
+    days = df.select(F.to_date(date).alias(date)).where(F.col(date).isNotNull()).distinct()
     ranked = days.select(
         F.col(date),
         F.row_number().over(Window.orderBy(F.col(date).desc())).alias("back"),
@@ -61,7 +61,7 @@ def validation_flag(
 ) -> DataFrame:
     """Mark the tail used for early stopping: the last dates, or (``by="row"``) the last rows in ``order``."""
     if by == "date":
-        days = train.select(date).distinct()
+        days = train.select(F.to_date(date).alias(date)).distinct()
         ranked = days.select(
             F.col(date),
             F.row_number().over(Window.orderBy(F.col(date).desc())).alias("back"),
@@ -97,14 +97,13 @@ def expanding_folds(
     if by == "row":
         rows = row_index(df, order, name="_i", blocks=blocks).withColumn("_n", rows_total)
     elif by == "date":
-        days = df.select(F.col(date).alias("_day")).distinct()
+        days = df.select(F.to_date(date).alias("_day")).distinct()
         ranked = days.select(
             "_day",
             (F.row_number().over(Window.orderBy("_day")) - 1).cast("long").alias("_i"),
             F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("_n"),
         )
-        # One row per day: the calendar bounds the table.
-        rows = df.join(F.broadcast(ranked), F.col(date) == F.col("_day")).drop("_day")
+        rows = df.join(ranked, F.to_date(date) == F.col("_day")).drop("_day")
     else:
         raise ValueError("by must be 'date' or 'row'")
     rows = rows.withColumn("_k", k).withColumn("fold", F.explode(F.sequence(F.lit(1), F.col("_k"))))

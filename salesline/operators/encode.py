@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesline.operators.ordering import range_blocks, row_index, running_sum
-from salesline.session import broadcast_if_small, cut_lineage
+from salesline.session import cut_lineage
 
 
 def fit_labels(df: DataFrame, col: str, blocks: int | None = None) -> DataFrame:
@@ -21,7 +21,7 @@ def fit_labels(df: DataFrame, col: str, blocks: int | None = None) -> DataFrame:
 
 def apply_labels(df: DataFrame, col: str, labels: DataFrame, name: str | None = None) -> DataFrame:
     """Categories without a code, and unknown ones, get -1."""
-    dim = broadcast_if_small(labels.select(F.col(col).alias("_cat"), F.col("code").alias("_code")))
+    dim = labels.select(F.col(col).alias("_cat"), F.col("code").alias("_code"))
     coded = df.join(dim, F.col(col) == F.col("_cat"), "left").withColumn(
         name or col, F.coalesce(F.col("_code"), F.lit(-1))
     )
@@ -78,7 +78,7 @@ def apply_target_means(
     if encoder is None:
         return df.withColumn(name, df.agg(F.avg(target)).scalar())
     whole = encoder.agg(F.max("global_mean")).scalar()
-    dim = broadcast_if_small(encoder.select(F.col(col).alias("_cat"), F.col("encoded").alias("_enc")))
+    dim = encoder.select(F.col(col).alias("_cat"), F.col("encoded").alias("_enc"))
     joined = df.join(dim, F.col(col) == F.col("_cat"), "left")
     return joined.withColumn(name, F.coalesce(F.col("_enc"), whole)).drop("_cat", "_enc")
 
@@ -126,12 +126,22 @@ def load_encoder(spark, folder: str, kind: str, col: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{folder}/kind={kind}/column={col}").withColumnRenamed("category", col)
 
 
-def fit_string_codes(train: DataFrame, cols: Sequence[str]):
-    """A model that codes the text columns of every split alike, fitted on the training rows once."""
-    indexer = StringIndexer(
-        inputCols=list(cols),
-        outputCols=[f"{c}_code" for c in cols],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return indexer.fit(train)
+@dataclass(frozen=True)
+class StringCodes:
+    """Label tables of text columns; codes every split alike."""
+
+    tables: dict[str, DataFrame]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``<col>_code``; texts that the training rows lack, and nulls, get the number of known ones."""
+        for c, table in self.tables.items():
+            unseen = table.agg(F.count(F.lit(1))).scalar()
+            coded = apply_labels(df, c, table, f"{c}_code")
+            code = F.col(f"{c}_code")
+            df = coded.withColumn(f"{c}_code", F.when(code < 0, unseen).otherwise(code).cast("double"))
+        return df
+
+
+def fit_string_codes(train: DataFrame, cols: Sequence[str]) -> StringCodes:
+    """Codes in alphabetic order, fitted on the training rows once; the labels stay tables."""
+    return StringCodes(fit_all_labels(train, cols))

@@ -91,7 +91,7 @@ def add_ewma(
         {"_et": (F.row_number().over(w) - 1).cast("long"), "_x": F.lag(F.col(value).cast("double"), 1).over(w)}
     )
     for group in span_groups(spans):
-        rows = _known_means(rows, group, w, series.keys)
+        rows = _known_means(rows, group, w, series.parts())
     rows = rows.withColumns(
         {
             f"ewma_{s}": F.when(

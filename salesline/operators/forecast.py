@@ -15,12 +15,12 @@ from salesline.operators.windows import LAGS, WINDOWS, min_rows
 # Blend of the weekday factor, and history the factors need.
 SEASONAL_STRENGTH = 0.7
 SEASONAL_MIN_ROWS = 14
-MAX_HORIZON = 365
 
 
-def check_horizon(horizon: int) -> None:
-    if not 1 <= horizon <= MAX_HORIZON:
-        raise ValueError(f"the horizon must lie between 1 and {MAX_HORIZON}")
+def check_horizon(horizon: int, most: int | None = None) -> None:
+    """Refuse a horizon below 1, or above a limit if one is given."""
+    if horizon < 1 or most is not None and horizon > most:
+        raise ValueError(f"the horizon must be at least 1{'' if most is None else f' and at most {most}'}")
 
 
 def future_dates(last: DataFrame, horizon: int, last_col: str = "last_date", name: str = "ds") -> DataFrame:
@@ -375,5 +375,5 @@ def forecast_errors(df: DataFrame, keys: Sequence[str], value: str = "value") ->
         df.groupBy(*keys)
         .agg(F.count(value).alias("_known"))
         .where("_known = 0")
-        .select(*keys, F.lit("No observed values to base forecast on").alias("error"))
+        .select(*keys, F.lit("no_values").alias("error"))
     )

@@ -33,9 +33,17 @@ class Series:
     daily: bool = True
     blocks: int | None = field(default=None, compare=False)
 
+    def parts(self) -> list[Column]:
+        """What windows are partitioned by. Rows that lack a key belong to no series, however many they are: they
+        are spread by their place in the order instead of meeting in one task."""
+        keys = [F.col(k) for k in self.keys]
+        if not keys:
+            return [F.lit(0)]
+        apart = F.concat(F.lit("\x00"), F.xxhash64(*self.order).cast("string"))
+        return [F.when(self.key_present(), keys[0].cast("string")).otherwise(apart), *keys[1:]]
+
     def window(self) -> WindowSpec:
-        keys = [F.col(k) for k in self.keys] or [F.lit(0)]
-        return Window.partitionBy(*keys).orderBy(*self.order)
+        return Window.partitionBy(*self.parts()).orderBy(*self.order)
 
     def key_present(self) -> Column:
         """True where every key is known; rows without a key belong to no series."""

@@ -145,13 +145,14 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return row.select(F.inline(F.array(*entries)))
 
 
-def top_correlations(df: DataFrame, target: str, cols: Sequence[str], top: int = 15) -> DataFrame:
+def top_correlations(df: DataFrame, target: str, cols: Sequence[str], top: int | None = None) -> DataFrame:
     """The features that move most with the target, by absolute correlation."""
     y = F.col(target).cast("double")
     row = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(c) for c in cols])
     entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in cols]
     out = row.select(F.inline(F.array(*entries))).where("corr is not null and not isnan(corr)")
-    return out.orderBy(F.abs("corr").desc(), "feature").limit(top)
+    ordered = out.orderBy(F.abs("corr").desc(), "feature")
+    return ordered.limit(top) if top else ordered
 
 
 def _pair_counts(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -7,14 +7,11 @@ from pyspark.sql import functions as F
 
 from salesline.functions.parsing import request_timestamp, scrub
 
-# The most points of one request, and the keys of a point that are not extras.
-MAX_POINTS = 10_000
+# The keys of a point that are not extras.
 POINT_KEYS = ("date", "value", "extras")
 
 REQUEST_SCHEMA = "id string, series array<map<string,string>>"
-NO_POINTS = "`series` must contain at least one datapoint"
-TOO_MANY = "`series` must not exceed 10,000 datapoints"
-NO_VALUES = "At least one datapoint must have a non-null `value`"
+NO_POINTS, TOO_MANY, NO_VALUES = "no_points", "too_many_points", "no_values"
 
 
 def explode_requests(requests: DataFrame) -> DataFrame:
@@ -47,9 +44,9 @@ def keep_last_points(points: DataFrame, id_col: str = "id", date: str = "date",
 
 
 def request_status(
-    points: DataFrame, id_col: str = "id", date: str = "date", value: str = "value", max_points: int | None = MAX_POINTS
+    points: DataFrame, id_col: str = "id", date: str = "date", value: str = "value", max_points: int | None = None
 ) -> DataFrame:
-    """``ok`` or the reason a request is refused. ``max_points=None`` sets no limit."""
+    """``ok`` or the reason a request is refused; ``max_points`` sets a limit to its points."""
     n = F.count_if(F.col(date).isNotNull() | F.col(value).isNotNull())
     status = F.when(n == 0, NO_POINTS)
     if max_points:

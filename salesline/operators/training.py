@@ -52,7 +52,7 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
 
-def importance(model: PipelineModel, features: Sequence[str], top: int = 20) -> DataFrame:
+def importance(model: PipelineModel, features: Sequence[str], top: int | None = None) -> DataFrame:
     """The features a tree model uses most."""
     spark = SparkSession.getActiveSession()
     weights = model.stages[-1].featureImportances.toArray()

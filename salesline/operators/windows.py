@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from salesline.operators.ordering import Series, over_series, range_blocks, running_sum
 
+# All rows in order, in blocks.
+WHOLE = Series((), daily=False)
+
 # The feature settings shared by training and forecasting.
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 WINDOWS = (7, 14, 28)
@@ -103,14 +106,14 @@ def add_crosses(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def add_diff(df: DataFrame, value: str = "value", series: Series = Series((),), name: str = "diff") -> DataFrame:
+def add_diff(df: DataFrame, value: str = "value", series: Series = WHOLE, name: str = "diff") -> DataFrame:
     return over_series(
         df, series, 1, lambda rows, w: rows.withColumn(name, F.col(value) - F.lag(value, 1).over(w))
     )
 
 
 def add_moving_average(
-    df: DataFrame, value: str = "value", size: int = 7, series: Series = Series(()), name: str | None = None
+    df: DataFrame, value: str = "value", size: int = 7, series: Series = WHOLE, name: str | None = None
 ) -> DataFrame:
     """Mean of the current and the previous rows, from the first row on."""
     return over_series(
@@ -122,7 +125,7 @@ def add_moving_average(
 
 
 def add_cumulative_sum(
-    df: DataFrame, value: str = "value", series: Series = Series(()), name: str = "cumulative"
+    df: DataFrame, value: str = "value", series: Series = WHOLE, name: str = "cumulative"
 ) -> DataFrame:
     if series.daily:
         frame = series.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)

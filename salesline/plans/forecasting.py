@@ -167,7 +167,7 @@ def diagnostics(spark, sf):
 @query(
     "i9_forecast_errors",
     f"""WITH {DIRTY_SQL}, t AS (SELECT store_id, product_id, CASE WHEN store_id <> 'S004' THEN value END AS value FROM dirty_sales)
-    SELECT store_id, product_id, 'No observed values to base forecast on' AS error FROM t GROUP BY ALL HAVING count(value) = 0""",
+    SELECT store_id, product_id, 'no_values' AS error FROM t GROUP BY ALL HAVING count(value) = 0""",
 )
 def forecast_errors(spark, sf):
     rows = dirty_sales(spark, sf).withColumn("value", F.when(F.col("store_id") != "S004", F.col("value")))

@@ -44,7 +44,7 @@ def csv_bad_rows(spark, sf):
     """Lines with too many fields are set apart, short ones are kept."""
     path = scratch(spark)
     line = (
-        F.when(F.col("rid") % 101 == 0, F.concat_ws(",", "rid", F.lit("a"), F.lit("b"), F.lit("c")))
+        F.when(F.col("rid") % 101 == 0, F.concat_ws(",", "rid", F.lit("a"), F.lit(""), F.lit("c")))
         .when(F.col("rid") % 103 == 0, F.col("rid").cast("string"))
         .otherwise(F.concat_ws(",", "rid", F.lit("x")))
     )
@@ -73,6 +73,14 @@ def folder_scan(spark, sf):
     return counts[0].unionByName(counts[1])
 
 
+@query("a4_stage_read", f"WITH {DAILY_SQL} SELECT store_id, product_id, date, value FROM sales_daily")
+def stage_read(spark, sf):
+    """Sales stored by store, all read back."""
+    path = scratch(spark)
+    files.write_stage(sales_daily(spark, sf).select(*KEY, "value"), path, "sales", "clean", ["store_id"])
+    return files.read_stage(spark, path, "sales", "clean")
+
+
 @query("a4_stage_files", f"WITH {DAILY_SQL} SELECT store_id, product_id, date, value FROM sales_daily WHERE store_id = 'S007'")
 def stage_files(spark, sf):
     """Sales stored by store, one store read back: only its files are opened."""
@@ -121,15 +129,16 @@ def metrics_files(spark, sf):
 
 @query(
     "a8_forecast_log",
-    f"""WITH {DAILY_SQL} SELECT store_id || '_' || product_id AS id, 7 AS n_forecast, 6 AS days, 'naive' AS method
-    FROM sales_daily GROUP BY ALL""",
+    f"""WITH {DAILY_SQL} SELECT store_id || '_' || product_id AS id, 7 AS horizon, count(*) AS n_input, 7 AS n_forecast,
+      6 AS days, 'naive' AS method FROM sales_daily GROUP BY store_id, product_id""",
 )
 def forecast_log(spark, sf):
     from salesline.operators.forecast import naive_forecast
 
     path = scratch(spark)
     keys = ["store_id", "product_id"]
-    files.append_forecast_log(naive_forecast(sales_daily(spark, sf), keys, 7), path, "naive", keys)
+    daily = sales_daily(spark, sf)
+    files.append_forecast_log(naive_forecast(daily, keys, 7), path, "naive", keys, 7, daily)
     return spark.read.parquet(path).drop("logged_at")
 
 
@@ -149,14 +158,14 @@ def table_fingerprint(spark, sf):
     return files.fingerprint(rows)
 
 
-@query("a10_duplicate_files")
+@query("a10_duplicate_files", f"WITH {LINE_SQL} SELECT 2 AS files, count(*) + 1 AS lines FROM sales_line GROUP BY store_id")
 def duplicate_files(spark, sf):
-    """Stores whose files are written twice are found by their contents."""
+    """One file per store, written to two folders: copies are found by their contents, whatever their names."""
     path = scratch(spark)
-    rows = sales_line(spark, sf).where("store_id in ('S001', 'S002')").select("rid", "store_id").coalesce(1)
-    for _ in range(2):
-        rows.sortWithinPartitions("rid").write.mode("append").option("header", True).csv(path)
-    return files.duplicate_files(spark, path).select("files")
+    rows = sales_line(spark, sf).select("rid", "store_id").repartition("store_id").sortWithinPartitions("store_id", "rid")
+    for folder in ("one", "two"):
+        rows.write.partitionBy("store_id").option("header", True).csv(f"{path}/{folder}")
+    return files.duplicate_files(spark, path).select("files", "lines")
 
 
 @query(
@@ -219,10 +228,11 @@ def name_likeness(spark, sf):
     return rounded(out, {f"{t}_score": 9 for t in conform.TARGETS})
 
 
-@query("b2_name_scores")
+@query("b2_name_scores", f"WITH {HEADERS_SQL} SELECT p_partkey, {_likeness_sql('id')} FROM headers")
 def name_scores(spark, sf):
-    """The score the mapping uses, for a whole table of names."""
-    return headers(spark, sf).select("p_partkey", conform.name_scores(F.col("name"), conform.ALIASES["id"]).alias("id_score"))
+    """The name points the mapping uses, for a whole table of names."""
+    score = conform.edit_likeness(F.col("name"), conform.ALIASES["id"])
+    return rounded(headers(spark, sf).select("p_partkey", score.alias("id_score")), {"id_score": 9})
 
 
 EVIDENCE_COLS = ["shop", "sold_on", "amount", "qty", "price"]
@@ -244,20 +254,18 @@ def column_evidence(spark, sf):
     return rounded(out, {"date_share": 9, "number_share": 9, "distinct_share": 9})
 
 
-@query("b6_column_mapping")
+@query("b6_column_mapping", "SELECT * FROM (VALUES ('id', 'product_id'), ('date', 'sold_on'), ('value', 'qty')) t(target, \"column\")")
 def column_mapping(spark, sf):
-    """The chosen column of each target, with its score."""
-    evidence = conform.gather(text_rows(spark, sf).drop("rid"))
-    mapping, scores = conform.best_mapping(evidence), conform.column_scores(evidence)
-    rows = [(t, c, float(dict(scores[t])[c])) for t, c in mapping.items()]
-    return spark.createDataFrame(rows, "target string, column string, score double")
+    """The column each target takes, out of all columns."""
+    mapping = conform.best_mapping(spark, conform.gather(text_rows(spark, sf)))
+    return spark.createDataFrame(list(mapping.items()), "target string, column string")
 
 
-@query("b9_fallback_mapping")
+@query("b9_fallback_mapping", "SELECT * FROM (VALUES ('id', 'product_id'), ('date', 'sold_on'), ('value', 'qty')) t(target, \"column\")")
 def fallback_mapping(spark, sf):
-    """Targets found without name scores, from bare names and contents alone."""
-    evidence = conform.gather(text_rows(spark, sf).drop("rid", "product_id"))
-    return spark.createDataFrame(list(conform.fallback_mapping(evidence).items()), "target string, column string")
+    """Targets found without name points, from bare names and contents alone."""
+    found = conform.fallback_mapping(spark, conform.gather(text_rows(spark, sf)))
+    return spark.createDataFrame(list(found.items()), "target string, column string")
 
 
 CONFORM_SQL = f"""try_cast(nullif(regexp_extract(shop, '(\\d+)', 1), '') AS bigint) AS id,
@@ -276,10 +284,10 @@ def conformed(spark, sf):
     return rounded(out, {"value": 2})
 
 
-@query("b12_report_columns")
+@query("b12_report_columns", "SELECT 'o_orderdate' AS date_column, 'o_orderkey' AS value_column")
 def report_columns(spark, sf):
     """Date and value columns of the order table, which has neither usual name."""
-    found = conform.detect_report_columns(table(spark, sf, "orders").drop("o_orderkey"))
+    found = conform.detect_report_columns(table(spark, sf, "orders"))
     return spark.createDataFrame([found], "date_column string, value_column string")
 
 

@@ -7,10 +7,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# The most rows of a table of two or three short columns that every executor may hold.
-BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "salesline", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,14 +57,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join a grouped table, computed once; if it is small no row of ``df`` moves, however
-    unevenly the keys are spread."""
-    return df.join(broadcast_if_small(cut_lineage(table)), list(keys), "left")
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow table for broadcast if counting shows it is small; a larger one is joined by shuffle.
-
-    Meant for tables that are stored already, so that the count costs little.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Left join a grouped table, computed once. Its size is then known, so that the planner sends it to all tasks if
+    it is small and else shuffles, splitting hot keys."""
+    return df.join(cut_lineage(table), list(keys), "left")

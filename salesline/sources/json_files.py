@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from salesline.operators.requests import REQUEST_SCHEMA
 
-# Fixed value: how many of the newest metrics files a listing shows.
-NEWEST_FILES = 50
-
 
 def read_requests(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Requests ``{id, series: [...]}``, or batches ``{requests: [...]}`` of them."""
@@ -46,5 +43,7 @@ def metrics_texts(spark: SparkSession, folder: str) -> DataFrame:
     return read.where(~F.lower("model").startswith("eval_summary"))
 
 
-def newest_metrics(spark: SparkSession, folder: str, files: int = NEWEST_FILES) -> DataFrame:
-    return metrics_texts(spark, folder).orderBy(F.col("modified").desc(), "model").limit(files)
+def newest_metrics(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    """All metrics files, or the newest ``files`` of them, newest first."""
+    ordered = metrics_texts(spark, folder).orderBy(F.col("modified").desc(), "model")
+    return ordered.limit(files) if files else ordered

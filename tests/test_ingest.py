@@ -74,14 +74,14 @@ def test_value_from_quantity_and_price(spark):
     assert out.first()["value"] == 7.0
 
 
-def test_fallback_and_missing_targets():
+def test_fallback_and_missing_targets(spark):
     def seen(*names, dates=0.0):
         return [conform.Evidence(n, 10, dates if i == 0 else 0.0, 0.0, 0.5) for i, n in enumerate(names)]
 
-    assert conform.fallback_mapping(seen("x", "SaleDate", "Qty")) == {"date": "SaleDate", "value": "Qty", "id": "x"}
-    assert conform.fallback_mapping(seen("when", "b", "c", dates=0.5)) == {"date": "when", "id": "b", "value": "c"}
+    assert conform.fallback_mapping(spark, seen("x", "SaleDate", "Qty")) == {"date": "SaleDate", "value": "Qty", "id": "x"}
+    assert conform.fallback_mapping(spark, seen("when", "b", "c", dates=0.5)) == {"date": "when", "id": "b", "value": "c"}
     with pytest.raises(ValueError, match="date"):
-        conform.require_targets(conform.fallback_mapping(seen("a", "b")))
+        conform.require_targets(conform.fallback_mapping(spark, seen("a", "b")))
     with pytest.raises(ValueError):
         conform.require_columns(type("T", (), {"columns": ["a"]}), ["a", "b"])
 
@@ -124,7 +124,7 @@ def test_folder_with_different_headers(spark, tmp_path):
     assert sorted(reads[("a", "b")]["source_file"]) == ["one.csv", "three.csv"]
     assert len(reads[("a", "b", "c")]) == 2
     found = files.duplicate_files(spark, str(tmp_path)).collect()
-    assert [(r["files"], r["first_file"]) for r in found] == [(2, "one.csv")]
+    assert [(r["files"], r["first_file"].rsplit("/", 1)[1]) for r in found] == [(2, "one.csv")]
 
 
 def test_fingerprint_ignores_order(spark):
@@ -176,3 +176,38 @@ def test_series_info_and_activity(spark):
     assert info["series_id"] == "a" and info["unique_dates"] == 1 and info["original_rows"] == 2
     matrix = report.activity_matrix(report.activity(df)).collect()
     assert len(matrix) == 7 and len(matrix[0]) == 54 and matrix[0]["1"] == 5.0
+
+
+def test_csv_records(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "x.csv").write_text('a,b\n1,2\n4,5,,6\n7\n"x,y",3\n8,9,\n')
+    read = files.read_csv(spark, str(folder), sep=",")
+    assert sorted(r.line for r in read.rejected.collect()) == ["4,5,,6", "8,9,"] and read.rejected.count() == 2
+    assert sorted((r.a, r.b) for r in read.rows.fillna("-").collect()) == [("1", "2"), ("7", "-"), ("x,y", "3")]
+    (folder / "x.csv").write_text('a,b\n"two\nlines",1\n')
+    assert files.read_csv(spark, str(folder), sep=",", multi_line=True).rows.first()["a"] == "two\nlines"
+    (folder / "x.csv").write_text('a,b\n1,x "y\n2,"z\n3,"w"\n')
+    assert files.read_csv(spark, str(folder), sep=",", quoted=None).rows.count() == 3
+
+
+def test_copies_and_unreadable_files(spark, tmp_path):
+    contents = {"one/x.csv": "h\n1\n2\n", "two/x.csv": "h\n1\n2\n", "two/y.csv": "h\n2\n1\n"}
+    for name, text in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    found = {(r.files, r.lines, r.first_file.rsplit("/", 1)[1]) for r in files.duplicate_files(spark, str(tmp_path)).collect()}
+    assert found == {(2, 3, "x.csv")}
+    (tmp_path / "bad.csv.gz").write_bytes(b"\x1f\x8b\x08\x00broken")
+    assert [r.source_file.rsplit("/", 1)[1] for r in files.unreadable_files(spark, str(tmp_path)).collect()] == ["bad.csv.gz"]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [("5/3/2024", "2024-03-05 00:00:00"), ("2024-1-5", "2024-01-05 00:00:00"), ("2024-01-02T03:04:05Z", "2024-01-02 03:04:05"),
+     ("2024-01-02 10:00", "2024-01-02 10:00:00"), ("2024-01-02T01:30:00.25+02:00", "2024-01-01 23:30:00.25"), ("20240105", "2024-01-05 00:00:00"),
+     ("05/13/2024", "2024-05-13 00:00:00"), ("2024-02-30", None), ("13/13/2024", None), ("x", None), ("", None), (None, None), ("1704067200", "2024-01-01 00:00:00")],
+)
+def test_request_dates(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(parsing.request_timestamp(F.col("t")).cast("string").alias("d")).first()["d"]
+    assert got == want
