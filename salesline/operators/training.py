@@ -216,9 +216,15 @@ def predict_seasonal(
     regressors: Sequence[str] = ("price", "on_promo", "is_weekend"),
     multiplicative: bool = True,
     name: str = "yhat",
+    train: DataFrame | None = None,
+    value: str = "value",
 ) -> DataFrame:
-    """Forecast of every row whose series has a model, never below 0; others stay null."""
-    trained = models.where("status = 'trained'").select(*keys, "origin", "span", "centers", "coefficients")
+    """Forecast of every row whose series has a model, never below 0, and the status of the series.
+
+    With ``train`` the other rows get the mean of their series, or that of all rows; without it they stay null.
+    """
+    known = ["origin", "span", "centers", "coefficients"]
+    trained = models.select(*keys, "status", *[F.when(F.col("status") == "trained", F.col(c)).alias(c) for c in known])
     day = F.datediff(date, F.lit("1970-01-01").cast("date")).cast("double")
     waves = [F.lit(1.0), (F.col("_day") - F.col("origin")) / F.col("span")]
     for period, terms in ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS), (MONTH_DAYS, MONTHLY_TERMS)):
@@ -232,7 +238,11 @@ def predict_seasonal(
     dot = F.aggregate(F.zip_with("_x", "coefficients", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     yhat = F.expm1(F.least(dot, F.lit(dataset.LOG_CLIP))) if multiplicative else dot
     out = joined.withColumn(name, F.when(F.col("coefficients").isNotNull(), F.greatest(yhat, F.lit(0.0))))
-    return out.drop("origin", "span", "centers", "coefficients", "_day", "_x")
+    out = out.withColumn("status", F.coalesce("status", F.lit("unseen"))).drop(*known, "_day", "_x")
+    if train is None:
+        return out
+    filled = dataset.mean_fallback(out, train, keys, value, "_mean")
+    return filled.withColumn(name, F.coalesce(name, "_mean")).drop("_mean")
 
 
 # ------------------------------------------------------------------------------------- training

@@ -92,7 +92,7 @@ def parameter_search(spark, sf):
 def seasonal_regression(spark, sf):
     train, test = model_rows(spark, sf)
     models = training.fit_seasonal(train, SERIES)
-    return training.predict_seasonal(models, test, SERIES).select(*KEY, "value", "yhat")
+    return training.predict_seasonal(models, test, SERIES, train=train).select(*KEY, "value", "yhat", "status")
 
 
 @query("h13_feature_importance")

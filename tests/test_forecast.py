@@ -80,9 +80,10 @@ def test_recursive_forecast(history, observed_row):
 
 
 def test_horizon_limits(history):
-    for horizon in (0, 366):
-        with pytest.raises(ValueError):
-            forecast.naive_forecast(history[1], KEYS, horizon)
+    with pytest.raises(ValueError):
+        forecast.naive_forecast(history[1], KEYS, 0)
+    with pytest.raises(ValueError):
+        forecast.check_horizon(366, most=365)
 
 
 def test_post_processing_stages(history):
