@@ -210,12 +210,12 @@ BIN_SQL = {
 for _every, (_bin, _spine) in BIN_SQL.items():
 
     def _resample(spark, sf, every=_every):
-        rows = sales_line(spark, sf).where("store_id = 'S003' AND product_id = 'PROMO'")
+        rows = sales_line(spark, sf)
         return report.resample(rows, every, "quantity")
 
     query(
         f"k16_resample_{_every.lower()}",
-        f"""WITH {LINE_SQL}, t AS (SELECT * FROM sales_line WHERE store_id = 'S003' AND product_id = 'PROMO'),
+        f"""WITH {LINE_SQL}, t AS (SELECT * FROM sales_line),
         b AS (SELECT cast(unnest({_spine}) AS date) AS bin FROM t),
         g AS (SELECT {_bin} AS bin, sum(quantity) AS s, avg(quantity) AS mean, count(quantity) AS n FROM t GROUP BY 1)
         SELECT b.bin, coalesce(s, 0) AS total, mean, coalesce(n, 0) AS n FROM b LEFT JOIN g ON g.bin = b.bin""",
@@ -443,7 +443,7 @@ def outside_bounds(spark, sf):
 @query(
     "l7_deviating_days",
     f"""WITH {SIDES_SQL} SELECT store_id, product_id, ds, y, yhat, round(abs((y - yhat) / nullif(y, 0)) * 100, 4) AS pct_error
-    FROM both_sides WHERE abs((y - yhat) / nullif(y, 0)) * 100 > 50 ORDER BY ds, store_id, product_id LIMIT 50""",
+    FROM both_sides WHERE abs((y - yhat) / nullif(y, 0)) * 100 > 50""",
 )
 def deviating_days(spark, sf):
     out = combine.deviating(both_sides(spark, sf), ["ds", *SERIES]).select(*DS_KEY, "y", "yhat", "pct_error")

@@ -55,7 +55,8 @@ def ingest_new_files(
 
 
 def daily_totals(stream: DataFrame, value: str = "value", ts: str = "ts", late: str = "2 days") -> DataFrame:
-    """Sum and count per UTC day; rows later than ``late`` are left out of days already closed."""
+    """Sum and count per UTC day. In append and update mode rows later than ``late`` are left out of days already
+    closed; complete mode keeps every day open and every row."""
     return (
         stream.withWatermark(ts, late)
         .groupBy(F.window(ts, "1 day").alias("_w"))
