@@ -31,8 +31,8 @@ from salesline.session import cut_lineage
 
 LENGTH, GRAM = 100, 24
 HOT = 4096
-CHUNK = 4 << 20
-FLUSH = 200_000
+CHUNK = 1 << 19
+FLUSH = 120_000
 BITS = 27
 BASE = 0x3C79AC492BA7B653
 
@@ -135,14 +135,15 @@ class Cutter:
         return mix((sums[starts + LENGTH] - sums[starts]) * down[starts])
 
     def contexts(self, data: np.ndarray, offsets: np.ndarray):
-        """Anchor hash, context hash, piece, first and last string start of every context, in text order."""
+        """Anchor hash (spread anew, as least hashes are small), context hash, piece, first and last string start of
+        every context, in text order."""
         none = np.zeros(0, np.int64)
         if len(data) < LENGTH:
             return none.astype(U64), none.astype(U64), none, none, none
         sums, down = self.sums(data)
         n, span = len(data) - GRAM + 1, LENGTH - GRAM + 1
         low = mix((sums[GRAM:] - sums[:n]) * down[:n])
-        at, width = np.arange(n, dtype=np.int64), 1
+        at, width = np.arange(n, dtype=np.int32), 1
         while width * 2 <= span:  # the leftmost least gram of every ``width`` neighbours
             right = low[width:] < low[:-width]
             low, at = np.where(right, low[width:], low[:-width]), np.where(right, at[width:], at[:-width])
@@ -163,7 +164,7 @@ class Cutter:
         last = np.append(first[1:], len(start)) - 1
         lo, hi = start[first], start[last]
         context = mix((sums[hi + LENGTH] - sums[lo]) * down[lo] + (hi - lo).astype(U64) * U64(0x9E3779B97F4A7C15) + (anchor[first] - lo).astype(U64))
-        return low[start[first]], context, piece[first], lo, hi
+        return mix(low[start[first]] + U64(1)), context, piece[first], lo, hi
 
 
 def later_copies(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -411,10 +412,10 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
     quoted = [f"`{n}`" for n in names]
     flagged = rows.select(*quoted, "_doc").mapInArrow(flag, T.StructType([*fields, T.StructField("_doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
     hit = flagged.where("_hit").drop("_hit").join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    rest = flagged.where("not _hit").drop("_hit").withColumn("_spans", F.lit(None).cast("array<struct<a:bigint,b:bigint>>"))
-    schema = T.StructType([*fields, *new])
-    both = [x.select(*quoted, "_spans").mapInArrow(cut, schema) for x in (rest, hit)]
-    return both[0].unionByName(both[1])
+    body, nothing = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(0).cast("long")
+    whole = [F.encode(body, "UTF-8").alias("kept"), F.octet_length(body).cast("long").alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans")]
+    rest = flagged.where("not _hit").select(*quoted, *whole)
+    return rest.unionByName(hit.select(*quoted, "_spans").mapInArrow(cut, T.StructType([*fields, *new])))
 
 
 def replace_text(cut: DataFrame, text: str = "text") -> DataFrame:
