@@ -29,7 +29,8 @@ from salesline.llm.langid import sample_rows
 from salesline.session import cut_lineage
 
 FIT_ROWS = 20_000
-LEAST_DOCS, LEAST_NEW, LEAST_PRECISION, PRIOR = 8, 2, 0.75, 3
+LEAST_DOCS, LEAST_NEW, LEAST_SHARE, LEAST_PRECISION, PRIOR = 8, 2, 0.02, 0.75, 3
+CLEAN_COST = 3  # toxic texts that a term must bring for every clean text it is in
 PREFIXES = (4, 5, 6)
 SYMBOLS = 64
 THRESHOLD = 0.7
@@ -274,7 +275,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROW
 
 
 def learn_terms(sample: DataFrame, model: CharModel) -> ToxicTerms:
-    """Choose terms greedily: of those precise enough, the one in most toxic texts without a term so far.
+    """Choose terms greedily: of those precise enough, the one that brings most toxic texts without a term so far, less
+    a cost for the clean texts it is in; then a second term for as many texts as possible.
 
     Equal texts count once. Candidates are terms of at least ``LEAST_DOCS`` toxic texts; their counts are taken
     where the sample lies, and the driver gets only candidates and, for each toxic text, the candidates it holds.
@@ -311,20 +313,28 @@ def learn_terms(sample: DataFrame, model: CharModel) -> ToxicTerms:
     weight = {t: (n + PRIOR * base) / (n + clean.get(t, 0) + PRIOR) for t, n in toxic.items()}
     precise = {t for t, w in weight.items() if w >= LEAST_PRECISION}
     texts = [precise.intersection(r.terms) for r in held.where("toxic = 1").select("terms").toLocalIterator()]
-    left, chosen = Counter(t for x in texts for t in x), []
-    while left:
-        top, new = max(left.items(), key=lambda x: (x[1], weight[x[0]], len(x[0]), x[0]))
-        if new < LEAST_NEW:
-            break
-        chosen.append(top)
-        for x in [x for x in texts if top in x]:
-            left.subtract(x)
-        texts = [x for x in texts if top not in x]
-        left = Counter({t: n for t, n in left.items() if n > 0})
-    uncovered = (len(texts) + 0.5) / (len(texts) + negatives + 1)
+    chosen: list[str] = []
+    for round_ in (1, 2):  # every text by one term, then as many as possible by another, in case one is missing elsewhere
+        stems = [t.rstrip("*") for t in chosen]
+        other = {t for t in precise if not any(t.startswith(s) or s.startswith(t.rstrip("*")) for s in stems)}
+        open_texts = [x & other for x in texts]
+        new_least = LEAST_NEW if round_ == 1 else max(LEAST_NEW, LEAST_SHARE * positives)
+        left = Counter(t for x in open_texts for t in x)
+        while left:
+            top = max(left, key=lambda t: (left[t] - CLEAN_COST * clean.get(t, 0), weight[t], not t.endswith("*"), len(t), t))
+            if left[top] < new_least or left[top] <= CLEAN_COST * clean.get(top, 0):
+                break
+            chosen.append(top)
+            for x in [x for x in open_texts if top in x]:
+                left.subtract(x)
+            open_texts = [x for x in open_texts if top not in x]
+            left = Counter({t: n for t, n in left.items() if n > 0})
+        if round_ == 1:
+            uncovered = (len(open_texts) + 0.5) / (len(open_texts) + negatives + 1)
     weights = {t: weight[t] for t in chosen}
     for t in chosen:  # a restored word may have lost one of two equal letters
-        weights.setdefault(re.sub(r"(.)\1+", r"\1", t), weight[t])
+        if not t.endswith("*"):
+            weights.setdefault(re.sub(r"(.)\1+", r"\1", t), weight[t])
     return ToxicTerms(weights, min(uncovered, base))
 
 
