@@ -256,6 +256,13 @@ class Outcome:
     errors: dict[str, str] = field(default_factory=dict)
     metrics: DataFrame | None = None
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The metrics with a column ``error``, and a row for every back-end that failed."""
+        failed = spark.createDataFrame(sorted(self.errors.items()), "model string, error string")
+        if self.metrics is None:
+            return failed
+        return self.metrics.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+
 
 BACKENDS: dict[str, Callable[[str], object]] = {
     "boosted_trees": lambda target: boosted_trees(target),

@@ -106,10 +106,11 @@ def all_backends(spark, sf):
     train, test = model_rows(spark, sf)
     backends = {
         "boosted_trees": lambda target: training.boosted_trees(target, maxIter=5, maxDepth=4),
+        "forest": training.BACKENDS["forest"],
         "linear": training.BACKENDS["linear"],
         "broken": lambda target: training.boosted_trees("no_such_column"),
     }
-    return training.train_all(train, test, MODEL_FEATURES, backends=backends).metrics
+    return training.train_all(train, test, MODEL_FEATURES, backends=backends).report(spark)
 
 
 @query("h16_recomputed_bias")
