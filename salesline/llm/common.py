@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 BITMAP = 1 << 24
 
 

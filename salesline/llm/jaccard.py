@@ -36,7 +36,7 @@ RATIO = 1.4
 SPARE = 4  # one segment more than needed for so many
 DESIGNATED = 32  # one segment in so many, and one more, has its one-deletion neighbourhood indexed
 SKETCH = 1 << 18
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 BASE = 0x2127599BF4325C37
 ACTIVE, DELETION = 1, 2
 EMPTY_COST, SINGLE_COST = np.int64(1) << 60, np.int64(1) << 59

@@ -97,7 +97,7 @@ def positions(h: np.ndarray, bits: int, k: int) -> np.ndarray:
 
 @dataclass
 class LanguageFilters:
-    """The array of masks (one or more 64-bit words per position), and each language's false positive rate."""
+    """The array of masks (one narrow word, or several of 64 bits, per position), and each language's false positive rate."""
 
     languages: list[str]
     gram: int
@@ -118,7 +118,7 @@ class LanguageFilters:
                 for k in range(1, self.hashes):
                     found = found & self.masks[positions(h, self.bits, k), w]
                 for i in range(min(64, len(self.languages) - 64 * w)):
-                    counts[:, 64 * w + i] = np.bincount(row, (found >> U64(i)) & U64(1), minlength=len(texts))
+                    counts[:, 64 * w + i] = np.bincount(row[(found >> found.dtype.type(i)) & found.dtype.type(1) > 0], minlength=len(texts))
         true = np.maximum(0, counts - total[:, None] * self.false_rate) / (1 - self.false_rate)
         best = true.argmax(axis=1) if self.languages else np.zeros(len(texts), int)
         top = true[np.arange(len(texts)), best] if self.languages else np.zeros(len(texts))
@@ -151,7 +151,7 @@ def fit_languages(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, "text", 1 << 18):
                 names = np.array(batch.column("lang").to_pylist(), object)
                 h, row, _ = gram_hashes(batch.column("text").to_pylist(), gram)
                 for name in sorted(set(names)):
@@ -167,13 +167,14 @@ def fit_languages(
     pdf = kept.select("lang", "h", (F.col("n") / F.col("total")).alias("share")).toPandas()
     languages = sorted(set(pdf["lang"]))
     width = max(1, -(-len(languages) // 64))
-    masks = np.zeros((1 << bits, width), U64)
+    narrow = next((t for t in (np.uint8, np.uint16, np.uint32) if len(languages) <= 8 * np.dtype(t).itemsize), np.uint64)
+    masks = np.zeros((1 << bits, width), narrow)
     best = pdf.groupby("h")["share"].transform("max")
     pdf = pdf[pdf["share"] >= KEEP * best]
     false_rate = np.zeros(len(languages))
     for i, name in enumerate(languages):
         h = pdf.loc[pdf["lang"] == name, "h"].to_numpy(np.int64).view(U64)
-        bit = U64(1) << U64(i % 64)
+        bit = narrow(1 << (i % 64))
         for k in range(hashes):
             masks[positions(h, bits, k), i // 64] |= bit
         false_rate[i] = (((masks[:, i // 64] & bit) != 0).mean()) ** hashes
@@ -194,7 +195,7 @@ def identify(documents: DataFrame, model: LanguageFilters, text: str = "text") -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
         for whole in batches:
-            for batch in pieces(whole, text, 2 << 20):
+            for batch in pieces(whole, text, 1 << 18):
                 names, score, cover = filters.score(batch.column(text).to_pylist())
                 known = np.array([x != UNKNOWN for x in names], bool)
                 columns = [*batch.columns, pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(cover)]

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from salesline.llm.common import pieces, without
 
 MARK = "▁"
-CACHE = 300_000
+CACHE = 150_000
 NONE = np.int64(1) << 60
 BLANK, UNKNOWN, OTHER, CLASSES = 256, 257, 258, 259
 
@@ -247,7 +247,7 @@ def _run(documents, model_path, text, check, new, kind, rows) -> DataFrame:
         encoder = Encoder(model_path, check)
         library, end = encoder.vocabulary.library, encoder.vocabulary.end
         for whole in batches:
-            for batch in pieces(whole, text, 1 << 20):
+            for batch in pieces(whole, text):
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 found = encoder.batch(texts)
                 ids = [" ".join([*(u[0] for u in us), str(end)]) for us in found]
