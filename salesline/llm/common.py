@@ -110,6 +110,24 @@ def lower_table() -> np.ndarray:
     return out
 
 
+def trimmed(work):
+    """``work`` over Arrow batches, giving unused memory back at its end: idle workers are kept and share the machine."""
+
+    def run(batches):
+        import ctypes
+
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library
+
+    return run
+
+
 def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``df`` without the columns, whatever their case, that an operator is about to add."""
     taken = {n.lower() for n in names}

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesline.llm.common import BITMAP, U64, Powers, bitmap, lower_table, mix, pieces, span_hashes, text_bytes, words_of
+from salesline.llm.common import BITMAP, U64, Powers, bitmap, lower_table, mix, pieces, span_hashes, text_bytes, words_of, trimmed
 from salesline.llm.components import connected_components
 from salesline.llm.decontaminate import window_hashes
 from salesline.session import cut_lineage
@@ -212,7 +212,7 @@ def gram_sketch(documents: DataFrame, text: str, ngram: int) -> np.ndarray:
                 sums[p] = sums.get(p, 0) + np.frombuffer(n, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["p", "n"])
 
-    rows = documents.select(text).mapInArrow(work, "p long, n binary").repartition("p").mapInArrow(add, "p long, n binary").collect()
+    rows = documents.select(text).mapInArrow(trimmed(work), "p long, n binary").repartition("p").mapInArrow(trimmed(add), "p long, n binary").collect()
     out = np.zeros(SKETCH, np.int64)
     for r in rows:
         out[r.p * size : (r.p + 1) * size] = np.frombuffer(bytes(r.n), np.int64)
@@ -288,8 +288,8 @@ def candidates(documents: DataFrame, text: str, ngram: int, bands: Bands, sketch
             if len(member):
                 yield _candidate_batch(sig, sid, flag, centre, member)
 
-    sent = documents.select(text).mapInArrow(split, "part long, own boolean, sig binary, row binary, sid binary")
-    return sent.repartition(parts, "part").mapInArrow(tie, CANDIDATE)
+    sent = documents.select(text).mapInArrow(trimmed(split), "part long, own boolean, sig binary, row binary, sid binary")
+    return sent.repartition(parts, "part").mapInArrow(trimmed(tie), CANDIDATE)
 
 
 def parity_sketch(grams: np.ndarray) -> bytes:
@@ -333,7 +333,7 @@ def digests(documents: DataFrame, doc: str, text: str, ngram: int, wanted: np.nd
                     ["doc_id", "sid", "n_shingles", "sketch"],
                 )
 
-    return rows.mapInArrow(work, f"doc_id {kind}, sid long, n_shingles long, sketch binary")
+    return rows.mapInArrow(trimmed(work), f"doc_id {kind}, sid long, n_shingles long, sketch binary")
 
 
 def near_pairs(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -350,7 +350,7 @@ def near_pairs(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.select([*names, "na", "nb"]).filter(pa.array(near, pa.bool_()))
 
-    return both.select(*names, "na", "nb", "sa", "sb").mapInArrow(work, ", ".join(f"{c} long" for c in [*names, "na", "nb"]))
+    return both.select(*names, "na", "nb", "sa", "sb").mapInArrow(trimmed(work), ", ".join(f"{c} long" for c in [*names, "na", "nb"]))
 
 
 def sets_of(documents: DataFrame, text: str, ngram: int, wanted: np.ndarray) -> DataFrame:
@@ -368,7 +368,7 @@ def sets_of(documents: DataFrame, text: str, ngram: int, wanted: np.ndarray) ->
                         out.append((s, grams.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([g for _, g in out], pa.list_(pa.int64()))], ["sid", "grams"])
 
-    rows = documents.select(text).mapInArrow(work, "sid long, grams array<long>")
+    rows = documents.select(text).mapInArrow(trimmed(work), "sid long, grams array<long>")
     return rows.groupBy("sid").agg(F.first("grams").alias("grams"))
 
 
@@ -467,7 +467,7 @@ def across_components(tied: DataFrame, roots: DataFrame, sizes: DataFrame, perce
             yield from _near_in_block(held, key, percent)
 
     ordered = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
-    return ordered.mapInArrow(compare, "a long, b long, na long, nb long").distinct()
+    return ordered.mapInArrow(trimmed(compare), "a long, b long, na long, nb long").distinct()
 
 
 BLOCK = 1024

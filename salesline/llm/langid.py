@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import U64, mix, pieces, text_key, without
+from salesline.llm.common import U64, mix, pieces, text_key, without, trimmed
 
 GRAM = 4
 BITS = 22
@@ -161,7 +161,7 @@ def fit_languages(
                         ["lang", "h", "n"],
                     )
 
-    grams = sample.select("text", "lang").mapInArrow(count, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
+    grams = sample.select("text", "lang").mapInArrow(trimmed(count), "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = grams.join(F.broadcast(totals), "lang").where(F.col("n") >= MIN_SHARE * F.col("total"))
     pdf = kept.select("lang", "h", (F.col("n") / F.col("total")).alias("share")).toPandas()
@@ -201,7 +201,7 @@ def identify(documents: DataFrame, model: LanguageFilters, text: str = "text") -
                 columns = [*batch.columns, pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(cover)]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "lang_score", "lang_cover"])
 
-    return documents.mapInArrow(work, T.StructType([*documents.schema.fields, *new]))
+    return documents.mapInArrow(trimmed(work), T.StructType([*documents.schema.fields, *new]))
 
 
 def held_out(name: str = "doc_id"):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from salesline.llm.common import pieces, without
+from salesline.llm.common import pieces, without, trimmed
 
 MARK = "▁"
 CACHE = 150_000
@@ -260,4 +260,4 @@ def _run(documents, model_path, text, check, new, kind, rows) -> DataFrame:
                 columns = [*batch.columns, *(pa.array(c, k) for c, k in zip(rows(texts, ids, decoded), kind, strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *(f.name for f in new)])
 
-    return documents.mapInArrow(work, T.StructType([*documents.schema.fields, *new]))
+    return documents.mapInArrow(trimmed(work), T.StructType([*documents.schema.fields, *new]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import U64, Powers, bit_table, bit_test, bitmap, mix, pieces, text_bytes, without
+from salesline.llm.common import U64, Powers, bit_table, bit_test, bitmap, mix, pieces, text_bytes, without, trimmed
 from salesline.session import cut_lineage
 
 LENGTH, GRAM = 100, 24
@@ -272,8 +272,8 @@ def repeated_contexts(rows: DataFrame, parts: int) -> DataFrame:
             for kind, rows in ((MIXED, value[n > 1]), (CROWDED, value[n > HOT])):
                 yield _found(kind, rows, np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64))
 
-    packed = rows.mapInArrow(split, "part long, kind long, " + ", ".join(f"c{i} binary" for i in range(5)))
-    return packed.repartition(parts, "part").mapInArrow(merge, FOUND)
+    packed = rows.mapInArrow(trimmed(split), "part long, kind long, " + ", ".join(f"c{i} binary" for i in range(5)))
+    return packed.repartition(parts, "part").mapInArrow(trimmed(merge), FOUND)
 
 
 def repeated_strings(rows: DataFrame, parts: int, mixed: np.ndarray, crowded: np.ndarray) -> DataFrame:
@@ -335,8 +335,8 @@ def repeated_strings(rows: DataFrame, parts: int, mixed: np.ndarray, crowded: np
             d, a, b = joined_stretches(doc[r], at[r], at[r] + LENGTH)
             yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(b)], ["doc", "a", "b"])
 
-    packed = rows.mapInArrow(split, "part long, kind long, c0 binary, c1 binary, c2 binary, c3 binary")
-    return packed.repartition(parts, "part").mapInArrow(compare, "doc long, a long, b long")
+    packed = rows.mapInArrow(trimmed(split), "part long, kind long, c0 binary, c1 binary, c2 binary, c3 binary")
+    return packed.repartition(parts, "part").mapInArrow(trimmed(compare), "doc long, a long, b long")
 
 
 def numbered(documents: DataFrame, doc: str, text: str) -> DataFrame:
@@ -410,12 +410,12 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
             yield pa.RecordBatch.from_arrays(columns, [*names, *(f.name for f in new)])
 
     quoted = [f"`{n}`" for n in names]
-    flagged = rows.select(*quoted, "_doc").mapInArrow(flag, T.StructType([*fields, T.StructField("_doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
+    flagged = rows.select(*quoted, "_doc").mapInArrow(trimmed(flag), T.StructType([*fields, T.StructField("_doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
     hit = flagged.where("_hit").drop("_hit").join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
     body, nothing = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(0).cast("long")
     whole = [F.encode(body, "UTF-8").alias("kept"), F.octet_length(body).cast("long").alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans")]
     rest = flagged.where("not _hit").select(*quoted, *whole)
-    return rest.unionByName(hit.select(*quoted, "_spans").mapInArrow(cut, T.StructType([*fields, *new])))
+    return rest.unionByName(hit.select(*quoted, "_spans").mapInArrow(trimmed(cut), T.StructType([*fields, *new])))
 
 
 def replace_text(cut: DataFrame, text: str = "text") -> DataFrame:
@@ -428,7 +428,7 @@ def replace_text(cut: DataFrame, text: str = "text") -> DataFrame:
             i = batch.schema.get_field_index(text)
             yield batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
 
-    return cut.mapInArrow(work, cut.schema)
+    return cut.mapInArrow(trimmed(work), cut.schema)
 
 
 def digest(cut: DataFrame, doc: str = "doc_id") -> DataFrame:
