@@ -204,6 +204,25 @@ def test_extracts_article(spark):
     assert extract.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("shard", [500, 1])
+def test_extract_keeps_what_few_pages_repeat(spark, shard):
+    rng = random.Random(11)
+    own = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))
+    plain = [(i, f"<p>{own()}</p>", "") for i in range(12)]
+    quote, headline, footer = own(), own(), own()
+    plain[0], plain[1] = ((i, f"{b}<p>{quote}</p>", n) for i, b, n in plain[:2])  # two pages quote the same
+    plain[2], plain[3] = (2, f"<h1>{headline}</h1>{plain[2][1]}", ""), (3, plain[3][1], headline)  # in another page's menu
+    plain += [(12, plain[4][1], ""), (13, plain[4][1], "")]  # copies
+    plain.append((14, "<article><p>short lead</p></article><p>the rest stands outside of it</p>", ""))
+    rows = [(i, f"http://q.org/{i}", f"<body><nav>{n}</nav>{b}<div>{footer}</div></body>") for i, b, n in plain]
+    twins = [(100 + i, f"http://t.org/{i}", f"<body><p>{own() if i == 2 else quote}</p></body>") for i in range(3)]
+    pages = spark.createDataFrame(rows + twins, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract.extract_main_text(pages, shard_pages=shard).collect()}
+    for i, body, _ in plain:
+        assert got[i] == "\n".join(re.findall(r"<(?:p|h1)>(.*?)</", body)), i
+    assert got[100] == got[101] == quote and got[102]
+
+
 def test_extracts_all_articles(spark):
     got = {r.page_id: r.text for r in llm_plans.QUERIES["op4_host_extract"](spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
