@@ -22,13 +22,18 @@ YEARLY_TERMS, WEEKLY_TERMS, MONTHLY_TERMS = 10, 3, 5
 MONTH_DAYS = 30.5
 
 SEARCH_SPACE: dict[str, Sequence] = {
-    "maxDepth": (3, 4, 5, 6),
-    "stepSize": (0.02, 0.05, 0.1, 0.2),
-    "maxIter": (10, 20, 40),
-    "subsamplingRate": (0.6, 0.8, 1.0),
-    "minInstancesPerNode": (5, 10, 50),
+    "maxDepth": tuple(range(4, 13)),
+    "stepSize": (0.005, 0.01, 0.02, 0.05, 0.1),
+    "maxIter": (500, 1000, 1500, 2000),
+    "subsamplingRate": (0.6, 0.7, 0.8, 0.9, 1.0),
+    "minInstancesPerNode": (10, 20, 50, 100),
 }
 
+# The sizes of a real fit; boosting ends after PATIENCE trees that do not lower the error on the validation rows.
+FULL_TREES = {"maxIter": 1000, "maxDepth": 6, "stepSize": 0.05}
+PATIENCE = 50
+TRIALS = 50
+
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
@@ -40,14 +45,55 @@ def boosted_trees(target: str = "value", **params) -> GBTRegressor:
 
 
 def fit(
-    train: DataFrame, features: Sequence[str], estimator, validation: str | None = None, tolerance: float = 0.01
+    train: DataFrame,
+    features: Sequence[str],
+    estimator,
+    validation: str | None = None,
+    tolerance: float = 0.01,
+    patience: int | None = None,
 ) -> PipelineModel:
-    """Fit an estimator on the feature columns; a boolean ``validation`` column stops boosting early."""
+    """Fit an estimator on the feature columns; a boolean ``validation`` column stops boosting early.
+
+    Boosting stops at the first tree that lowers the error by less than ``tolerance``, or, with ``patience``, after so
+    many trees that do not lower it; the trees up to the smallest error are kept.
+    """
+    if validation and patience and isinstance(estimator, GBTRegressor):
+        return _fit_patiently(train, features, estimator, validation, patience)
     if validation and isinstance(estimator, GBTRegressor):
         estimator = estimator.copy({estimator.validationIndicatorCol: validation, estimator.validationTol: tolerance})
     return Pipeline(stages=[assembler(features), estimator]).fit(train)
 
 
+def early_stop(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The number of trees with the smallest error before ``patience`` trees in a row lower it no more, and whether
+    there were so many."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegressor, validation: str, patience: int) -> PipelineModel:
+    """Spark's own early stop has no patience: fits of a doubling number of trees, which begin alike, are compared by
+    their errors after each tree."""
+    stage, most = assembler(features), estimator.getMaxIter()
+    known, held = train.where(~F.col(validation)), stage.transform(train.where(F.col(validation)))
+
+    def boost(trees: int) -> PipelineModel:
+        return Pipeline(stages=[stage, estimator.copy({estimator.maxIter: trees})]).fit(known)
+
+    trees = min(most, 2 * patience)
+    while True:
+        model = boost(trees)
+        best, stopped = early_stop(model.stages[-1].evaluateEachIteration(held, "squared"), patience)
+        if stopped or trees == most:
+            return model if best == trees else boost(best)
+        trees = min(most, 2 * trees)
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
@@ -78,10 +124,12 @@ def search(
     trials: Iterable[dict],
     target: str = "value",
     from_target: Callable[[DataFrame], DataFrame] | None = None,
+    patience: int | None = None,
 ) -> list[Trial]:
     """Mean RMSE over the expanding folds for each set of parameters, best first.
 
-    ``folded`` has ``fold`` and ``role`` columns. ``from_target`` turns ``yhat`` back to the original
+    ``folded`` has ``fold`` and ``role`` columns. With ``patience`` the validation rows of a fold stop its boosting, as
+    in ``fit``. ``from_target`` turns ``yhat`` back to the original
     scale, with the observed value in ``value``.
     """
     folds = [r["fold"] for r in folded.select("fold").distinct().orderBy("fold").collect()]
@@ -90,7 +138,11 @@ def search(
         errors = []
         for k in folds:
             part = folded.where(F.col("fold") == k)
-            model = fit(part.where("role = 'train'"), features, boosted_trees(target, **params))
+            if patience:
+                flagged = part.withColumn("is_validation", F.col("role") == "validation")
+                model = fit(flagged, features, boosted_trees(target, **params), "is_validation", patience=patience)
+            else:
+                model = fit(part.where("role = 'train'"), features, boosted_trees(target, **params))
             scored = predict(model, part.where("role = 'validation'"))
             scored = from_target(scored) if from_target else scored
             scored = scored.withColumn("yhat", F.greatest("yhat", F.lit(0.0)))
@@ -281,12 +333,15 @@ def train_all(
     features: Sequence[str],
     target: str = "value",
     backends: dict[str, Callable[[str], object]] | None = None,
+    validation: str | None = None,
+    patience: int | None = None,
 ) -> Outcome:
-    """Train every back-end; one that fails does not stop the others."""
+    """Train every back-end; one that fails does not stop the others. ``validation`` and ``patience`` are those of
+    ``fit``."""
     out = Outcome()
     for name, make in (backends or BACKENDS).items():
         try:
-            model = fit(train, features, make(target))
+            model = fit(train, features, make(target), validation, patience=patience)
             out.models[name] = model
             parts = [
                 metrics.error_metrics(predict(model, rows), target).withColumn("split", F.lit(split))

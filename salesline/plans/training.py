@@ -65,27 +65,29 @@ def model_rows(spark, sf):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
-def small_trees():
-    return training.boosted_trees(maxIter=8, maxDepth=4)
+def fit_trees(train):
+    """Boosted trees of full size; the last days of ``train`` stop them early."""
+    flagged = cut_lineage(dataset.validation_flag(train, 28))
+    return training.fit(flagged, MODEL_FEATURES, training.boosted_trees(**training.FULL_TREES), "is_validation", patience=training.PATIENCE)
 
 
 @query("h7_boosted_trees")
 def boosted_trees(spark, sf):
     """Forecast of the test days by boosted trees that stop early on the validation days."""
     train, test = model_rows(spark, sf)
-    flagged = dataset.validation_flag(train, 28)
-    model = training.fit(flagged, MODEL_FEATURES, small_trees(), validation="is_validation")
-    return training.predict(model, test).select(*KEY, "value", "yhat")
+    return training.predict(fit_trees(train), test).select(*KEY, "value", "yhat")
 
 
 @query("h8_parameter_search")
 def parameter_search(spark, sf):
     train, _ = model_rows(spark, sf)
-    folded = cut_lineage(dataset.expanding_folds(train, folds=2))
-    space = {"maxDepth": (2, 4), "stepSize": (0.1, 0.3), "maxIter": (3,)}
-    trials = training.search(folded, MODEL_FEATURES, training.random_params(2, space))
-    rows = [(i + 1, t.params["maxDepth"], t.params["stepSize"], t.rmse, t.std) for i, t in enumerate(trials)]
-    return spark.createDataFrame(rows, "place int, max_depth int, step_size double, rmse double, std double")
+    folded = cut_lineage(dataset.expanding_folds(train))
+    trials = training.search(folded, MODEL_FEATURES, training.random_params(training.TRIALS), patience=training.PATIENCE)
+    names = ("maxDepth", "stepSize")
+    more = ("maxIter", "subsamplingRate", "minInstancesPerNode")
+    rows = [(i + 1, *(t.params[n] for n in names), t.rmse, t.std, *(t.params[n] for n in more)) for i, t in enumerate(trials)]
+    schema = "place int, max_depth int, step_size double, rmse double, std double, max_iter int, subsampling_rate double, min_instances int"
+    return spark.createDataFrame(rows, schema)
 
 
 @query("h9_seasonal_regression")
@@ -98,19 +100,21 @@ def seasonal_regression(spark, sf):
 @query("h13_feature_importance")
 def feature_importance(spark, sf):
     train, _ = model_rows(spark, sf)
-    return training.importance(training.fit(train, MODEL_FEATURES, small_trees()), MODEL_FEATURES)
+    return training.importance(fit_trees(train), MODEL_FEATURES)
 
 
 @query("h15_all_backends")
 def all_backends(spark, sf):
     train, test = model_rows(spark, sf)
     backends = {
-        "boosted_trees": lambda target: training.boosted_trees(target, maxIter=5, maxDepth=4),
+        "boosted_trees": lambda target: training.boosted_trees(target, **training.FULL_TREES),
         "forest": training.BACKENDS["forest"],
         "linear": training.BACKENDS["linear"],
         "broken": lambda target: training.boosted_trees("no_such_column"),
     }
-    return training.train_all(train, test, MODEL_FEATURES, backends=backends).report(spark)
+    flagged = cut_lineage(dataset.validation_flag(train, 28))
+    found = training.train_all(flagged, test, MODEL_FEATURES, backends=backends, validation="is_validation", patience=training.PATIENCE)
+    return found.report(spark)
 
 
 @query("h16_recomputed_bias")
@@ -124,7 +128,7 @@ def recomputed_bias(spark, sf):
 def recursive_trees(spark, sf):
     """Boosted trees trained on the feature table, forecasting all series a week ahead."""
     train, _ = model_rows(spark, sf)
-    model = training.fit(train, MODEL_FEATURES, small_trees())
+    model = fit_trees(train)
     score = training.batch_score(model, MODEL_FEATURES)
     return forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, score)
 

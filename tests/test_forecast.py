@@ -179,3 +179,36 @@ def test_seasonal_regression(spark):
     good = scored[scored["store_id"] == "S1"]
     assert np.abs(good["yhat"] / good["value"] - 1).mean() < 0.03
     assert scored[scored["store_id"] == "S2"]["yhat"].isna().all()
+
+
+def test_patient_boosting(spark):
+    assert training.early_stop([5, 4, 4.5, 3, 3.5, 3.2, 1], 2) == (4, True)
+    assert training.early_stop([5, 4, 4.5, 3, 3.5], 2) == (4, False)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 2))
+    y = 3 * x[:, 0] + rng.normal(0, 0.1, 400)
+    rows = [(float(a), float(b), float(v), i >= 300) for i, ((a, b), v) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "a double, b double, value double, is_validation boolean").cache()
+    trees = training.boosted_trees(maxIter=40, maxDepth=2, stepSize=0.1)
+    model = training.fit(df, ["a", "b"], trees, "is_validation", patience=3)
+    # from ten trees on, where a fit without patience and eight trees are still far off
+    assert model.stages[-1].getNumTrees > 12
+    noise = df.withColumn("value", F.rand(3))
+    assert training.fit(noise, ["a", "b"], trees, "is_validation", patience=3).stages[-1].getNumTrees < 37
+
+
+def test_training_queries_are_of_full_size(spark, monkeypatch):
+    from salesline.plans import training as plans
+
+    seen = []
+    monkeypatch.setattr(plans, "model_rows", lambda spark, sf: (spark.range(600).selectExpr("date_add(date'2020-01-01', int(id)) date"),) * 2)
+    monkeypatch.setattr(training, "fit", lambda train, features, estimator, validation=None, tolerance=0.01, patience=None: seen.append(
+        (estimator.getMaxIter(), estimator.getMaxDepth(), estimator.getStepSize(), validation, patience)))
+    monkeypatch.setattr(training, "importance", lambda model, features: None)
+    plans.feature_importance(spark, "")
+    assert seen == [(1000, 6, 0.05, "is_validation", 50)]
+    called = {}
+    monkeypatch.setattr(training, "search", lambda folded, features, trials, patience=None: called.update(
+        folds=folded.select("fold").distinct().count(), trials=len(list(trials)), patience=patience) or [])
+    plans.parameter_search(spark, "")
+    assert called == {"folds": 5, "trials": 50, "patience": 50} and min(training.SEARCH_SPACE["maxIter"]) >= 500
