@@ -39,13 +39,18 @@ def language_id(spark, docs, sf_dir):
 def similarity_join(spark, docs, sf_dir):
     """Keep the document of smallest id of every group of similar ones, once if its row is repeated.
 
-    Documents without an id can't be told apart and stay.
+    Rows go by id and text, so that of several texts of one id only the similar ones go. Documents without an id can't
+    be told apart and stay.
     """
-    groups = jaccard.similar_groups(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("text")))
+    named = docs.select(*COLUMNS).withColumn("_key", key)
+    groups = jaccard.similar_groups(named, doc="_key")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_key")).distinct()
+    kept = named.join(gone, "_key", "left_anti").drop("_key")
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").take(1)
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    if not repeated:
+        return kept
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id is null"))
 
 
 def suffix_dedup(spark, docs, sf_dir):

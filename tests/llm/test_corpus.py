@@ -481,6 +481,16 @@ def test_pipeline(spark):
     assert all(r.text == cut[r.doc_id].text for r in clean.collect() if brute_hits(cut[r.doc_id].text, items)[1] == 0)
 
 
+def test_similar_rows_go_by_id_and_text(spark):
+    import corpus_pipeline as p
+
+    copy, own, free = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, copy), (2, copy), (2, own), (3, "x"), (3, "x"), (None, free), (None, free)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted([(r.doc_id, r.text) for r in p.similarity_join(spark, docs, SF).collect()], key=str)
+    assert got == sorted([(1, copy), (2, own), (3, "x"), (None, free), (None, free)], key=str)
+
+
 def test_stages_on_awkward_rows(spark):
     import corpus_pipeline as p
 
