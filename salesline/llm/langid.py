@@ -27,6 +27,7 @@ HASHES = 3
 MIN_SHARE = 2e-6
 KEEP = 0.2
 FIT_ROWS = 20_000
+LEAST_ROWS = 100
 UNKNOWN = "und"
 SEED = 0x2545F4914F6CDD1D
 
@@ -128,8 +129,26 @@ class LanguageFilters:
         return names, share, np.where(has, cover, 0.0)
 
 
-def lang_rows(labelled: DataFrame, lang: str) -> int:
-    return labelled.where(F.col(lang).isNotNull()).count()
+def quota(counts: list[int], rows: int) -> float:
+    """How many rows a language gives at most, so that all together give ``rows``; never under ``LEAST_ROWS``."""
+    left = rows
+    for i, n in enumerate(sorted(counts)):
+        share = left / (len(counts) - i)
+        if n > share:
+            return max(LEAST_ROWS, share)
+        left -= n
+    return float("inf")
+
+
+def sample_languages(rows: DataFrame, want: int) -> DataFrame:
+    """About ``want`` of the rows, drawn for each ``lang`` by itself by the hash ``_draw``: no language goes missing."""
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = quota(list(counts.values()), want)
+    limit = {name: int((1 << 30) * most / n) for name, n in counts.items() if n > most}
+    if not limit:
+        return rows
+    limits = F.create_map(*[F.lit(x) for pair in sorted(limit.items()) for x in pair])
+    return rows.where(F.pmod(F.col("_draw"), F.lit(1 << 30)) < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(1 << 30)))
 
 
 def sample_rows(df: DataFrame, have: int, want: int) -> DataFrame:
@@ -140,14 +159,14 @@ def sample_rows(df: DataFrame, have: int, want: int) -> DataFrame:
 def fit_languages(
     labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS, gram: int = GRAM, bits: int = BITS, hashes: int = HASHES
 ) -> LanguageFilters:
-    """Learn the filters from a bounded sample of labelled rows, ``rows`` of them on average, drawn by hash.
+    """Learn the filters from a bounded sample of labelled rows, about ``rows`` of them, drawn by hash.
 
-    Rows without text or language are left out. The n-grams are counted where the rows lie; the driver gets only
+    Languages with few rows give all of theirs, the others equally many, ``LEAST_ROWS`` at least. Rows without text or language are left out. The n-grams are counted where the rows lie; the driver gets only
     those that pass ``MIN_SHARE``, of which a language has at most ``1 / MIN_SHARE``.
     """
     draw = F.xxhash64(*[c for c in labelled.columns if c not in (text, lang)], F.col(text))
     sample = labelled.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), draw.alias("_draw"))
-    sample = sample_rows(sample.where("text is not null and lang is not null"), lang_rows(labelled, lang), rows)
+    sample = sample_languages(sample.where("text is not null and lang is not null"), rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

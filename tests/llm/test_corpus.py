@@ -254,6 +254,13 @@ def test_languages_held_out(spark):
     assert found.where("lang_pred = lang").count() >= 0.98 * found.count()
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, f"common words number {i}", "aa") for i in range(3000)] + [(-1 - i, "zeldzame taal hier", "zz") for i in range(2)]
+    model = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=20)
+    assert model.languages == ["aa", "zz"] and model.score(["zeldzame taal"])[0] == ["zz"]
+    assert langid.quota([2, 50, 3000, 9000], 1052) == 500 and langid.quota([5, 6], 20) == float("inf")
+
+
 def test_languages_awkward(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_languages(docs)
