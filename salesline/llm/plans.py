@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesline.llm import decontaminate, extract, jaccard, langid, perspectives, sentencepieces, suffixes, topk, toxicity, warc
+from salesline.llm import (
+    decontaminate, extract, jaccard, langid, negatives, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+)
 from salesline.llm.common import table
 
 QUERIES, SQL = {}, {}
@@ -89,3 +91,12 @@ def op10(spark, sf):
 def op2(spark, sf):
     """What is left of every document without strings that stand earlier."""
     return suffixes.digest(suffixes.cut_repeats(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query("op12_hard_negatives", negatives.SQL)
+def op12(spark, sf):
+    """Rows of other labels just below the positives of every fiftieth vector; every seventh label is moved on."""
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return negatives.hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))

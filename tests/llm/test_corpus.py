@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from salesline.llm import (
-    components, decontaminate, extract, jaccard, langid, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+    components, decontaminate, extract, jaccard, langid, negatives, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
 )
 from salesline.llm import plans as llm_plans
 
@@ -42,7 +42,7 @@ def test_matches_sql(spark, name):
 
 def test_registered():
     ops = {q.split("_")[0] for q in contract.queries() if q.startswith("op")}
-    assert ops == {f"op{n}" for n in range(1, 11)} and "pipeline" in contract.queries()
+    assert ops == {f"op{n}" for n in range(1, 14)} and "pipeline" in contract.queries()
 
 
 # 1 toxicity
@@ -460,6 +460,50 @@ def test_components(spark):
     assert got == label
 
 
+# 12 hard negatives
+
+
+def brute_negatives(rows, anchors, positives=5, negatives=3):
+    out = []
+    for a, label, x in anchors:
+        scored = [(-sum(p * q for p, q in zip(x, y, strict=True)), d, other) for d, other, y in rows if d != a and len(y) == len(x)]
+        for s, d, _ in sorted(r for r in scored if r[2] == label)[:positives]:
+            near = sorted(r[:2] for r in scored if r[2] != label and 50 * -s <= 100 * -r[0] <= 95 * -s)[:negatives]
+            out += [(a, d, n, row, -s, -score) for n, (score, row) in enumerate(near, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [3, 8192])
+def test_hard_negatives(spark, block, monkeypatch):
+    monkeypatch.setattr(negatives, "CHUNK", 4)
+    rng = np.random.default_rng(block)
+    shared = rng.normal(size=(4, 20))
+    rows = [(i, int(rng.integers(0, 3)), (rng.normal(size=20) + 2 * shared[rng.integers(0, 4)]).tolist()) for i in range(300)]
+    rows += [(400 + i, i % 2, rows[5][2]) for i in range(40)]  # one very common vector
+    rows += [(500, 1, [1.0, 2.0]), (501, 1, [1.0, 1.9]), (502, 0, [1.0, 1.5]), (503, 2, [0.0] * 20), (5, rows[5][1], rows[5][2])]
+    bad = [(600, None, [1.0] * 20), (601, 1, None), (602, 1, [float("nan")] * 20), (603, 1, [None] * 20), (None, 1, [1.0] * 20), (604, 1, [])]
+    df = spark.createDataFrame([(*r, "x") for r in [*rows, *bad]], "vec_id long, label int, embedding array<double>, score string")
+    whole = [(d, label, [int(np.floor(256 * v)) for v in x]) for d, label, x in rows]
+    asked = [r for i, r in enumerate(whole) if r[0] % 50 == 0 or r[0] in (5, 501) and i < 350]
+    got = negatives.hard_negatives(df, df.where("vec_id % 50 = 0 or vec_id in (5, 501)"), anchor_block=block)
+    expected = brute_negatives(whole, {(d, label, tuple(x)): (d, label, x) for d, label, x in [*asked, whole[341]]}.values())
+    assert sorted(map(tuple, got.collect())) == expected and len(expected) > 60
+    assert negatives.hard_negatives(df.where("false"), df).count() == negatives.hard_negatives(df, df.where("false")).count() == 0
+
+
+def test_omitted_suffixes_never_matter():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-60, 61, (500, 32)) * np.repeat([4, 2, 1, 1], 8)
+    q = x[:40].astype(np.float64)
+    scores, norms = q @ x.T, np.linalg.norm(q, axis=1)
+    need = np.quantile(scores, 0.99, axis=1)
+    index = negatives.SuffixIndex(np.arange(500), x, float((need / norms).min()))
+    assert index.posted.max() > index.posted.min()  # suffixes are omitted
+    i, j = index.candidates(q, np.ones((40, len(index.ids)), bool), need)
+    found = set(zip(i.tolist(), index.ids[j].tolist(), strict=True))
+    assert set(zip(*map(np.ndarray.tolist, np.nonzero(scores >= need[:, None])), strict=True)) <= found and len(found) < 0.5 * scores.size
+
+
 # pipeline
 
 
