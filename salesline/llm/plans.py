@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from salesline.llm import (
-    decontaminate, extract, jaccard, langid, negatives, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+    decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
 )
 from salesline.llm.common import table
 
@@ -100,3 +100,10 @@ def op12(spark, sf):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = vectors.withColumn("label", moved)
     return negatives.hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@query("op11_word_runs")
+def op11(spark, sf):
+    """Periodic runs of words in every document; those of a tenth of the documents are planted by id."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return periods.digest(periods.collapse_runs(periods.with_planted_runs(docs)))

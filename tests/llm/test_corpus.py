@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from salesline.llm import (
-    components, decontaminate, extract, jaccard, langid, negatives, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+    components, decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
 )
 from salesline.llm import plans as llm_plans
 
@@ -460,6 +461,94 @@ def test_components(spark):
     assert got == label
 
 
+# 11 periodic runs
+
+
+def brute_runs(words):
+    ids = np.array([{w: i for i, w in enumerate(dict.fromkeys(words))}[w] for w in words], np.int64) if len(words) < 50 else np.unique(words, return_inverse=True)[1]
+    n, found = len(words), []
+    for q in range(1, n // 3 + 1):
+        equal = np.concatenate(([False], ids[:-q] == ids[q:], [False])).astype(np.int8)
+        edge = np.diff(equal)
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            length = b - a + q
+            if length >= max(24, 3 * q):
+                smaller = any(q % p == 0 and np.array_equal(ids[a : a + length - p], ids[a + p : a + length]) for p in range(1, q))
+                if not smaller:
+                    found.append((a, q, length))
+    return [(a, length, q) for a, q, length in sorted(found)]
+
+
+def brute_collapsed(words, runs):
+    gone = {i for a, length, q in runs for i in range(a + q, a + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def run_texts(rng):
+    words = [f"w{i}" for i in range(6)]
+    for n in (0, 1, 23, 24, 25, 60, 200, 700, 2000):
+        for period in (1, 2, 3, 7, 8, 9, 15, 16, 17, 40, 65, n // 3, n // 4):
+            free = [rng.choice(words) + str(rng.randrange(50)) for _ in range(n)]
+            if period and n:
+                a = rng.randrange(max(1, n // 3))
+                for i in range(a + period, n - rng.randrange(0, n // 6 + 1)):
+                    free[i] = free[i - period]
+            yield free
+    for n in (300, 1500):
+        yield ["a"] * n
+        yield (["a"] * 30 + ["b"]) * (n // 31)
+        yield ["ab"[bin(i).count("1") % 2] for i in range(n)]
+        yield [rng.choice("ab") for _ in range(n)]
+        fib = ["a"], ["b", "a"]
+        while len(fib[1]) < n:
+            fib = fib[1], fib[1] + fib[0]
+        yield fib[1]
+        yield (["x", "y"] * 15 + ["z"]) * (n // 31)
+
+
+@pytest.mark.parametrize("long, tile", [(1 << 16, 8192), (0, 64), (500, 256)])
+def test_word_runs(spark, long, tile, monkeypatch):
+    monkeypatch.setattr(periods, "LONG", long)
+    monkeypatch.setattr(periods, "TILE", tile)
+    texts = [" ".join(w) for w in run_texts(random.Random(tile))] + [None, "", " \t\n\x0b ", "ü\xa0ü\u2003 " * 30, "one  two\r\n" * 40]
+    rows = [(i % 50 if i % 7 else None, t, "x", "y") for i, t in enumerate([*texts, *texts[30:60]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, runs string, _key string")
+    got = periods.collapse_runs(df).drop("doc_id")
+    expected = []
+    for _, t, _, _ in rows:
+        words = [w for w in re.split("[ \t-\r]+", t or "") if w]
+        runs = brute_runs(words)
+        expected.append((t or "", str(runs), brute_collapsed(words, runs), t is None))
+    found = [(r.text or "", str([(x.start, x.length, x.period) for x in r.runs]), r.collapsed, r.text is None) for r in got.collect()]
+    assert sorted(found) == sorted(expected) and sum(r != "[]" for _, r, _, _ in expected) > 40
+    assert periods.collapse_runs(df.where("false")).count() == 0
+
+
+def test_word_runs_query(spark):
+    import zlib
+
+    rows = {r.doc_id: r for r in llm_plans.QUERIES["op11_word_runs"](spark, "/root/testdata/sf0.001").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    planted = 0
+    for r in docs:
+        words = [w for w in re.split("[ \t-\r]+", r.text or "") if w]
+        n, h = len(words), zlib.crc32(str(r.doc_id).encode())
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+        runs, got = brute_runs(words), rows[r.doc_id]
+        planted += bool(h % 10 == 0 and runs)
+        best = max(runs, key=lambda x: (Fraction(x[1], x[2]), -x[0], -x[2]), default=None)
+        assert got.n_runs == len(runs)
+        assert (got.start, got.length, got.period) == (best or (None,) * 3) and got.exponent_milli == (best and 1000 * best[1] // best[2])
+        assert got.runs_sha256 == hashlib.sha256("".join(f"{a},{m},{q}\n" for a, m, q in runs).encode()).hexdigest()
+        assert got.collapsed_sha256 == hashlib.sha256(brute_collapsed(words, runs).encode()).hexdigest()
+    assert planted > 5
+
+
 # 12 hard negatives
 
 
