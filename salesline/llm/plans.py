@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from salesline.llm import (
-    decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+    decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, shards, suffixes, topk, toxicity, warc,
 )
 from salesline.llm.common import table
 
@@ -107,3 +107,11 @@ def op11(spark, sf):
     """Periodic runs of words in every document; those of a tenth of the documents are planted by id."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return periods.digest(periods.collapse_runs(periods.with_planted_runs(docs)))
+
+
+@query("op13_best_fit_shards")
+def op13(spark, sf):
+    """All documents in 24 shards of near equal bytes; equal texts stay together."""
+    placed = shards.place(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shards.with_slots(placed).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from salesline.llm import (
-    components, decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, suffixes, topk, toxicity, warc,
+    components, decontaminate, extract, jaccard, langid, negatives, periods, perspectives, sentencepieces, shards, suffixes, topk, toxicity, warc,
 )
 from salesline.llm import plans as llm_plans
 
@@ -593,6 +593,76 @@ def test_omitted_suffixes_never_matter():
     assert set(zip(*map(np.ndarray.tolist, np.nonzero(scores >= need[:, None])), strict=True)) <= found and len(found) < 0.5 * scores.size
 
 
+# 13 shards
+
+
+def brute_best_fit(sizes, capacity):
+    free, out = [], []
+    for size in sizes:
+        fits = [(f, i) for i, f in enumerate(free) if f >= size]
+        if fits:
+            i = min(fits)[1]
+        else:
+            i = len(free)
+            free.append(max(capacity, size))
+        free[i] -= size
+        out.append(i)
+    return out
+
+
+def test_best_fit_takes_the_tightest_bin():
+    rng = random.Random(5)
+    for n, top, capacity in ((0, 9, 10), (400, 90, 100), (3000, 40, 100), (2000, 120, 100), (900, 1, 7)):
+        sizes = sorted((rng.randint(1, top) for _ in range(n)), reverse=True)
+        assert shards.best_fit(sizes, capacity) == brute_best_fit(sizes, capacity)
+    sizes = sorted((int(rng.paretovariate(1.2) * 100) for _ in range(5000)), reverse=True)
+    bins = np.array(shards.balanced(sizes, 24))
+    loads = np.bincount(bins, np.array(sizes), 24)
+    own = np.bincount(bins, minlength=24) == 1
+    assert loads[~own].max() <= 1.005 * loads[~own].mean() and loads[own].min(initial=1 << 60) >= loads[~own].mean()
+    assert shards.balanced([], 24) == [] and shards.balanced([5], 24) == [0] and sorted(shards.balanced([3, 3, 2], 24)) == [0, 1, 2]
+    assert shards.balanced([4, 3, 2], 1) == [0, 0, 0]
+
+
+def test_shards_query(spark):
+    import zlib
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in docs}
+    rows = llm_plans.QUERIES["op13_best_fit_shards"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+    assert all(r.size == len(texts[r.doc_id]) + 8 and r.text_crc32 == zlib.crc32(texts[r.doc_id]) for r in rows)
+    home, load, slots = {}, [0] * 24, [[] for _ in range(24)]
+    for r in rows:
+        assert home.setdefault(texts[r.doc_id], r.shard) == r.shard
+        load[r.shard] += r.size
+        slots[r.shard].append((r.slot, r.doc_id))
+    assert all(sorted(s) == list(enumerate(sorted(d for _, d in s))) for s in slots)
+    assert max(load) - min(load) < 0.02 * sum(load) / 24
+
+
+def test_shards_of_awkward_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "ITEMS", 16)  # most groups are dealt into parcels
+    hot = "one text that is a third of all rows"
+    rows = [(d, t, h, 1) for d, t, h in AWKWARD] + [(None if i % 3 else i, hot, "x", 2) for i in range(400)] + [(i, f"text {i} " * (i % 9), "x", 3) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, slot string, shard int")
+    placed = shards.place(df, 5)
+    got = shards.with_slots(placed).collect()
+    assert len(got) == len(rows) and sorted(str((r.doc_id, r.text)) for r in got) == sorted(str(r[:2]) for r in rows)
+    for number in range(5):
+        assert sorted(r.slot for r in got if r.shard == number) == list(range(sum(r.shard == number for r in got)))
+    assert len({r.shard for r in got if r.text == hot}) == len({r.shard for r in got if not r.text}) == 1
+    alone = {r.shard for r in got if r.text == LONG}
+    assert len(alone) == 1 and sum(r.shard in alone for r in got) == 1  # the huge text has a shard of its own
+    filled = shards.place(df, None, 4000)
+    loads = {r.shard: r.bytes for r in shards.shard_summary(filled).collect()}
+    assert sum(b > 4000 for b in loads.values()) == 2 and len(loads) <= 2 + 1.1 * (sum(b for b in loads.values() if b <= 4000) / 4000) + 1
+    shards.write_shards(placed, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == len(rows) and {r.shard for r in back.select("shard").distinct().collect()} == {r.shard for r in got}
+    assert shards.with_slots(shards.place(df.where("false"))).count() == 0
+
+
 # pipeline
 
 
