@@ -81,10 +81,17 @@ def build_features(
             encode.fit_all_labels(sums, categories) if categories else {},
             {c: encode.means_from_sums(sums, c) for c in texts},
         )
+    missing = [c for c in categories if c in out.columns and c not in known.labels]
+    if missing:
+        known = Encoders(known.labels | encode.fit_all_labels(out, missing), known.means)
+    return encoded(out, known, texts, categories, value), known
+
+
+def encoded(df: DataFrame, encoders: Encoders, texts: Sequence[str], categories: Sequence[str], value: str = "value") -> DataFrame:
+    """Target means of the text keys, and all categories as codes."""
     for c in texts:
-        out = encode.apply_target_means(out, c, known.means.get(c), value)
-    out, labels = encode.encode_categorical(out, categories, known.labels)
-    return out, Encoders(labels, known.means)
+        df = encode.apply_target_means(df, c, encoders.means.get(c), value)
+    return encode.encode_categorical(df, categories, encoders.labels)[0]
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> list[str]:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesline.operators.windows import LAGS, WINDOWS, min_rows
+from salesline.functions.calendar import add_time_features
+from salesline.operators.features import Encoders, encoded
+from salesline.operators.windows import (
+    LAGS, WINDOWS, add_crosses, add_lag_interactions, add_lag_ratios, array_rolling_columns, min_rows,
+)
+from salesline.session import cut_lineage
 
 # Blend of the weekday factor, and history the factors need.
 SEASONAL_STRENGTH = 0.7
@@ -116,14 +119,6 @@ class PostProcessing:
     def lowest(self) -> float:
         return self.floor if self.floor > 0 else 0.0
 
-    def scores(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of a batch in the original scale, and with the bias taken into account."""
-        if not self.log1p:
-            return raw, raw + self.bias
-        with np.errstate(over="ignore"):
-            original = np.expm1(raw + self.bias if self.bias_in_log else raw) - self.shift
-        return original, original if self.bias_in_log else original + self.bias
-
     def seasonal(self, yhat: Column, factor: Column) -> Column:
         return F.greatest(blend(yhat, factor, self.strength), F.lit(0.0))
 
@@ -204,169 +199,144 @@ def series_state(
     return rows.groupBy(*keys).agg(
         F.transform(F.array_sort(recent), lambda p: p.x).alias("_tail"),
         F.count(value).alias("_known"),
-        F.max(date).alias("_last_date"),
+        F.to_date(F.max(date)).alias("_last_date"),
         F.max_by(x, F.when(x.isNotNull(), F.col(date))).alias("_last_value"),
         *sums,
         *[F.max_by(c, date).alias(c) for c in carry],
     )
 
 
-OUTPUT = (
-    "ds date, step int, yhat double, raw_model double, pred_orig double, corrected double, "
-    "before_seasonality double, dow int"
-)
-Score = Callable[[pd.DataFrame], np.ndarray]
-
-
-def _rolling(recent: np.ndarray, size: int) -> dict[str, np.ndarray]:
-    """Statistics of the newest ``size`` values of every series, unknown ones left out."""
-    x = recent[:, :size]
-    known = ~np.isnan(x)
-    n = known.sum(axis=1)
-    enough = n >= min_rows(size)
-    total = np.where(known, x, 0.0).sum(axis=1)
-    mean = np.where(enough, total / np.maximum(n, 1), np.nan)
-    spread = np.where(known, (x - mean[:, None]) ** 2, 0.0).sum(axis=1)
-    return {
-        f"roll_mean_{size}": mean,
-        f"roll_std_{size}": np.where(enough, np.sqrt(spread / np.maximum(n - 1, 1)), 0.0),
-        f"roll_min_{size}": np.where(enough, np.where(known, x, np.inf).min(axis=1), np.nan),
-        f"roll_max_{size}": np.where(enough, np.where(known, x, -np.inf).max(axis=1), np.nan),
-    }
+STEP = "ds: date, step: int, yhat: double, raw_model: double, pred_orig: double, corrected: double, before_seasonality: double, dow: int"
 
 
-def _calendar(day: np.ndarray) -> dict[str, np.ndarray]:
-    """The calendar features, named as in training."""
-    d = pd.DatetimeIndex(day)
-    week = d.isocalendar().week.to_numpy(dtype=float)
-    out = {
-        "year": d.year, "month": d.month, "day": d.day, "day_of_month": d.day, "quarter": d.quarter,
-        "dayofweek": d.dayofweek, "is_weekend": d.dayofweek >= 5, "week_of_year": week, "dayofyear": d.dayofyear,
-        "is_month_start": d.is_month_start, "is_month_end": d.is_month_end,
-    }
-    waves = [("month", d.month, 12, 1, ""), ("dow", d.dayofweek, 7, 1, ""), ("week", week, 52, 1, "")]
-    waves.append(("day_of_year", d.dayofyear, 365.25, 1, ""))
-    waves += [("fourier_yearly", d.dayofyear, 365.25, k, f"_{k}") for k in (1, 2)]
-    for name, x, period, turns, suffix in waves:
-        angle = 2 * np.pi * turns * np.asarray(x, dtype=float) / period
-        out[f"{name}_sin{suffix}"], out[f"{name}_cos{suffix}"] = np.sin(angle), np.cos(angle)
-    return {k: np.asarray(v, dtype=float) for k, v in out.items()}
-
-
-def _combined(f: dict[str, np.ndarray], windows: Sequence[int]) -> dict[str, np.ndarray]:
-    """Differences, ratios and ranges of the lag and rolling features, named as in training."""
-    out = {}
-    for a, b in ((1, 7), (7, 14), (1, 14)):
-        if f"lag_{a}" in f and f"lag_{b}" in f:
-            out[f"lag_diff_{a}_{b}"] = f[f"lag_{a}"] - f[f"lag_{b}"]
-    if "lag_1" in f and "lag_7" in f:
-        out["lag_ratio_1_7"] = f["lag_1"] / np.where(f["lag_7"] != 0, f["lag_7"], np.nan)
-    if "lag_7" in f and "lag_14" in f:
-        out["ratio_lag7_lag14"] = f["lag_7"] / (np.where(f["lag_14"] != 0, f["lag_14"], np.nan) + 1e-9)
-        out["diff_lag7_lag14"] = f["lag_7"] - f["lag_14"]
-    for w in windows:
-        mean = np.where(f[f"roll_mean_{w}"] != 0, f[f"roll_mean_{w}"], np.nan)
-        out[f"roll_cv_{w}"] = np.clip(np.nan_to_num(f[f"roll_std_{w}"] / mean, nan=0.0), -10, 10)
-        out[f"roll_range_{w}"] = f[f"roll_max_{w}"] - f[f"roll_min_{w}"]
-    return out
+@dataclass(frozen=True)
+class StateFeatures:
+    """The features of the next day, or (``observed_row``) of the last observed one, from a state row.
+
+    Names and rules are those of the training table: the calendar, the combinations of lags and windows, the crosses and
+    the encodings come from the functions that build it, the rolling statistics from the same rules over an array.
+    """
+
+    lags: Sequence[int]
+    windows: Sequence[int]
+    keys: Sequence[str] = ()
+    encoders: Encoders | None = None
+    observed_row: bool = False
+
+    def add(self, state: DataFrame) -> DataFrame:
+        tail, known, day = F.col("_tail"), F.col("_known"), F.date_add("_last_date", 1)
+        newest = F.get(tail, F.lit(0))
+        if self.observed_row:
+            known, day = known - newest.isNotNull().cast("long"), F.col("_last_date")
+            tail = F.slice(tail, F.lit(2), F.greatest(F.size(tail) - 1, F.lit(0)))
+        recent = {f"_recent_{s}": F.filter(F.slice(tail, 1, s), lambda v: v.isNotNull()) for s in self.windows}
+        out = state.withColumns({"date": day, "on_promo": F.lit(0), "_before": tail, "_seen": known, **recent})
+        found = {f"lag_{k}": F.get(F.col("_before"), F.lit(k - 1)) for k in self.lags}
+        found |= array_rolling_columns({s: F.col(f"_recent_{s}") for s in self.windows})
+        for s in self.windows:
+            num, den = F.col(f"_num_{s}"), F.col(f"_den_{s}")
+            if self.observed_row:
+                rate = 1 - 2 / (s + 1)
+                num = (num - F.coalesce(newest, F.lit(0.0))) / rate
+                den = (den - newest.isNotNull().cast("double")) / rate
+            found[f"ewma_{s}"] = F.when((F.col("_seen") >= min_rows(s)) & (den > 0), num / den)
+        out = add_time_features(out.withColumns(found), "date")
+        out = add_crosses(add_lag_ratios(add_lag_interactions(out, self.windows)))
+        if self.encoders is None:
+            return out
+        texts = [k for k in self.keys if k in self.encoders.means]
+        return encoded(out, self.encoders, texts, [c for c in self.encoders.labels if c in out.columns])
 
 
 def recursive_forecast(
     df: DataFrame,
     keys: Sequence[str],
     horizon: int,
-    score: Score,
+    model,
+    features: Sequence[str],
     lags: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
     post: PostProcessing = PostProcessing(),
     carry: Sequence[str] = (),
+    encoders: Encoders | None = None,
     seasonal: bool = True,
     observed_row: bool = False,
+    errors: bool = False,
+    prediction: str = "yhat",
 ) -> DataFrame:
     """Forecast day by day, each step using the forecasts before it; all series advance together.
 
-    Spark reduces every series to one state row; batches of state rows then take all steps at once,
-    so nothing is shuffled or stored per step. ``score`` gets a table of features, one row per series,
-    with unknown cells as 0, and returns the raw scores. ``carry`` names numeric columns whose last
-    value is a feature; ``on_promo`` is always 0. ``observed_row=True`` scores the features of the
-    last observed day instead of those of the day to forecast.
+    Spark reduces every series to one state row. A step derives the features of the day from the state, lets ``model``
+    score them with its own ``transform``, corrects the score and puts it into the state; nothing is shuffled, and the
+    state is stored after each step. A feature that the state cannot give raises an error; unknown cells are scored as 0.
+    ``carry`` names columns whose last value is a feature; ``on_promo`` is always 0. ``encoders`` of a feature table give
+    codes and target means as in training. ``observed_row=True`` scores the features of the last observed day instead of
+    those of the day to forecast.
+
+    Each step comes with its stages: the raw score, the score in the original scale (for a log target), the corrected
+    score, the forecast before seasonality and the weekday (for series with weekly factors). Stages are null where half of
+    the lags were unknown, so that no score counted. Series without a known value give no rows, or, with ``errors``, one
+    row each that tells why.
     """
     check_horizon(horizon)
-    keep = max(*lags, *windows) + 1
-    state = series_state(df, keys, (*lags, keep), windows, carry=carry).where("_last_value is not null")
+    spark = df.sparkSession
+    names = [f"_key_{i}" for i in range(len(keys))]
+    state = series_state(df, keys, (*lags, max(*lags, *windows) + 1), windows, carry=carry)
     if seasonal:
-        factors = weekly_factors(df, keys)
-        by_day = [F.max(F.when(F.col("dow") == d, F.col("factor"))).alias(f"_f{d}") for d in range(7)]
-        state = state.join(factors.groupBy(*keys).agg(*by_day), list(keys), "left")
+        by_day = F.array(*[F.max(F.when(F.col("dow") == d, F.col("factor"))) for d in range(7)])
+        factors = weekly_factors(df, keys).groupBy(*keys).agg(by_day.alias("_factors"))
+        state = state.join(factors, list(keys), "left")
     else:
-        state = state.withColumns({f"_f{d}": F.lit(None).cast("double") for d in range(7)})
-    rates = {s: 1 - 2 / (s + 1) for s in windows}
-
-    def features(recent, known, sums, day, rows) -> dict[str, np.ndarray]:
-        f = {f"lag_{k}": recent[:, k - 1] for k in lags}
-        for w in windows:
-            f |= _rolling(recent, w)
-            num, den = sums[w]
-            usable = (known >= min_rows(w)) & (den > 0)
-            f[f"ewma_{w}"] = np.where(usable, num / np.where(den > 0, den, 1.0), np.nan)
-        f |= _combined(f, windows) | _calendar(day)
-        f |= {c: rows[c].to_numpy(dtype=float) for c in carry}
-        f["on_promo"] = np.zeros(len(rows))
-        return f
-
-    def advance(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            n = len(rows)
-            recent = np.full((n, keep), np.nan)
-            for i, tail in enumerate(rows["_tail"]):
-                recent[i, : len(tail)] = np.asarray(tail, dtype=float)
-            known = rows["_known"].to_numpy(dtype=float)
-            sums = {s: (rows[f"_num_{s}"].to_numpy(float), rows[f"_den_{s}"].to_numpy(float)) for s in windows}
-            day = pd.to_datetime(rows["_last_date"]).to_numpy("datetime64[D]")
-            last = rows["_last_value"].to_numpy(dtype=float)
-            factors = rows[[f"_f{d}" for d in range(7)]].to_numpy(dtype=float)
-            for step in range(1, horizon + 1):
-                next_day = day + np.timedelta64(1, "D")
-                if observed_row:
-                    newest = recent[:, 0]
-                    seen = ~np.isnan(newest)
-                    older = np.hstack([recent[:, 1:], np.full((n, 1), np.nan)])
-                    before = {
-                        s: ((a - np.nan_to_num(newest)) / rates[s], (b - seen) / rates[s]) for s, (a, b) in sums.items()
-                    }
-                    f = features(older, known - seen, before, day, rows)
-                else:
-                    f = features(recent, known, sums, next_day, rows)
-                lag_cells = np.column_stack([v for c, v in f.items() if c.startswith("lag_")])
-                table = pd.DataFrame({c: np.nan_to_num(v, nan=0.0) for c, v in f.items()})
-                raw = np.asarray(score(table), dtype=float)
-                original, corrected = post.scores(raw)
-                too_few = np.isnan(lag_cells).sum(axis=1) >= lag_cells.shape[1] // 2
-                flat = np.where(np.isfinite(corrected) & ~too_few, corrected, last)
-                flat = np.maximum(flat, post.lowest)
-                dow = pd.DatetimeIndex(next_day).dayofweek.to_numpy()
-                factor = factors[np.arange(n), dow]
-                moved = np.maximum(flat * (1 + post.strength * (factor - 1)), 0.0)
-                yhat = np.where(np.isnan(factor), flat, moved)
-                yield pd.DataFrame(
-                    {
-                        **{k: rows[k] for k in keys},
-                        "ds": next_day.astype("datetime64[s]"),
-                        "step": np.int32(step),
-                        "yhat": np.round(yhat, 2),
-                        "raw_model": np.round(raw, 6),
-                        "pred_orig": np.round(original, 6),
-                        "corrected": np.round(corrected, 6),
-                        "before_seasonality": np.round(flat, 2),
-                        "dow": dow.astype(np.int32),
-                    }
-                ).assign(ds=lambda t: t["ds"].dt.date)
-                recent = np.hstack([yhat[:, None], recent[:, :-1]])
-                known, day = known + 1, next_day
-                sums = {s: (a * rates[s] + yhat, b * rates[s] + 1) for s, (a, b) in sums.items()}
-
-    types = dict(state.dtypes)
-    return state.mapInPandas(advance, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", " + OUTPUT)
+        state = state.withColumn("_factors", F.lit(None).cast("array<double>"))
+    state = state.withColumns({n: F.col(k) for n, k in zip(names, keys)} | {"_steps": F.array().cast(f"array<struct<{STEP}>>")})
+    state = cut_lineage(state.repartition(spark.sparkContext.defaultParallelism, *keys))
+    ready = state.where("_last_value is not null")
+    maker = StateFeatures(lags, windows, keys, encoders, observed_row)
+    for step in range(1, horizon + 1):
+        ready = _advance(ready, maker, model, features, windows, post, prediction, step)
+        if step < horizon:  # features name the state many times over, so that plans of several steps would explode
+            ready = cut_lineage(ready)
+    steps = ready.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], F.explode("_steps").alias("s")).select(*keys, "s.*")
+    if not errors:
+        return steps
+    failed = state.where("_last_value is null").select(*keys, F.lit("no_values").alias("error"))
+    return steps.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+
+
+def _advance(state: DataFrame, maker: StateFeatures, model, features: Sequence[str], windows: Sequence[int], post: PostProcessing, prediction: str, step: int) -> DataFrame:
+    """The state one day later, with what the day was forecast."""
+    kept = [c for c in state.columns if c not in maker.keys]  # the keys may have become codes
+    rows = maker.add(state)
+    lost = sorted(set(features) - set(rows.columns))
+    if lost:
+        raise ValueError(f"the state has no features {lost}")
+    cells = [c for c in rows.columns if c.startswith("lag_")]
+    unknown = sum((F.col(c).isNull().cast("int") for c in cells), F.lit(0))
+    inputs = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in features]
+    names = {c: f"_keep_{c}" if c in features else c for c in kept}
+    enough = (unknown < len(cells) // 2).alias("_enough")
+    scored = model.transform(rows.select(*[F.col(c).alias(n) for c, n in names.items()], enough, *inputs))
+    raw = F.when(F.col("_enough"), F.col(prediction).cast("double"))
+    out = scored.select(*[F.col(n).alias(c) for c, n in names.items()], raw.alias("_raw"))
+    out = out.withColumns({"_orig": post.original(F.col("_raw")), "_corrected": post.corrected(F.col("_raw")), "_ds": F.date_add("_last_date", 1)})
+    out = out.withColumn("_flat", post.bounded(usable_score(F.col("_corrected"), F.col("_last_value"))))
+    factor = F.get(F.col("_factors"), F.weekday("_ds"))
+    out = out.withColumn("_yhat", F.when(factor.isNull(), F.col("_flat")).otherwise(post.seasonal(F.col("_flat"), factor)))
+    stages = [F.col("_ds").alias("ds"), F.lit(step).alias("step"), F.round("_yhat", 2).alias("yhat"), F.round("_raw", 6).alias("raw_model")]
+    stages += [(F.round("_orig", 6) if post.log1p else F.lit(None).cast("double")).alias("pred_orig"), F.round("_corrected", 6).alias("corrected")]
+    stages += [F.when(factor.isNotNull(), F.round("_flat", 2)).alias("before_seasonality"), F.when(factor.isNotNull(), F.weekday("_ds")).alias("dow")]
+    keep = max(*maker.lags, *maker.windows) + 1
+    later = {
+        "_tail": F.slice(F.concat(F.array("_yhat"), "_tail"), 1, keep),
+        "_known": F.col("_known") + 1,
+        "_last_date": F.col("_ds"),
+        "_steps": F.concat("_steps", F.array(F.struct(*stages))),
+    }
+    for s in windows:
+        rate = 1 - 2 / (s + 1)
+        later |= {f"_num_{s}": F.col(f"_num_{s}") * rate + F.col("_yhat"), f"_den_{s}": F.col(f"_den_{s}") * rate + 1}
+    keys = [F.col(f"_key_{i}").alias(k) for i, k in enumerate(maker.keys)]
+    return out.withColumns(later).select(*keys, *kept)
 
 
 def forecast_errors(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

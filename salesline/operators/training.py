@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import json
 import random
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesline.operators import dataset, metrics
+from salesline.operators import dataset, encode, forecast, metrics
+from salesline.operators.features import Encoders, build_features, training_rows
+from salesline.operators.windows import LAGS, WINDOWS
+from salesline.session import cut_lineage
 
 # Regularisation and harmonics of the seasonal regression.
 RIDGE = 1.0
 YEARLY_TERMS, WEEKLY_TERMS, MONTHLY_TERMS = 10, 3, 5
 MONTH_DAYS = 30.5
+Waves = Sequence[tuple[float, int]]
+WAVES: Waves = ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS), (MONTH_DAYS, MONTHLY_TERMS))
 
 SEARCH_SPACE: dict[str, Sequence] = {
     "maxDepth": tuple(range(4, 13)),
@@ -151,66 +159,50 @@ def search(
     return sorted(out, key=lambda t: t.rmse)
 
 
-# ---------------------------------------------------------------------------------- tree scores
-
-Tree = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
-
-
-def _tree_arrays(tree) -> Tree:
-    """Feature, threshold, left and right child and value of every node; leaves have feature -1."""
-    rows: list[list[float]] = []
-
-    def visit(node) -> int:
-        here = len(rows)
-        rows.append([-1, 0.0, 0, 0, float(node.prediction())])
-        if node.subtreeDepth() > 0:
-            split = node.split()
-            rows[here][:2] = [split.featureIndex(), split.threshold()]
-            rows[here][2] = visit(node.leftChild())
-            rows[here][3] = visit(node.rightChild())
-        return here
-
-    visit(tree._java_obj.rootNode())
-    table = np.array(rows, dtype=float)
-    feature, threshold, left, right, value = table.T
-    return feature.astype(int), threshold, left.astype(int), right.astype(int), value
+# --------------------------------------------------------------------------- seasonal regression
 
 
-def batch_score(model: PipelineModel, features: Sequence[str]) -> Callable[[pd.DataFrame], np.ndarray]:
-    """The model as a function of a feature table, for forecasts that feed on themselves."""
-    last, names = model.stages[-1], list(features)
-    if hasattr(last, "coefficients"):
-        weights, offset = last.coefficients.toArray(), float(last.intercept)
-        return lambda t: t.reindex(columns=names, fill_value=0.0).to_numpy(float) @ weights + offset
-    trees = [_tree_arrays(t) for t in last.trees]
-    shares = list(last.treeWeights) if isinstance(last, GBTRegressionModel) else [1 / len(trees)] * len(trees)
+def _design(day: Column, origin: Column, span: Column, waves: Waves, regressors: Sequence[Column]) -> Column:
+    """Constant, trend, sines and cosines of every wave, and the regressors, as one array."""
+    cols = [F.lit(1.0), (day - origin) / span]
+    for period, terms in waves:
+        for k in range(1, terms + 1):
+            angle = day * (2 * np.pi * k / period)
+            cols += [F.sin(angle), F.cos(angle)]
+    return F.array(*cols, *regressors)
 
-    def score(t: pd.DataFrame) -> np.ndarray:
-        x = t.reindex(columns=names, fill_value=0.0).to_numpy(float)
-        total, rows = np.zeros(len(x)), np.arange(len(x))
-        for (feature, threshold, left, right, value), share in zip(trees, shares):
-            at = np.zeros(len(x), dtype=int)
-            while (feature[at] >= 0).any():
-                inner = feature[at] >= 0
-                goes_left = x[rows, np.maximum(feature[at], 0)] <= threshold[at]
-                at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-            total += share * value[at]
-        return total
 
-    return score
+def _centered(regressors: Sequence[str]) -> list[Column]:
+    """Regressors less their mean in the series; an unknown one counts as the mean."""
+    out = []
+    for i, r in enumerate(regressors):
+        center = F.get("centers", F.lit(i))
+        out.append(F.coalesce(_number(r) - center, F.lit(0.0)))
+    return out
 
 
-# --------------------------------------------------------------------------- seasonal regression
+def _number(name: str) -> Column:
+    x = F.col(name).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
-def _design(day: np.ndarray, origin: float, span: float, regressors: np.ndarray) -> np.ndarray:
-    """Trend, yearly, weekly and monthly waves, and the regressors, one row per day number."""
-    cols = [np.ones(len(day)), (day - origin) / span]
-    for period, terms in ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS), (MONTH_DAYS, MONTHLY_TERMS)):
-        for k in range(1, terms + 1):
-            angle = 2 * np.pi * k * day / period
-            cols += [np.sin(angle), np.cos(angle)]
-    return np.column_stack([*cols, regressors])
+def _solved(grams: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The coefficients from the sums of z * z' with z = (x, y), a matrix row by row for each series."""
+    for batch in grams:
+        out = []
+        for flat in batch:
+            if flat is None:
+                out.append(None)
+                continue
+            size = int(np.sqrt(len(flat)))
+            sums = np.asarray(flat, float).reshape(size, size)
+            penalty = RIDGE * np.eye(size - 1)
+            penalty[0, 0] = 0.0
+            try:
+                out.append(np.linalg.solve(sums[:-1, :-1] + penalty, sums[:-1, -1]).tolist())
+            except np.linalg.LinAlgError:
+                out.append(None)
+        yield pd.Series(out, dtype=object)
 
 
 def fit_seasonal(
@@ -221,43 +213,35 @@ def fit_seasonal(
     regressors: Sequence[str] = ("price", "on_promo", "is_weekend"),
     multiplicative: bool = True,
     min_rows: int = dataset.MIN_SERIES_ROWS,
+    waves: Waves = WAVES,
 ) -> DataFrame:
     """One row per series: the coefficients, or why there are none.
 
-    Series have one row per day, so the calendar bounds what one task holds of a series. With
+    A ridge regression from its normal equations: every row gives the products of its terms, which are added up per
+    series before and after the shuffle, so that no task holds a series, and solved from one matrix per series. With
     ``multiplicative`` the regression is on the log of the value.
     """
-    types = dict(train.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
-    schema += ", rows int, origin double, span double, centers array<double>, coefficients array<double>, status string"
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = {k: pdf[k].iloc[0] for k in keys}
-        empty = {"origin": None, "span": None, "centers": None, "coefficients": None}
-        pdf = pdf[pdf[value].notna()]
-        if len(pdf) < min_rows:
-            return pd.DataFrame([{**head, "rows": len(pdf), **empty, "status": "skipped"}])
-        day = pdf["_day"].to_numpy(float)
-        raw = pdf[list(regressors)].to_numpy(float)
-        centers = np.nanmean(raw, axis=0) if raw.shape[1] else np.zeros(0)
-        extra = np.where(np.isnan(raw), centers, raw) - centers
-        y = pdf[value].to_numpy(float)
-        y = np.log1p(np.maximum(y, 0.0)) if multiplicative else y
-        origin, span = day.min(), max(day.max() - day.min(), 1.0)
-        x = _design(day, origin, span, extra)
-        penalty = RIDGE * np.eye(x.shape[1])
-        penalty[0, 0] = 0.0
-        try:
-            beta = np.linalg.solve(x.T @ x + penalty, x.T @ y)
-        except np.linalg.LinAlgError as e:
-            return pd.DataFrame([{**head, "rows": len(pdf), **empty, "status": f"failed: {e}"[:50]}])
-        fitted = {"origin": origin, "span": span, "centers": centers.tolist(), "coefficients": beta.tolist()}
-        return pd.DataFrame([{**head, "rows": len(pdf), **fitted, "status": "trained"}])
-
-    rows = train.select(
-        *keys, value, *regressors, F.datediff(date, F.lit("1970-01-01").cast("date")).alias("_day")
+    day = F.datediff(date, F.lit("1970-01-01").cast("date")).cast("double")
+    target = _number(value)
+    rows = train.select(*keys, *regressors, target.alias("_y"), day.alias("_day"))
+    known = F.col("_y").isNotNull()
+    heads = rows.groupBy(*keys).agg(
+        F.count("_y").cast("int").alias("rows"),
+        F.min(F.when(known, F.col("_day"))).alias("origin"),
+        F.greatest(F.max(F.when(known, F.col("_day"))) - F.min(F.when(known, F.col("_day"))), F.lit(1.0)).alias("span"),
+        F.array(*[F.coalesce(F.avg(F.when(known, _number(r))), F.lit(0.0)) for r in regressors]).cast("array<double>").alias("centers"),
     )
-    return rows.groupBy(*keys).applyInPandas(solve, schema)
+    heads = cut_lineage(heads)
+    enough = heads.where(F.col("rows") >= min_rows)
+    y = F.log1p(F.greatest("_y", F.lit(0.0))) if multiplicative else F.col("_y")
+    joined = rows.where(known).join(enough, list(keys))
+    z = joined.select(*keys, F.concat(_design(F.col("_day"), F.col("origin"), F.col("span"), waves, _centered(regressors)), F.array(y)).alias("z"))
+    products = F.flatten(F.transform("z", lambda a: F.transform("z", lambda b: a * b)))
+    grams = z.select(*keys, array_to_vector(products).alias("p")).groupBy(*keys).agg(vector_to_array(Summarizer.sum(F.col("p"))).alias("gram"))
+    solve = F.pandas_udf(_solved, "array<double>")
+    solved = grams.select(*keys, solve("gram").alias("coefficients"))
+    state = F.when(F.col("rows") < min_rows, "skipped").when(F.col("coefficients").isNull(), "failed: singular matrix").otherwise("trained")
+    return heads.join(solved, list(keys), "left").select(*keys, "rows", "origin", "span", "centers", "coefficients", state.alias("status"))
 
 
 def predict_seasonal(
@@ -270,6 +254,7 @@ def predict_seasonal(
     name: str = "yhat",
     train: DataFrame | None = None,
     value: str = "value",
+    waves: Waves = WAVES,
 ) -> DataFrame:
     """Forecast of every row whose series has a model, never below 0, and the status of the series.
 
@@ -278,15 +263,8 @@ def predict_seasonal(
     known = ["origin", "span", "centers", "coefficients"]
     trained = models.select(*keys, "status", *[F.when(F.col("status") == "trained", F.col(c)).alias(c) for c in known])
     day = F.datediff(date, F.lit("1970-01-01").cast("date")).cast("double")
-    waves = [F.lit(1.0), (F.col("_day") - F.col("origin")) / F.col("span")]
-    for period, terms in ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS), (MONTH_DAYS, MONTHLY_TERMS)):
-        for k in range(1, terms + 1):
-            angle = F.col("_day") * (2 * np.pi * k / period)
-            waves += [F.sin(angle), F.cos(angle)]
-    for i, r in enumerate(regressors):
-        center = F.get("centers", F.lit(i))
-        waves.append(F.coalesce(F.col(r).cast("double"), center) - center)
-    joined = df.join(trained, list(keys), "left").withColumn("_day", day).withColumn("_x", F.array(*waves))
+    joined = df.join(trained, list(keys), "left").withColumn("_day", day)
+    joined = joined.withColumn("_x", _design(F.col("_day"), F.col("origin"), F.col("span"), waves, _centered(regressors)))
     dot = F.aggregate(F.zip_with("_x", "coefficients", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     yhat = F.expm1(F.least(dot, F.lit(dataset.LOG_CLIP))) if multiplicative else dot
     out = joined.withColumn(name, F.when(F.col("coefficients").isNotNull(), F.greatest(yhat, F.lit(0.0))))
@@ -354,8 +332,66 @@ def train_all(
     return out
 
 
-def recompute_bias(model: PipelineModel, features_df: DataFrame, horizon: int, target: str = "value") -> DataFrame:
-    """The correction to store with a model: minus its mean error over the last dates."""
-    rows = dataset.split_by_time(features_df, horizon).where("split = 'test'")
-    scored = metrics.error_metrics(predict(model, rows), target)
-    return scored.select("n", "bias", (-F.col("bias")).alias("bias_correction"))
+# ------------------------------------------------------------------------------- stored models
+
+
+@dataclass(frozen=True)
+class Bundle:
+    """A model with all that its features are made of: encoders, lags, windows, keys, and the corrections of its score."""
+
+    model: PipelineModel
+    features: Sequence[str]
+    encoders: Encoders
+    keys: Sequence[str] = ("store_id", "product_id")
+    lags: Sequence[int] = LAGS
+    windows: Sequence[int] = WINDOWS
+    carry: Sequence[str] = ("price",)
+    post: forecast.PostProcessing = forecast.PostProcessing()
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """The feature table of raw series, built with the stored encoders."""
+        return build_features(df, lags=self.lags, sizes=self.windows, keys=self.keys, categories=list(self.encoders.labels), encoders=self.encoders)[0]
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """The corrected forecast of every row whose features are known."""
+        scored = predict(self.model, training_rows(self.table(df), self.features))
+        return scored.withColumn("yhat", self.post.bounded(self.post.corrected(F.col("yhat"))))
+
+    def forecast(self, df: DataFrame, horizon: int, **options) -> DataFrame:
+        """All series day by day, as ``recursive_forecast`` does, with the errors of series that have no values."""
+        more = {"errors": True, **options}
+        return forecast.recursive_forecast(
+            df, self.keys, horizon, self.model, self.features, self.lags, self.windows, self.post, self.carry, self.encoders, **more
+        )
+
+    def save(self, path: str) -> None:
+        """Write model, encoder tables and settings below ``path``; what stands there is replaced."""
+        spark = SparkSession.getActiveSession()
+        self.model.write().overwrite().save(f"{path}/model")
+        encode.save_encoders(self.encoders.labels, f"{path}/encoders", "label")
+        encode.save_encoders(self.encoders.means, f"{path}/encoders", "target")
+        names = ("features", "keys", "lags", "windows", "carry")
+        settings = {n: list(getattr(self, n)) for n in names} | {"post": asdict(self.post)}
+        settings |= {"labels": list(self.encoders.labels), "means": list(self.encoders.means)}
+        spark.createDataFrame([(json.dumps(settings),)], "settings string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Bundle:
+        settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
+        labels = {c: encode.load_encoder(spark, f"{path}/encoders", "label", c) for c in settings.pop("labels")}
+        means = {c: encode.load_encoder(spark, f"{path}/encoders", "target", c) for c in settings.pop("means")}
+        post = forecast.PostProcessing(**settings.pop("post"))
+        return cls(PipelineModel.load(f"{path}/model"), encoders=Encoders(labels, means), post=post, **settings)
+
+
+def recompute_bias(bundle: Bundle, df: DataFrame, horizon: int, target: str = "value") -> tuple[Bundle, DataFrame]:
+    """The bundle with its bias recomputed on the last dates of raw series, and the figures it comes from.
+
+    The features are built again from the series; the correction is minus the mean error of the uncorrected scores.
+    """
+    rows = training_rows(bundle.table(df), bundle.features)
+    held = dataset.split_by_time(rows, horizon).where("split = 'test'")
+    scored = predict(bundle.model, held).withColumn("yhat", replace(bundle.post, bias=0.0).original(F.col("yhat")))
+    found = metrics.error_metrics(scored, target).select("n", "bias", (-F.col("bias")).alias("bias_correction"))
+    bias = found.first()["bias_correction"]
+    return replace(bundle, post=replace(bundle.post, bias=float(bias), bias_in_log=False)), found

@@ -41,16 +41,36 @@ def add_lags(
     return over_series(df, series, max(lags), add)
 
 
+def rolling_statistics(size: int, count: Column, mean: Column, std: Column, low: Column, high: Column) -> dict:
+    """The rolling features of one size from aggregates over its values, of a window or of an array."""
+    enough = count >= min_rows(size)
+    return {
+        f"roll_mean_{size}": F.when(enough, mean),
+        f"roll_std_{size}": F.coalesce(F.when(enough, std), F.lit(0.0)),
+        f"roll_min_{size}": F.when(enough, low),
+        f"roll_max_{size}": F.when(enough, high),
+    }
+
+
 def rolling_columns(value: str, windows: Sequence[int], w: WindowSpec, present: Column, shift: int = 1) -> dict:
     """Statistics of the rows ending ``shift`` rows back."""
     out: dict[str, Column] = {}
     for size in windows:
         frame = w.rowsBetween(-(size + shift - 1), -shift)
-        enough = (F.count(value).over(frame) >= min_rows(size)) & present
-        out[f"roll_mean_{size}"] = F.when(enough, F.avg(value).over(frame))
-        out[f"roll_std_{size}"] = F.coalesce(F.when(enough, F.stddev_samp(value).over(frame)), F.lit(0.0))
-        out[f"roll_min_{size}"] = F.when(enough, F.min(value).over(frame))
-        out[f"roll_max_{size}"] = F.when(enough, F.max(value).over(frame))
+        count, *found = (f(value).over(frame) for f in (F.count, F.avg, F.stddev_samp, F.min, F.max))
+        out |= rolling_statistics(size, F.when(present, count), *found)
+    return out
+
+
+def array_rolling_columns(known: dict[int, Column]) -> dict:
+    """The same statistics of arrays that hold the known values of the last rows, an array for each size."""
+    out: dict[str, Column] = {}
+    for size, values in known.items():
+        n = F.size(values)
+        mean = F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), n)
+        spread = F.transform(F.array(mean), lambda m: F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - m) * (v - m)))
+        std = F.sqrt(F.try_divide(F.get(spread, F.lit(0)), n - 1))
+        out |= rolling_statistics(size, n, mean, std, F.array_min(values), F.array_max(values))
     return out
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from salesline.operators import forecast, windows
+from salesline.operators import features, forecast, windows
 from salesline.plans.datasets import PAIRS_SQL, forecast_pairs
 from salesline.plans.features import KEY
 from salesline.plans.views import DAILY_SQL, DIRTY_SQL, EVENTS_SQL, dirty_sales, events_daily, sales_daily, table
@@ -84,14 +85,42 @@ def seasonal_blend(spark, sf):
     return rounded(out, {"yhat": 4})
 
 
-def weighted_score(rows):
-    """A fixed linear model of three features."""
-    return rows["lag_7"] * 0.5 + rows["roll_mean_7"] * 0.3 + rows["ewma_14"] * 0.2
+def fixed_model(formula: str) -> SQLTransformer:
+    """A model that scores features by a formula, with the transform of a fitted one."""
+    return SQLTransformer(statement=f"SELECT *, {formula} AS yhat FROM __THIS__")
 
 
-@query("i4_recursive_forecast")
+WEIGHTED = ["lag_7", "roll_mean_7", "ewma_14"]
+WEIGHTED_FORMULA = "lag_7 * 0.5D + roll_mean_7 * 0.3D + ewma_14 * 0.2D"
+
+
+def recursion_sql(raw: str, horizon: int, source: str = "sales_daily", bias: float = 0.0, more: str = "", joins: str = "") -> str:
+    """Forecasts ``r`` day by day: ``raw`` is the score of a state ``s``, whose tail holds the newest value first."""
+    return f"""{factors_sql(source)},
+    weekly AS (SELECT store_id, product_id, list(factor ORDER BY dow) AS f FROM factors GROUP BY ALL),
+    aged AS (SELECT *, row_number() OVER (PARTITION BY store_id, product_id ORDER BY date DESC) - 1 AS age FROM {source}),
+    start AS (SELECT store_id, product_id, list(value ORDER BY age) FILTER (age < 29) AS tail, max(date) AS last,
+      sum(value * (1 - 2 / 15::double) ** age) AS num, sum((1 - 2 / 15::double) ** age) AS den{more} FROM aged
+      GROUP BY store_id, product_id HAVING count(value) > 0),
+    s0 AS (SELECT start.*, f FROM start LEFT JOIN weekly USING (store_id, product_id)),
+    r AS (
+      SELECT *, 0 AS step, 0::double AS raw, 0::double AS flat, 0::double AS yhat, last AS ds FROM s0
+      UNION ALL
+      SELECT * REPLACE ([yhat] || tail[1:28] AS tail, ds AS last, num * (1 - 2 / 15::double) + yhat AS num, den * (1 - 2 / 15::double) + 1 AS den)
+      FROM (SELECT * REPLACE (greatest(flat * (1 + 0.7::double * (f[isodow(ds)] - 1)), 0) AS yhat)
+        FROM (SELECT * REPLACE (greatest(raw + ({bias}), 0) AS flat)
+          FROM (SELECT s.* REPLACE (s.step + 1 AS step, cast(s.last + INTERVAL 1 DAY AS date) AS ds, {raw} AS raw) FROM r s {joins}
+            WHERE s.step < {horizon}))))"""
+
+
+WEIGHTED_SQL = "s.tail[7] * 0.5::double + list_avg(s.tail[1:7]) * 0.3::double + s.num / s.den * 0.2::double"
+STEPS_SQL = "SELECT store_id, product_id, ds, step::int AS step, round(yhat, 2) AS yhat"
+
+
+@query("i4_recursive_forecast", f"WITH RECURSIVE {DAILY_SQL}, {recursion_sql(WEIGHTED_SQL, 7)} {STEPS_SQL} FROM r WHERE step > 0")
 def recursive(spark, sf):
-    return forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, weighted_score)
+    out = forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, fixed_model(WEIGHTED_FORMULA), WEIGHTED)
+    return out.select(*SERIES, "ds", "step", "yhat")
 
 
 @query(
@@ -104,13 +133,19 @@ def recursive(spark, sf):
 )
 def recursive_last_lag(spark, sf):
     """With the value seven rows back as the score, a week ahead follows from the data alone."""
-    out = forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, lambda rows: rows["lag_7"])
+    out = forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, fixed_model("lag_7"), ["lag_7"])
     return out.select(*SERIES, "ds", "step", "yhat")
 
 
-@query("i4_recursive_observed_row")
+OBSERVED_SQL = """s.tail[8] * 0.5::double + list_avg(s.tail[2:8]) * 0.3::double
+    + ((s.num - s.tail[1]) / (1 - 2 / 15::double)) / ((s.den - 1) / (1 - 2 / 15::double)) * 0.2::double"""
+
+
+@query("i4_recursive_observed_row", f"WITH RECURSIVE {DAILY_SQL}, {recursion_sql(OBSERVED_SQL, 3)} {STEPS_SQL} FROM r WHERE step > 0")
 def recursive_observed(spark, sf):
-    return forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 3, weighted_score, observed_row=True)
+    model = fixed_model(WEIGHTED_FORMULA)
+    out = forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 3, model, WEIGHTED, observed_row=True)
+    return out.select(*SERIES, "ds", "step", "yhat")
 
 
 LOG_POST = forecast.PostProcessing(log1p=True, bias=-0.05, bias_in_log=True, shift=1.0)
@@ -157,11 +192,56 @@ def short_history(spark, sf):
     return forecast.history_warning(events_daily(spark, sf), ["user_id"])
 
 
-@query("i8_diagnostics")
+@query(
+    "i8_diagnostics",
+    f"""WITH RECURSIVE {DAILY_SQL}, {recursion_sql(WEIGHTED_SQL, 2, bias=-150.0)} {STEPS_SQL}, round(round(raw, 6), 4) AS raw_model,
+    NULL::double AS pred_orig, round(round(raw - 150, 6), 4) AS corrected, round(flat, 2) AS before_seasonality, (isodow(ds) - 1)::int AS dow
+    FROM r WHERE step > 0""",
+)
 def diagnostics(spark, sf):
     """Each step with the raw score and every stage of the corrections."""
     post = forecast.PostProcessing(bias=-150.0)
-    return forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 2, weighted_score, post=post)
+    out = forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 2, fixed_model(WEIGHTED_FORMULA), WEIGHTED, post=post)
+    return rounded(out, {"raw_model": 4, "corrected": 4})
+
+
+BATCH_FEATURES = ["lag_7", "store_id", "product_id", "store_id_target_enc", "product_id_target_enc", "price", "store_dayofweek", "month_store", "on_promo"]
+BATCH_FORMULA = """lag_7 * 0.5D + store_id * 3 + product_id * 2 + store_id_target_enc * 0.2D + product_id_target_enc * 0.1D + price * 0.01D
+    + store_dayofweek + month_store * 0.5D + on_promo * 1000"""
+
+
+def _means_sql(col: str) -> str:
+    return f"""{col}_enc AS (SELECT {col}, (sum(value) + 10 * (SELECT avg(value) FROM part)) / (count(value) + 10) AS enc FROM part GROUP BY ALL
+      HAVING count(value) > 0)"""
+
+
+def _codes_sql(name: str, expression: str) -> str:
+    return f"{name} AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS code FROM (SELECT DISTINCT {expression} AS x FROM part))"
+
+
+@query(
+    "i9_model_batch",
+    f"""WITH RECURSIVE {DAILY_SQL}, part AS (SELECT store_id, product_id, date, CASE WHEN store_id <> 'S004' THEN value END AS value, price FROM sales_daily),
+    {_means_sql('store_id')}, {_means_sql('product_id')}, {_codes_sql('shops', 'store_id')}, {_codes_sql('items', 'product_id')},
+    {_codes_sql('shop_days', "store_id || '_' || (isodow(date) - 1)")}, {_codes_sql('shop_months', "month(date) || '_' || store_id")},
+    {recursion_sql("""s.tail[7] * 0.5::double + shops.code * 3 + items.code * 2 + coalesce(a.enc, (SELECT avg(value) FROM part)) * 0.2::double
+      + b.enc * 0.1::double + s.price * 0.01::double + coalesce(shop_days.code, -1) + coalesce(shop_months.code, -1) * 0.5::double""", 3, 'part',
+      more=", arg_max(price, date) AS price", joins="""JOIN shops ON shops.x = s.store_id JOIN items ON items.x = s.product_id
+      LEFT JOIN store_id_enc a ON a.store_id = s.store_id LEFT JOIN product_id_enc b ON b.product_id = s.product_id
+      LEFT JOIN shop_days ON shop_days.x = s.store_id || '_' || (isodow(s.last + INTERVAL 1 DAY) - 1)
+      LEFT JOIN shop_months ON shop_months.x = month(s.last + INTERVAL 1 DAY) || '_' || s.store_id""")}
+    {STEPS_SQL}, NULL AS error FROM r WHERE step > 0 UNION ALL
+    SELECT store_id, product_id, NULL, NULL, NULL, 'no_values' FROM part GROUP BY ALL HAVING count(value) = 0""",
+)
+def model_batch(spark, sf):
+    """Forecasts of all series, with codes, target means, crosses and price in the loop, and the series that have none."""
+    value = F.when(F.col("store_id") != "S004", F.col("value"))
+    rows = sales_daily(spark, sf).select(*KEY, value.alias("value"), "price")
+    _, encoders = features.build_features(rows)
+    out = forecast.recursive_forecast(
+        rows, SERIES, 3, fixed_model(BATCH_FORMULA), BATCH_FEATURES, carry=("price",), encoders=encoders, errors=True
+    )
+    return out.select(*SERIES, "ds", "step", "yhat", "error")
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from salesline.operators import dataset, features, forecast, training, windows
 from salesline.plans.features import KEY, W_SQL, _lags_sql, ewma_sql, rolling_sql
 from salesline.plans.forecasting import SERIES
+from salesline.plans.sources import scratch
 from salesline.plans.views import DAILY_SQL, sales_daily
 from salesline.registry import query, rounded
 from salesline.session import cut_lineage
@@ -65,10 +67,10 @@ def model_rows(spark, sf):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
-def fit_trees(train):
+def fit_trees(train, names=MODEL_FEATURES):
     """Boosted trees of full size; the last days of ``train`` stop them early."""
     flagged = cut_lineage(dataset.validation_flag(train, 28))
-    return training.fit(flagged, MODEL_FEATURES, training.boosted_trees(**training.FULL_TREES), "is_validation", patience=training.PATIENCE)
+    return training.fit(flagged, names, training.boosted_trees(**training.FULL_TREES), "is_validation", patience=training.PATIENCE)
 
 
 @query("h7_boosted_trees")
@@ -97,6 +99,25 @@ def seasonal_regression(spark, sf):
     return training.predict_seasonal(models, test, SERIES, train=train).select(*KEY, "value", "yhat", "status")
 
 
+TREND_SQL = DAILY_SQL + """, t AS (SELECT store_id, product_id, date, ln(1 + greatest(value, 0)) AS y, (date - DATE '1970-01-01')::double AS day
+      FROM sales_daily WHERE value IS NOT NULL),
+    g AS (SELECT store_id, product_id, count(*) AS n, min(day) AS origin, greatest(max(day) - min(day), 1) AS span FROM t GROUP BY ALL HAVING count(*) >= 30),
+    s AS (SELECT t.store_id, t.product_id, any_value(n) AS n, sum((day - origin) / span) AS sx, sum(((day - origin) / span) ** 2) + 1 AS sxx,
+      sum(y) AS sy, sum(y * (day - origin) / span) AS sxy FROM t JOIN g USING (store_id, product_id) GROUP BY ALL)"""
+
+
+@query(
+    "h9_trend_regression",
+    f"""WITH {TREND_SQL} SELECT store_id, product_id, n::int AS rows, round((sxx * sy - sx * sxy) / (n * sxx - sx * sx), 6) AS level,
+    round((n * sxy - sx * sy) / (n * sxx - sx * sx), 6) AS slope, 'trained' AS status FROM s""",
+)
+def trend_regression(spark, sf):
+    """The regression without waves and regressors, whose coefficients have a closed form."""
+    models = training.fit_seasonal(sales_daily(spark, sf), SERIES, regressors=(), waves=())
+    terms = {"level": F.get("coefficients", F.lit(0)), "slope": F.get("coefficients", F.lit(1))}
+    return rounded(models.withColumns(terms).select(*SERIES, "rows", *terms, "status"), {"level": 6, "slope": 6})
+
+
 @query("h13_feature_importance")
 def feature_importance(spark, sf):
     train, _ = model_rows(spark, sf)
@@ -117,20 +138,49 @@ def all_backends(spark, sf):
     return found.report(spark)
 
 
+BUNDLE_FEATURES = [*MODEL_FEATURES, *SERIES, "store_id_target_enc", "product_id_target_enc", "store_dayofweek", "month_store", "price"]
+
+
+def stored_bundle(spark, sf, make):
+    """A model trained on the feature table with codes and target means, written with all it needs and read back."""
+    table, encoders = features.build_features(sales_daily(spark, sf))
+    rows = features.training_rows(table, BUNDLE_FEATURES).select(*SERIES, "date", "value", *[c for c in BUNDLE_FEATURES if c not in SERIES])
+    train = dataset.split_by_time(cut_lineage(rows), 28).where("split = 'train'")
+    path = scratch(spark)
+    training.Bundle(make(train), BUNDLE_FEATURES, encoders).save(path)
+    return training.Bundle.load(spark, path)
+
+
 @query("h16_recomputed_bias")
 def recomputed_bias(spark, sf):
-    train, test = model_rows(spark, sf)
-    model = training.fit(train, MODEL_FEATURES, training.BACKENDS["linear"]("value"))
-    return training.recompute_bias(model, train.unionByName(test), 28)
+    """The bias of a stored linear model, on features built again from the series."""
+    bundle = stored_bundle(spark, sf, lambda train: training.fit(train, BUNDLE_FEATURES, training.BACKENDS["linear"]("value")))
+    return training.recompute_bias(bundle, sales_daily(spark, sf), 28)[1]
+
+
+# The longest lag leaves out the first 28 days of a series; windows need fewer.
+CHECKED_SQL = f"""WITH {DAILY_SQL}, known AS (SELECT date FROM (SELECT date, row_number() OVER (PARTITION BY store_id, product_id ORDER BY date) AS n
+      FROM sales_daily) WHERE n > 28)
+    SELECT count(*) AS n, true AS unbiased FROM known WHERE date >= (SELECT min(date) FROM (SELECT DISTINCT date FROM known ORDER BY date DESC LIMIT 28))"""
+
+
+@query("h16_corrected_model", CHECKED_SQL)
+def corrected_model(spark, sf):
+    """A stored forest whose bias is recomputed, and whose corrected scores of the same rows are unbiased."""
+    forest = RandomForestRegressor(labelCol="value", featuresCol="features", predictionCol="yhat", numTrees=10, maxDepth=5, seed=42)
+    bundle = stored_bundle(spark, sf, lambda train: training.fit(train, BUNDLE_FEATURES, forest))
+    corrected, _ = training.recompute_bias(bundle, sales_daily(spark, sf), 28)
+    scored = training.predict(corrected.model, features.training_rows(corrected.table(sales_daily(spark, sf)), BUNDLE_FEATURES))
+    scored = scored.withColumn("yhat", corrected.post.corrected(F.col("yhat")))
+    held = dataset.split_by_time(scored, 28).where("split = 'test'")
+    return held.agg(F.count(F.lit(1)).alias("n"), (F.abs(F.avg(F.col("yhat") - F.col("value"))) < 1e-6).alias("unbiased"))
 
 
 @query("i4_recursive_trees")
 def recursive_trees(spark, sf):
-    """Boosted trees trained on the feature table, forecasting all series a week ahead."""
-    train, _ = model_rows(spark, sf)
-    model = fit_trees(train)
-    score = training.batch_score(model, MODEL_FEATURES)
-    return forecast.recursive_forecast(sales_daily(spark, sf), SERIES, 7, score)
+    """Boosted trees of a stored bundle, forecasting all series a week ahead."""
+    bundle = stored_bundle(spark, sf, lambda train: fit_trees(train, BUNDLE_FEATURES))
+    return bundle.forecast(sales_daily(spark, sf), 7, seasonal=True)
 
 
 @query(
@@ -160,7 +210,6 @@ def split_codes(spark, sf):
 )
 def stored_encoders(spark, sf):
     from salesline.operators import encode
-    from salesline.plans.sources import scratch
 
     path = scratch(spark)
     encode.save_encoders({"store_id": encode.fit_labels(sales_daily(spark, sf), "store_id")}, path, "label")

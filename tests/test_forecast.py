@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from salesline.operators import features, forecast, training
@@ -32,6 +33,14 @@ def history(spark):
     return pdf, df.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
+NAMES = ["lag_1", "roll_mean_7", "ewma_7", "dayofweek", "roll_std_7"]
+FORMULA = "0.4D * lag_1 + 0.3D * roll_mean_7 + 0.3D * ewma_7 + dayofweek - 0.1D * roll_std_7"
+
+
+def model():
+    return SQLTransformer(statement=f"SELECT *, {FORMULA} AS yhat FROM __THIS__")
+
+
 def score(t):
     return (0.4 * t["lag_1"] + 0.3 * t["roll_mean_7"] + 0.3 * t["ewma_7"] + t["dayofweek"] - 0.1 * t["roll_std_7"]).to_numpy()
 
@@ -72,7 +81,7 @@ def by_hand(pdf, horizon, observed_row):
 @pytest.mark.parametrize("observed_row", [False, True])
 def test_recursive_forecast(history, observed_row):
     pdf, df = history
-    got = forecast.recursive_forecast(df, KEYS, 10, score, LAGS, SIZES, observed_row=observed_row)
+    got = forecast.recursive_forecast(df, KEYS, 10, model(), NAMES, LAGS, SIZES, observed_row=observed_row)
     got = got.toPandas().sort_values(["store_id", "step"]).reset_index(drop=True)
     want = by_hand(pdf, 10, observed_row)
     assert got["ds"].tolist() == want["ds"].tolist()
@@ -89,14 +98,40 @@ def test_horizon_limits(history):
 def test_post_processing_stages(history):
     _, df = history
     post = forecast.PostProcessing(bias=-1e6, floor=3.0, strength=0.0)
-    rows = forecast.recursive_forecast(df, KEYS, 2, score, LAGS, SIZES, post=post).toPandas()
+    rows = forecast.recursive_forecast(df, KEYS, 2, model(), NAMES, LAGS, SIZES, post=post, errors=True).toPandas()
+    assert rows[rows["store_id"] == "S4"][["ds", "error"]].values.tolist() == [[None, "no_values"]]
+    rows = rows[rows["error"].isna()]
+    few = rows[rows["store_id"] == "S3"]  # too few lags: no score counts, so no stage is shown
+    assert few[["raw_model", "corrected", "before_seasonality", "dow"]].isna().all().all() and few["yhat"].notna().all()
     scored = rows[(rows["store_id"] != "S3") & (rows["step"] == 2)]
     assert len(scored) == 2
     assert (scored["before_seasonality"] == 3.0).all()
     np.testing.assert_allclose(scored["corrected"], scored["raw_model"] - 1e6, rtol=1e-9)
-    raw = np.array([0.5, 800.0])
-    original, corrected = forecast.PostProcessing(log1p=True, bias=2.0).scores(raw)
-    assert corrected[0] == pytest.approx(np.expm1(0.5) + 2) and np.isinf(original[1])
+    raw = df.sparkSession.createDataFrame([(0.5,), (800.0,)], "raw double")
+    got = [r[0] for r in raw.select(forecast.PostProcessing(log1p=True, bias=2.0).corrected(F.col("raw"))).collect()]
+    assert got[0] == pytest.approx(np.expm1(0.5) + 2) and np.isinf(got[1])
+    with pytest.raises(ValueError, match="price"):
+        forecast.recursive_forecast(df, KEYS, 1, model(), [*NAMES, "price"], LAGS, SIZES)
+
+
+def test_state_features_are_those_of_the_table(history):
+    """The features of the next day equal those that the training table has for a row of that day."""
+    _, df = history
+    df = df.withColumn("product_id", F.lit("A"))
+    keys = ["store_id", "product_id"]
+    table, encoders = features.build_features(df, lags=LAGS, sizes=SIZES)
+    state = forecast.series_state(df, keys, (*LAGS, 8), SIZES)
+    made = forecast.StateFeatures(LAGS, SIZES, keys, encoders).add(state)
+    ahead = df.groupBy(*keys).agg(F.date_add(F.max("date"), 1).alias("date")).withColumn("value", F.lit(None).cast("double"))
+    longer, _ = features.build_features(df.unionByName(ahead), lags=LAGS, sizes=SIZES, encoders=encoders)
+    last = longer.where("value is null").join(ahead.select("date", F.col("store_id").alias("_s")), "date")
+    names = [c for c in table.columns if c != "value"]
+    assert set(names) <= set(made.columns)
+    got = made.select(*names).toPandas().set_index("store_id").sort_index()
+    codes = {r.code: r.store_id for r in encoders.labels["store_id"].collect()}
+    want = last.select("_s", *names).toPandas()
+    want = want[want["store_id"].map(codes) == want["_s"]].drop(columns="_s").set_index("store_id").sort_index()
+    pd.testing.assert_frame_equal(got, want[got.columns], check_dtype=False, rtol=1e-9)
 
 
 def test_single_request(spark):
@@ -122,29 +157,33 @@ def model_data(spark):
     return df, rows.cache(), names
 
 
-@pytest.mark.parametrize("backend", ["boosted_trees", "forest", "linear"])
-def test_batch_score_equals_the_model(model_data, backend):
-    _, rows, names = model_data
-    model = training.fit(rows, names, training.BACKENDS[backend]("value"))
-    scored = training.predict(model, rows).toPandas()
-    np.testing.assert_allclose(training.batch_score(model, names)(scored[names]), scored["yhat"], rtol=1e-9)
-
-
-def test_model_beats_the_mean_and_saves(model_data, tmp_path):
-    from pyspark.ml import PipelineModel
-
-    df, rows, names = model_data
-    model = training.fit(rows, names, training.boosted_trees(maxIter=10, maxDepth=3))
-    error = training.metrics.error_metrics(training.predict(model, rows)).first()
+@pytest.mark.parametrize("backend", ["boosted_trees", "linear"])
+def test_bundle(model_data, tmp_path, spark, backend):
+    df, _, names = model_data
+    names = [*names, "store_id", "store_id_target_enc", "store_dayofweek", "price"]
+    table, encoders = features.build_features(df, lags=(1, 7), sizes=(7,))
+    rows = features.training_rows(table, names)
+    estimator = training.boosted_trees(maxIter=10, maxDepth=3) if backend == "boosted_trees" else training.BACKENDS[backend]("value")
+    made = training.Bundle(training.fit(rows, names, estimator), names, encoders, lags=(1, 7), windows=(7,))
+    error = training.metrics.error_metrics(training.predict(made.model, rows)).first()
     assert error["r2"] > 0.8
-    model.save(str(tmp_path / "model"))
-    loaded = PipelineModel.load(str(tmp_path / "model"))
-    ahead = forecast.recursive_forecast(
-        df, ["store_id", "product_id"], 5, training.batch_score(loaded, names), (1, 7), (7,), seasonal=False
-    ).toPandas()
-    assert len(ahead) == 20 and (ahead["yhat"] >= 0).all()
-    top = training.importance(loaded, names, top=3).collect()
-    assert len(top) == 3 and top[0]["importance"] >= top[2]["importance"]
+    made.save(str(tmp_path / "model"))
+    loaded = training.Bundle.load(spark, str(tmp_path / "model"))
+    a, b = (m.predict(df).orderBy("store_id", "date").select("yhat").toPandas() for m in (made, loaded))
+    pd.testing.assert_frame_equal(a, b)
+    ahead = loaded.forecast(df, 3, seasonal=False).toPandas()
+    assert len(ahead) == 12 and (ahead["yhat"] >= 0).all() and ahead["error"].isna().all()
+    # the first step is the model's own score of a row of that day
+    last = df.groupBy("store_id", "product_id").agg(F.date_add(F.max("date"), 1).alias("date"), F.max("price").alias("price"))
+    longer = df.unionByName(last.withColumns({"value": F.lit(0.0), "on_promo": F.lit(0)}), allowMissingColumns=True)
+    scored = loaded.predict(longer).where(F.col("date") == last.agg(F.max("date")).scalar()).toPandas()
+    np.testing.assert_allclose(sorted(scored["yhat"]), sorted(ahead[ahead["step"] == 1]["yhat"]), atol=0.006)
+    corrected, found = training.recompute_bias(loaded, df, 14)
+    found = found.first()
+    assert found["bias"] == -found["bias_correction"] == -corrected.post.bias
+    if backend == "boosted_trees":
+        top = training.importance(loaded.model, names, top=3).collect()
+        assert len(top) == 3 and top[0]["importance"] >= top[2]["importance"]
 
 
 def test_one_failing_backend_does_not_stop_the_rest(model_data):
@@ -153,8 +192,6 @@ def test_one_failing_backend_does_not_stop_the_rest(model_data):
     out = training.train_all(rows, rows, names, backends=backends)
     assert set(out.models) == {"linear"} and set(out.errors) == {"broken"}
     assert out.metrics.count() == 2
-    bias = training.recompute_bias(out.models["linear"], rows, 14).first()
-    assert bias["bias"] == -bias["bias_correction"]
 
 
 def test_search_orders_trials(model_data):
@@ -174,6 +211,14 @@ def test_seasonal_regression(spark):
     both = pd.concat([pdf, short]).assign(price=1.0, on_promo=0, is_weekend=0)
     df = spark.createDataFrame(both)
     models = training.fit_seasonal(df, KEYS)
+    fitted = models.where("store_id = 'S1'").first()
+    t = (pdf["date"] - pdf["date"].min()).map(lambda d: d.days).to_numpy() + (pdf["date"].min() - dt.date(1970, 1, 1)).days
+    x = [np.ones(len(t)), (t - t.min()) / (t.max() - t.min())]
+    for period, terms in training.WAVES:
+        x += [f(2 * np.pi * k * t / period) for k in range(1, terms + 1) for f in (np.sin, np.cos)]
+    x = np.column_stack([*x, np.zeros((len(t), 3))])
+    beta = np.linalg.solve(x.T @ x + np.diag([0.0] + [1.0] * (x.shape[1] - 1)), x.T @ np.log1p(value))
+    np.testing.assert_allclose(fitted["coefficients"], beta, atol=1e-6)
     assert {r["store_id"]: r["status"] for r in models.collect()} == {"S1": "trained", "S2": "skipped"}
     scored = training.predict_seasonal(models, df, KEYS).toPandas()
     good = scored[scored["store_id"] == "S1"]
