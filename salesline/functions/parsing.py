@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 # Texts read as "no number".
 NULL_TOKENS = ("nan", "NaN", "None", "-", "")
 
-# Year, month and day with signs between them, day, month and year, or eight digits; perhaps a time, perhaps a zone.
+# Year, month and day with signs between them; month, day and year if the second number can't be a month; day, month and
+# year; or eight digits. Perhaps a time follows, perhaps a zone.
 STAMP = (
-    r"^\s*(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})|(\d{4})(\d{2})(\d{2}))"
-    r"(?:[T ]+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|z|UTC|([+-])(\d{2}):?(\d{2})?)?\s*$"
+    r"^\s*(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})|(\d{1,2})[-/.](1[3-9]|[2-9]\d)[-/.](\d{4})"
+    r"|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})|(\d{4})(\d{2})(\d{2}))"
+    r"(?:[T ]+(\d{1,2}:\d{2})(?:(:\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|z|UTC|([+-]\d{2}):?(\d{2})?)?\s*$"
 )
 MARK = "\x01"
+# The parts in the order of the year, month, day, time and zone.
+PARTS = f"{MARK}$1$6$9$10-$2$4$8$11-$3$5$7$12 $13$14|$15|$16"
 
 
 def normalized_name(name: Column) -> Column:
@@ -48,27 +52,17 @@ def parsed_timestamp(text: Column) -> Column:
     """The date and time a text states, day before month, in UTC; null if it states none.
 
     Days and months may have one digit. A second number above 12 after a day is the day, and the first the month.
-    Minutes, seconds and fractions may be missing; a zone's offset is taken off. One pattern cuts the text into parts.
+    Minutes, seconds and fractions may be missing; a zone's offset is taken off. One pattern writes the parts in the order
+    of a timestamp, which is then cast.
     """
-    groups = "|".join(["$1$6$7", "$2$8", "$3$9", "$4", "$5", "$10", "$11", "$12", "$13", "$14", "$15"])
-    parts = F.split(F.regexp_replace(text, STAMP, f"{MARK}|{groups}"), r"\|")
-    return F.get(F.transform(F.array(parts), _timestamp_of_parts), F.lit(0))  # so that the parts are cut once
-
-
-def _timestamp_of_parts(parts: Column) -> Column:
-    year, month, day, first, second, hour, minute, sec, sign, zone_hour, zone_minute = (
-        F.get(parts, F.lit(i)).try_cast("decimal(16,6)" if i == 8 else "string" if i == 9 else "int") for i in range(1, 12)
-    )
-    swapped = second > 12
-    month = F.coalesce(month, F.when(swapped, first).otherwise(second))
-    day = F.coalesce(day, F.when(swapped, second).otherwise(first))
-    zero = F.lit(0)
-    at = F.try_make_timestamp_ntz(
-        year, month, day, F.coalesce(hour, zero), F.coalesce(minute, zero), F.coalesce(sec, zero.cast("decimal(16,6)"))
-    )
-    ahead = F.when(sign == "-", -1).otherwise(1)
-    offset = F.make_dt_interval(zero, ahead * F.coalesce(zone_hour, zero), ahead * F.coalesce(zone_minute, zero))
-    return F.when(F.get(parts, zero) == MARK, F.when(zone_hour.isNull(), at).otherwise(at - offset))
+    stamp = F.regexp_replace(text, STAMP, PARTS)
+    at = F.substring_index(F.substring(stamp, 2, 40), "|", 1).try_cast("timestamp_ntz")
+    hours = F.substring_index(F.substring_index(stamp, "|", -2), "|", 1)
+    minutes = F.substring_index(stamp, "|", -1).try_cast("int")
+    ahead = F.when(hours.startswith("-"), -1).otherwise(1)
+    offset = F.make_dt_interval(F.lit(0), hours.try_cast("int"), ahead * F.coalesce(minutes, F.lit(0)))
+    local = F.when(stamp.endswith("||"), at).otherwise(at - offset)
+    return F.when(stamp.startswith(MARK) & (stamp != text), local)
 
 
 def day_first_date(text: Column) -> Column:

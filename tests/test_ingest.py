@@ -208,6 +208,6 @@ def test_copies_and_unreadable_files(spark, tmp_path):
      ("2024-01-02 10:00", "2024-01-02 10:00:00"), ("2024-01-02T01:30:00.25+02:00", "2024-01-01 23:30:00.25"), ("20240105", "2024-01-05 00:00:00"),
      ("05/13/2024", "2024-05-13 00:00:00"), ("2024-02-30", None), ("13/13/2024", None), ("x", None), ("", None), (None, None), ("1704067200", "2024-01-01 00:00:00")],
 )
-def test_request_dates(spark, text, want):
+def test_request_dates_in_tables(spark, text, want):
     got = spark.createDataFrame([(text,)], "t string").select(parsing.request_timestamp(F.col("t")).cast("string").alias("d")).first()["d"]
     assert got == want
