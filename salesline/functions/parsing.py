@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts read as "no number".
-NULL_TOKENS = ("nan", "NaN", "None", "-", "")
-
 # Year, month and day with signs between them; month, day and year if the second number can't be a month; day, month and
 # year; or eight digits. Perhaps a time follows, perhaps a zone.
 STAMP = (
@@ -15,6 +12,8 @@ STAMP = (
     r"|(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})|(\d{4})(\d{2})(\d{2}))"
     r"(?:[T ]+(\d{1,2}:\d{2})(?:(:\d{2}(?:\.\d{1,6})?)\d*)?)?\s*(?:Z|z|UTC|([+-]\d{2}):?(\d{2})?)?\s*$"
 )
+# Digits with a point and an exponent, or infinity; "NaN", "None" and "-" are no numbers.
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?[dDfF]?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 MARK = "\x01"
 # The parts in the order of the year, month, day, time and zone.
 PARTS = f"{MARK}$1$6$9$10-$2$4$8$11-$3$5$7$12 $13$14|$15|$16"
@@ -27,14 +26,18 @@ def normalized_name(name: Column) -> Column:
 
 
 def clean_number(text: Column) -> Column:
-    """Drop blanks and currency signs, read a comma as the decimal point."""
-    s = F.regexp_replace(F.regexp_replace(text.cast("string"), "[ €$]", ""), ",", ".")
-    return scrub(F.when(~s.isin(*NULL_TOKENS), s).try_cast("double"))
+    """Drop blanks and currency signs, read a comma as the decimal point. Texts that stand for no number are null."""
+    return _double(F.translate(text.cast("string"), ", €$", "."))
 
 
 def plain_number(text: Column) -> Column:
     """A number whose decimal point may be a comma; anything else is null."""
-    return scrub(F.regexp_replace(text.cast("string"), ",", ".").try_cast("double"))
+    return _double(F.translate(text.cast("string"), ",", "."))
+
+
+def _double(text: Column) -> Column:
+    """The number a text is. A pattern turns other texts away, as a cast that fails costs many times one that doesn't."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def scrub(number: Column) -> Column:
@@ -72,10 +75,10 @@ def day_first_date(text: Column) -> Column:
 def request_timestamp(text: Column) -> Column:
     """Dates as requests write them: a stated date and time, or seconds since 1970. Eight digits are a date."""
     t = F.trim(text)
-    seconds = t.try_cast("double")
+    is_seconds = t.rlike(r"^[0-9]+(\.[0-9]+)?$") & ~t.rlike(r"^[0-9]{8}$")
+    seconds = F.when(is_seconds, t.try_cast("double"))
     since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
-    is_seconds = seconds.isNotNull() & t.rlike(r"^[0-9]+(\.[0-9]+)?$") & ~t.rlike(r"^[0-9]{8}$")
     return F.when(is_seconds, epoch).otherwise(parsed_timestamp(t))
 
 

@@ -88,38 +88,36 @@ def _as_text(df: DataFrame, c: str) -> Column:
 def column_evidence(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """One row per column: share of known cells that are dates or numbers, distinct values per row.
 
-    The shares are aggregates over the wide rows. Distinct values are counted in a second pass, by hashes of 128 bits.
+    The shares come from one narrow stream of cells, reduced to a row for each column where it is read, so that the code
+    of both parsers stays small enough to be compiled. Distinct values are counted in a second pass, by hashes of 128 bits.
     """
     cols = list(cols or df.columns)
     texts = [_as_text(df, c) for c in cols]
-    shares = []
-    for i, text in enumerate(texts):
-        shares += [
-            F.count(text).alias(f"k{i}"),
-            F.count(parsed_timestamp(text)).alias(f"d{i}"),
-            F.count(clean_number(text)).alias(f"n{i}"),
-            *([F.approx_count_distinct(text).alias(f"u{i}")] if approximate else []),
-        ]
-    wide = df.agg(F.count(F.lit(1)).alias("rows"), *shares)
-
-    def share(part: str, i: int) -> Column:
-        return F.coalesce(F.try_divide(F.col(f"{part}{i}"), F.col(f"k{i}")), F.lit(0.0))
-
-    rows = [
-        F.struct(
-            F.lit(i).alias("_i"), F.lit(c).alias("column"), F.col(f"k{i}").alias("known"), share("d", i).alias("date_share"),
-            share("n", i).alias("number_share"), (F.col(f"u{i}") if approximate else F.lit(None).cast("long")).alias("_u"), "rows",
-        )
-        for i, c in enumerate(cols)
-    ]
-    found = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where("rows > 0")
+    text = F.col("_text")
+    cells = df.select(F.posexplode(F.array(*texts)).alias("_p", "_text"))
+    shares = cells.groupBy("_p").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(text).alias("known"),
+        F.count(parsed_timestamp(text)).alias("_dates"),
+        F.count(clean_number(text)).alias("_numbers"),
+        *([F.approx_count_distinct(text).alias("_u")] if approximate else []),
+    )
     if not approximate:
         hashes = [F.when(t.isNotNull(), F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))) for t in texts]
-        cells = df.select(F.posexplode(F.array(*hashes)).alias("_p", "h")).where("h is not null")
-        counts = cells.select("_p", "h.a", "h.b").distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-        found = found.join(F.broadcast(counts), found["_i"] == counts["_p"], "left")  # a row for each column
-        found = found.withColumn("_u", F.coalesce("_n", F.lit(0)))
-    return found.select("column", "known", "date_share", "number_share", (F.col("_u") / F.col("rows")).alias("distinct_share"))
+        marks = df.select(F.posexplode(F.array(*hashes)).alias("_p", "h")).where("h is not null")
+        counts = marks.select("_p", "h.a", "h.b").distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_u"))
+        shares = shares.join(F.broadcast(counts), "_p", "left")  # a row for each column
+
+    def share(part: str) -> Column:
+        return F.coalesce(F.try_divide(F.col(part), F.col("known")), F.lit(0.0))
+
+    return shares.select(
+        F.get(F.array(*[F.lit(c) for c in cols]), F.col("_p")).alias("column"),
+        "known",
+        share("_dates").alias("date_share"),
+        share("_numbers").alias("number_share"),
+        (F.coalesce("_u", F.lit(0)) / F.col("rows")).alias("distinct_share"),
+    )
 
 
 @dataclass(frozen=True)

@@ -156,8 +156,8 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(whole, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
 
     line = sales_line(spark, sf_dir)
-    y, m, d = (F.date_format("date", p) for p in ("yyyy", "MM", "dd"))
-    iso = F.concat_ws("-", y, m, d)
+    iso = F.col("date").cast("string")
+    y, m, d = (F.substring(iso, at, n) for at, n in ((1, 4), (6, 2), (9, 2)))
     amount, turn = money(F.col("cents")), F.col("rid") % 7
     price = money(F.floor(F.col("price") * 100 + 0.5).cast("bigint"))
     return line.select(
@@ -173,7 +173,7 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_every(47), F.concat(F.concat_ws("-", y, F.ltrim(m, F.lit("0")), d), F.lit(" 10:00")))
         .when(_every(53), F.concat(y, m, d))
         .when(_every(31), F.concat(F.substring(y, 3, 2), F.lit("/"), d, F.lit("/"), m))
-        .when(_every(3), F.concat_ws("-", y, m, d))
+        .when(_every(3), iso)
         .when(F.col("rid") % 3 == 1, F.concat_ws("/", d, m, y))
         .otherwise(F.concat_ws("-", y, d, m))
         .alias("sold_on"),
