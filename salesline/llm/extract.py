@@ -7,37 +7,37 @@ Pages of the same visible text are one content, and what stands in menus, header
 stands there too. What remains are the article's blocks and all others outside menus, forms and the like that are
 not repeated; a page of which nothing would remain keeps them all.
 
-A host's pages are dealt into shards of about ``SHARD_PAGES`` pages, each sorted in a task of its own. For hosts in
-several shards, windows are compared among the shards by their hashes, and their contents are counted in ``CLASSES``
-classes, so that neither copies nor the dealing change a count; it is never too high, and one of two is exact. Shard
-numbers come from page counts in ``BUCKETS`` host buckets, a table of fixed size.
+The pages of hosts with more than ``SHARD_PAGES`` pages are dealt into shards, each sorted in a task of its own. Their
+windows of ``LEAST`` tokens are counted over all shards: a task sends a window at most once for each content, and at most
+``ENOUGH`` contents of it, which is all that can matter. So the counts are exact, and dealing changes no result.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from math import ceil
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesline.llm.common import U64, mix, pieces, trimmed
+from salesline.session import cut_lineage
 
 LEAST = 6
 COVERED = 0.9
 SHARE, ENOUGH = 1 / 3, 10
-CLASSES = 64
 NAMED = U64(0x5851F42D4C957F2D)
 SHARD_PAGES = 500
-BUCKETS = 1 << 16
 
 # Elements that never hold main text, those whose content is no markup, those that end a block,
-# those without content, and words in class, id or role that name what is not the article.
+# those without content, names in class, id or role of what is not the article, those of them under which no article is
+# the page's own, and words that may stand beside such a name ("site-footer").
 DROPPED = frozenset("nav header footer aside form button select option dialog menu noscript template svg iframe object canvas head".split())
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 BLOCKS = frozenset(
@@ -50,6 +50,12 @@ NAMES = frozenset(
     "gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo promotion related share sharing sidebar skip "
     "social sponsor sponsored subscribe toolbar widget alert contentinfo complementary search".split()
 )
+HARD = frozenset("ad ads advert advertisement comment comments disqus promo promotion related sponsor sponsored".split())
+BESIDE = frozenset(
+    "area bar block bottom box button buttons column container desktop form global group icons inner item items left link links list "
+    "main mobile outer panel primary right row secondary section site slot top unit wrap wrapper".split()
+)
+MAINS = frozenset(("main", "main-content", "maincontent"))
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section main div body html nav aside header footer form".split())
 
@@ -64,15 +70,15 @@ def page_blocks(html: str) -> list[tuple[str, str]]:
     A stack of open elements is kept; end tags that match nothing are ignored, and elements left open end with
     an enclosing one or the page. Without an ``article`` element, ``main`` (or its role) takes its place.
     """
-    out: list[tuple[str, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, dropped, in article, in main
+    out: list[tuple[str, int, bool, bool]] = []
+    stack: list[tuple[str, int, bool, bool]] = []  # name, dropped (1: by a name, 2: for good), in article, in main
     buffer: list[str] = []
 
     def flush() -> None:
         text = " ".join("".join(buffer).split())
         buffer.clear()
         if text:
-            _, dropped, article, main = stack[-1] if stack else ("", False, False, False)
+            _, dropped, article, main = stack[-1] if stack else ("", 0, False, False)
             out.append((text, dropped, article, main))
 
     def close(upto: int) -> None:
@@ -120,21 +126,37 @@ def page_blocks(html: str) -> list[tuple[str, str]]:
             buffer.append(" ")
         if name in VOID or m[3].endswith("/"):
             continue
-        _, dropped, article, main = stack[-1] if stack else ("", False, False, False)
+        _, dropped, article, main = stack[-1] if stack else ("", 0, False, False)
         words: set[str] = set()
         if m[3]:
             for g in NAMING.finditer(m[3]):
-                words.update(WORDS.findall((g[1] or g[2] or g[3] or "").lower()))
-        if name not in ("html", "body", "article", "main"):
-            dropped = dropped or name in DROPPED or not NAMES.isdisjoint(words)
-        elif name == "article" and not {"comment", "comments", "ad", "advert", "promo", "related"}.isdisjoint(words):
-            dropped = True
+                words |= named_by(g[1] or g[2] or g[3] or "")
+        own = name in ("article", "main") or "main" in words
+        if name in DROPPED or not HARD.isdisjoint(words) and name not in ("html", "body", "main"):
+            dropped = 2
+        elif own and dropped == 1:
+            dropped = 0
+        elif not own and not NAMES.isdisjoint(words) and name not in ("html", "body"):
+            dropped = max(dropped, 1)
         stack.append((name, dropped, article or name == "article", main or name == "main" or "main" in words))
     flush()
     marked = 2 if any(a and not d for _, d, a, _ in out) else 3 if any(m and not d for _, d, _, m in out) else None
     return [("dropped" if b[1] else "article" if marked and b[marked] else "other", b[0]) for b in out]
 
 
+def named_by(value: str) -> set[str]:
+    """The names that a class, id or role consists of: "main", or a token of names and words that may stand beside them."""
+    out: set[str] = set()
+    for token in value.lower().split():
+        words = set(WORDS.findall(token))
+        found = words & NAMES
+        if token in MAINS:
+            out.add("main")
+        elif found and words <= NAMES | BESIDE:
+            out |= found
+    return out
+
+
 def host_of(url: str | None) -> str:
     try:
         return (urlsplit((url or "").strip()).hostname or "").lower()
@@ -142,12 +164,6 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def bucket_of(host: str) -> int:
-    from zlib import crc32
-
-    return crc32(host.encode()) % BUCKETS
-
-
 def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit numbers for the tokens of the texts, end to end, and the text of each."""
     from xxhash import xxh3_64_intdigest
@@ -220,7 +236,7 @@ def covered(starts: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(edge)[: len(starts)] > 0
 
 
-BLOCK_ROWS = "page_id long, url string, host string, shard int, kinds string, texts string"
+BLOCK_ROWS = "page_id long, url string, host string, kinds string, texts string"
 KINDS = {"a": "article", "d": "dropped", "o": "other"}
 
 
@@ -230,48 +246,40 @@ def blocks_of(rows: pa.RecordBatch | pa.Table) -> tuple[list[list[str]], list[li
     return kinds, [t.split("\n") if ks else [] for ks, t in zip(kinds, rows.column("texts").to_pylist(), strict=True)]
 
 
-def parsed_pages(pages: DataFrame, shards: np.ndarray) -> DataFrame:
-    """The blocks of every page with its host and shard; see ``BLOCK_ROWS``. Kinds are first letters, texts lines."""
+def parsed_pages(pages: DataFrame, large: DataFrame) -> DataFrame:
+    """The blocks of every page (kinds as first letters, texts as lines) with its host, the number of shards of a large
+    host, and the page's shard."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    shared = pages.sparkSession.sparkContext.broadcast(shards)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zlib import crc32
-
-        numbers = shared.value
         for whole in batches:
             for batch in pieces(whole, "html"):
-                ids, urls = batch.column("page_id").to_pylist(), batch.column("url").to_pylist()
                 blocks = [page_blocks(h) for h in batch.column("html").to_pylist()]
-                hosts = [host_of(u) for u in urls]
-                salt = [crc32(f"{i}\x00{u}".encode()) % max(1, int(numbers[bucket_of(h)])) for i, u, h in zip(ids, urls, hosts, strict=True)]
+                hosts = [host_of(u) for u in batch.column("url").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()), pa.array(salt, pa.int32()),
+                        batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()),
                         pa.array(["".join(k[0] for k, _ in b) for b in blocks], pa.string()),
                         pa.array(["\n".join(t for _, t in b) for b in blocks], pa.string()),
                     ],
-                    ["page_id", "url", "host", "shard", "kinds", "texts"],
+                    ["page_id", "url", "host", "kinds", "texts"],
                 )
 
-    return rows.mapInArrow(trimmed(work), BLOCK_ROWS)
+    parsed = rows.mapInArrow(trimmed(work), BLOCK_ROWS).join(large, "host", "left")
+    shard = F.pmod(F.xxhash64("page_id", "url"), F.col("shards")).cast("int")
+    return parsed.withColumn("shard", F.coalesce(shard, F.lit(0)))
 
 
-def shard_numbers(pages: DataFrame, shard_pages: int) -> np.ndarray:
-    """How many shards the hosts of each bucket are dealt into."""
+def large_hosts(pages: DataFrame, shard_pages: int) -> DataFrame:
+    """host, shards: the hosts with more than ``shard_pages`` pages, and how many shards theirs are dealt into."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for u in batch.column("url").to_pylist():
-                total[bucket_of(host_of(u))] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["b", "n"])
-
-    found = pages.select(F.col("url").cast("string").alias("url")).mapInArrow(trimmed(work), "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[found.column("b").to_numpy()] = -(-found.column("n").to_numpy() // shard_pages)
-    return out
+            found = Counter(host_of(u) for u in batch.column("url").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["host", "n"])
+
+    found = pages.select(F.col("url").cast("string").alias("url")).mapInArrow(trimmed(work), "host string, n long").groupBy("host").agg(F.sum("n").alias("n"))
+    return cut_lineage(found.where(F.col("n") > shard_pages).select("host", F.ceil(F.col("n") / shard_pages).cast("int").alias("shards")))
 
 
 def open_stream(kinds: list[list[str]], texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,46 +306,39 @@ def content_hashes(kinds: list[list[str]], texts: list[list[str]]) -> np.ndarray
     return np.fromiter((xxh3_64_intdigest("\n".join(t for k, t in zip(ks, ts, strict=True) if k != "dropped")) for ks, ts in zip(kinds, texts, strict=True)), U64)
 
 
-def cross_shard_windows(parsed: DataFrame, shards: np.ndarray, least: int) -> DataFrame:
-    """host, shard and the hashes of its windows that enough contents of the host have, for hosts in several shards.
-
-    A task sends each hash of a shard at most once, with the classes of its contents as bits and the smallest and
-    largest content. Rows without a hash tell the contents of the host.
-    """
-    shared = parsed.sparkSession.sparkContext.broadcast(shards)
+def cross_shard_windows(parsed: DataFrame, large: DataFrame, least: int) -> DataFrame:
+    """host, shard and the hashes of the windows that enough contents of a large host have, for each of its shards."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = shared.value
         for whole in batches:
-            many = [i for i, h in enumerate(whole.column("host").to_pylist()) if numbers[bucket_of(h)] > 1]
-            for part in pieces(whole.take(pa.array(many, pa.int64())), "texts", 1 << 20):
+            for part in pieces(whole, "texts", 1 << 20):
                 kinds, texts = blocks_of(part)
                 ids, page, _ = open_stream(kinds, texts)
                 at, h = window_hashes(ids, page, least)
-                content = content_hashes(kinds, texts)
-                where = np.concatenate((page[at], np.arange(part.num_rows))).astype(np.int64)
-                bits = U64(1) << (mix(content) % U64(CLASSES))
+                content, page = content_hashes(kinds, texts), page[at]
+                host = part.column("host").dictionary_encode().indices.to_numpy()
+                order = np.lexsort((content[page], h, host[page]))
+                key, mine, page = h[order], content[page[order]], page[order]
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (host[page[1:]] != host[page[:-1]])))[: len(key)]
+                once = new | np.concatenate(([True], mine[1:] != mine[:-1]))[: len(key)]
+                key, mine, page, new = key[once], mine[once], page[once], new[once]
+                few = np.arange(len(key)) - np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) < ENOUGH
+                where = np.concatenate((page[few], np.arange(part.num_rows))).astype(np.int64)
+                hashes = np.concatenate((key[few].view(np.int64), np.zeros(part.num_rows, np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("host").take(pa.array(where)),
-                        pa.array(np.concatenate((h.view(np.int64), np.zeros(part.num_rows, np.int64))), mask=np.arange(len(where)) >= len(at)),
-                        part.column("shard").take(pa.array(where)), pa.array(bits.view(np.int64)[where]), pa.array(content.view(np.int64)[where]),
+                        part.column("host").take(pa.array(where)), pa.array(hashes, mask=np.arange(len(where)) >= few.sum()),
+                        pa.array(np.concatenate((mine[few], content)).view(np.int64)),
                     ],
-                    ["host", "h", "shard", "bits", "content"],
+                    ["host", "h", "content"],
                 )
 
-    windows = parsed.select("host", "shard", "kinds", "texts").mapInArrow(trimmed(work), "host string, h long, shard int, bits long, content long")
-    seen = [F.expr("bit_or(bits)").alias("bits"), F.min("content").alias("low"), F.max("content").alias("high")]
-    each = windows.groupBy("host", "h", "shard").agg(*seen, F.max(F.col("h").isNull()).alias("whole"))
-
-    def contents(merge):  # at least so many
-        return F.greatest(F.bit_count(merge(F.expr("bit_or(bits)"))), F.when(merge(F.min("low")) < merge(F.max("high")), 2).otherwise(1))
-
-    need = F.greatest(F.lit(2), F.least(F.lit(ENOUGH), F.ceil(contents(lambda c: c) * SHARE)))
-    hosts = each.where("whole").groupBy(F.col("host").alias("_host")).agg(need.alias("need"))
-    one = Window.partitionBy("host", "h")  # a row for each shard
-    counted = each.where("not whole").withColumn("n", contents(lambda c: c.over(one))).where("n > 1")
-    return counted.join(F.broadcast(hosts), F.col("host") == F.col("_host")).where("n >= need").select("host", "shard", "h")
+    sent = parsed.where("shards is not null").select("host", "kinds", "texts").mapInArrow(trimmed(work), "host string, h long, content long").distinct()
+    counts = sent.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
+    share = F.greatest(F.lit(2), F.least(F.lit(ENOUGH), F.ceil(F.col("n") * SHARE)))
+    hosts = counts.where("h is null").select("host", share.alias("need")).join(large, "host")
+    enough = counts.where("h is not null and n > 1").join(hosts, "host").where("n >= need")
+    return enough.select("host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "h")
 
 
 RESULT = "page_id long, url string, text string, n_chars long, n_repeated long"
@@ -349,15 +350,14 @@ def extract_main_text(pages: DataFrame, least: int = LEAST, shard_pages: int = S
     Null html is empty and gives an empty text; a null or unreadable url counts to the host without a name. Pages
     that occur repeatedly are repeated in the result, and none counts as evidence against its copies.
     """
-    shards = shard_numbers(pages, shard_pages)
-    parsed = parsed_pages(pages, shards)
-    cross = cross_shard_windows(parsed, shards, least)
-    shared = pages.sparkSession.sparkContext.broadcast(shards)
+    large = large_hosts(pages, shard_pages)
+    parsed = parsed_pages(pages, large)
+    cross = cross_shard_windows(parsed, large, least)
 
     def group(key, left: pa.Table, right: pa.Table) -> pa.Table:
         kinds, texts = blocks_of(left)
         ids, page, block = open_stream(kinds, texts)
-        if left.num_rows and shared.value[bucket_of(left.column("host")[0].as_py())] > 1:
+        if left.num_rows and left.column("shards")[0].is_valid:
             again = np.zeros(len(ids), bool)
             at, h = window_hashes(ids, page, least)
             again[at[np.isin(h, right.column("h").to_numpy().view(U64))]] = True

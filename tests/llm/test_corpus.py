@@ -224,6 +224,61 @@ def test_extract_keeps_what_few_pages_repeat(spark, shard):
     assert got[100] == got[101] == quote and got[102]
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [('<div class="content has-sidebar"><p>The whole text.</p></div>', "The whole text."),
+     ('<div id="main" class="layout-no-sidebar"><article><p>All of it.</p></article></div>', "All of it."),
+     ('<article><div class="entry-header"><h1>Headline</h1></div><p>Body.</p></article>', "Headline\nBody."),
+     ('<p class="share-price">Ten pounds.</p>', "Ten pounds."),
+     ('<div class="sidebar wide"><article><p>Kept below a name.</p></article></div>', "Kept below a name."),
+     ('<div class="site-footer"><p>Gone.</p></div><p>Stays.</p>', "Stays."),
+     ('<section class="comments-list"><article><p>first!</p></article></section><p>Stays.</p>', "Stays."),
+     ('<aside><article><p>Other news</p></article></aside><div id="main-content"><p>Main.</p></div>', "Main.")],
+)
+def test_names_are_whole_tokens(body, text):
+    blocks = extract.page_blocks(f"<html><body>{body}</body></html>")
+    kept = [t for k, t in blocks if k == "article"] or [t for k, t in blocks if k == "other"]
+    assert "\n".join(kept) == text
+
+
+def test_dealing_changes_no_page(spark):
+    rng = random.Random(4)
+    rows = []
+    for host, n in (("a", 90), ("b", 25), ("c", 3), ("d", 1)):
+        shared = [" ".join(f"{host}{rng.randrange(60)}" for _ in range(rng.randrange(5, 14))) for _ in range(14)]
+        for i in range(n):
+            body = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(9)), *rng.sample(shared, rng.randrange(0, 9))]
+            nav = rng.choice(shared)
+            rows.append((len(rows), f"http://{host}/{i}", f"<nav>{nav}</nav>" + "".join(f"<p>{t}</p>" for t in rng.sample(body, len(body)))))
+        rows += [(len(rows) + k, f"http://{host}/copy{k}", rows[-1][2]) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [rows_of(extract.extract_main_text(pages, shard_pages=k), "page_id") for k in (1, 20, 500)]
+    assert got[0] == got[1] == got[2] and sum(r[4] > 0 for r in got[0]) > 60
+    # brute force: a window of six tokens is boilerplate if enough contents of its host have it
+    parsed = {i: ([(k, t) for k, t in extract.page_blocks(h)], u.split("/")[2]) for i, u, h in rows}
+    seen: dict = {}
+    for blocks, host in parsed.values():
+        tokens = [(w, k == "dropped") for k, t in blocks for w in t.split(" ")]
+        content = "\n".join(t for k, t in blocks if k != "dropped")
+        seen.setdefault(host, {}).setdefault(None, set()).add(content)
+        for j in range(len(tokens) - 5):
+            seen[host].setdefault(tuple(tokens[j : j + 6]), set()).add(content)
+    for i, (blocks, host) in parsed.items():
+        tokens = [(w, k == "dropped") for k, t in blocks for w in t.split(" ")]
+        need, cover = extract.needed(len(seen[host][None])), set()
+        for j in range(len(tokens) - 5):
+            if len(seen[host][tuple(tokens[j : j + 6])]) >= need:
+                cover |= set(range(j, j + 6))
+        kept, at = [], 0
+        for k, t in blocks:
+            n = len(t.split(" "))
+            hit = sum(j in cover for j in range(at, at + n))
+            if k == "other" and not (hit and hit >= extract.COVERED * n):
+                kept.append(t)
+            at += n
+        assert got[0][i][2] == "\n".join(kept or [t for k, t in blocks if k == "other"]) and got[0][i][4] == len(cover)
+
+
 def test_extracts_all_articles(spark):
     got = {r.page_id: r.text for r in llm_plans.QUERIES["op4_host_extract"](spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
