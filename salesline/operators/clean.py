@@ -55,9 +55,28 @@ def fill_missing(
         return df.withColumns({c: F.coalesce(F.col(c), df.agg(F.avg(c)).scalar()) for c in cols})
     if strategy not in ("ffill", "bfill"):
         raise ValueError(f"unknown fill strategy: {strategy}")
+    return fill_in_order(df, cols if strategy == "ffill" else (), cols if strategy == "bfill" else (), (), order, keys, blocks)
+
+
+def fill_in_order(
+    df: DataFrame,
+    forward: Sequence[str],
+    backward: Sequence[str],
+    both: Sequence[str],
+    order: Sequence[str | Column] = ("date", "rid"),
+    keys: Sequence[str] = (),
+    blocks: int | None = None,
+) -> DataFrame:
+    """Fill columns forward, backward, or forward and what is left at the start backward: one sort for all of them."""
     rows = range_blocks(df, [*keys, *order], blocks)
-    filled = carry(rows, cols, keys, forward=strategy == "ffill")
-    return filled.withColumns({c: F.col(f"_c_{c}") for c in cols}).select(*df.columns)
+    ahead, back = [*forward, *both], [*backward, *both]
+    if ahead:
+        rows = carry(rows, ahead, keys, forward=True)
+    if back:
+        rows = carry(rows, back, keys, forward=False, prefix="_d_")
+    found = {c: F.col(f"_c_{c}") for c in forward} | {c: F.col(f"_d_{c}") for c in backward}
+    found |= {c: F.coalesce(F.col(f"_c_{c}"), F.col(f"_d_{c}")) for c in both}
+    return rows.withColumns(found).select(*df.columns)
 
 
 def fill_other_columns(
@@ -68,10 +87,7 @@ def fill_other_columns(
     blocks: int | None = None,
 ) -> DataFrame:
     """Fill forward, then what is left at the start backward."""
-    rows = range_blocks(df, [*keys, *order], blocks)
-    filled = carry(rows, cols, keys, forward=True)
-    filled = carry(filled, cols, keys, forward=False, prefix="_d_")
-    return filled.withColumns({c: F.coalesce(F.col(f"_c_{c}"), F.col(f"_d_{c}")) for c in cols}).select(*df.columns)
+    return fill_in_order(df, (), (), cols, order, keys, blocks)
 
 
 def outlier_flag(
@@ -139,17 +155,26 @@ def clean(
     threshold: float | None = 3.0,
     keys: Sequence[str] = ("store_id", "product_id"),
     by_product: bool = True,
-    fill_others: Sequence[str] = (),
+    fill_others: Sequence[str] | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
-    """The whole chain. ``keys=()`` fills over all rows in date order, as one table."""
+    """The whole chain. ``keys=()`` fills over all rows in date order, as one table.
+
+    ``fill_others`` names the columns filled in both directions: by default all but the value and those that order the
+    rows and name the series.
+    """
     rows = harmonize_dates(df, date)
     if dict(rows.dtypes)[value] == "string":
         rows = rows.withColumn(value, scrub(F.col(value).try_cast("double")))
     order = date_order(date, tie)
-    rows = fill_missing(rows, [value], strategy, order, keys, blocks)
-    if fill_others:
-        rows = fill_other_columns(rows, fill_others, order, keys, blocks)
+    if fill_others is None:
+        fill_others = [c for c in rows.columns if c not in (value, date, tie, *keys)]
+    if strategy in ("ffill", "bfill"):  # in one sort with the others
+        forward, backward = ([value], []) if strategy == "ffill" else ([], [value])
+        rows = fill_in_order(rows, forward, backward, fill_others, order, keys, blocks)
+    else:
+        rows = fill_missing(rows, [value], strategy, order, keys, blocks)
+        rows = fill_in_order(rows, (), (), fill_others, order, keys, blocks) if fill_others else rows
     # Filling shuffles all rows; what follows passes over them several times.
     rows = remove_outliers(cut_lineage(rows), value, threshold)
     if "quantity" in rows.columns:

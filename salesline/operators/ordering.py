@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from salesline.session import cut_lineage
+from salesline.session import cut_into_buckets
 
 BLOCK, POS = "_blk", "_pos"
 ROWS_PER_BLOCK = 200_000
@@ -56,16 +56,14 @@ class Series:
 def range_blocks(df: DataFrame, order: Sequence[str | Column], blocks: int | None = None) -> DataFrame:
     """Sort the table into consecutive blocks; adds the block number and the position in it.
 
-    Block bounds come from a sample, so the result is stored before anything is derived from it.
+    Block bounds come from a sample, so the result is stored before anything is derived from it. It is stored by block:
+    work inside the blocks shuffles no rows again.
     """
     target = [blocks] if blocks else []
     ordered = df.repartitionByRange(*target, *order).sortWithinPartitions(*order)
-    stored = cut_lineage(ordered.withColumn("_mid", F.monotonically_increasing_id()))
-    return stored.select(
-        *df.columns,
-        F.shiftright("_mid", 33).cast("int").alias(BLOCK),
-        F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias(POS),
-    )
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    number = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_into_buckets(ordered.withColumns({BLOCK: F.spark_partition_id(), POS: place}), BLOCK, number)
 
 
 def _parts(keys: Sequence[str]) -> list[Column]:

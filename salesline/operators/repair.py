@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesline.functions.parsing import first_digits, repaired_date
 from salesline.operators.ordering import row_index
+from salesline.session import cut_lineage
 
 # The default validation rules.
 MIN_VALUE = 0
@@ -33,7 +34,7 @@ def fill_ids(
 ) -> DataFrame:
     """Integer ids: the digits of the id, else of the fallback column, else the next free numbers in row order."""
     source = F.coalesce(F.col(id_col).cast("string"), F.col(fallback)) if fallback else F.col(id_col)
-    rows = df.withColumn(id_col, first_digits(source))
+    rows = cut_lineage(df.withColumn(id_col, first_digits(source)))  # three passes follow
     known, unknown = rows.where(F.col(id_col).isNotNull()), rows.where(F.col(id_col).isNull())
     top = known.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).scalar()
     numbered = row_index(unknown, order, name="_i", blocks=blocks).withColumn(id_col, top + 1 + F.col("_i"))

@@ -347,16 +347,19 @@ def consistent_value(spark, sf):
     return rounded(clean.consistent_value(dirty_sales(spark, sf)).select("rid", "value"), {"value": 2})
 
 
-def _chain_sql(fill: str, cap: str) -> str:
-    return f"""WITH {DIRTY_SQL}, filled AS (SELECT rid, store_id, product_id, quantity, price, {fill} AS value
-      FROM dirty_sales),
+def _chain_sql(fill: str, cap: str, keys: str = "") -> str:
+    part = f"PARTITION BY {keys} " if keys else ""
+    others = ", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER f, first_value({c} IGNORE NULLS) OVER b) AS {c}" for c in ("quantity", "price"))
+    return f"""WITH {DIRTY_SQL}, filled AS (SELECT rid, store_id, product_id, {others}, {fill} AS value FROM dirty_sales
+      WINDOW f AS ({part}ORDER BY date, rid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        b AS ({part}ORDER BY date, rid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     kept AS (SELECT * FROM (SELECT *, coalesce({Z_SQL.format('()', 3.0)}, false) AS o FROM filled) WHERE NOT o),
     {MEDIAN_SQL.format('kept')}, capped AS (SELECT rid, price, value, {cap} AS quantity FROM kept s)
     SELECT rid, quantity, round(CASE WHEN value IS NULL OR value = 0 OR value > price * quantity * 100
     THEN price * quantity ELSE value END, 2) AS value FROM capped"""
 
 
-@query("d8_clean_chain", _chain_sql(_fill_sql("last_value", "ffill", "store_id, product_id"), CAP_SQL))
+@query("d8_clean_chain", _chain_sql(_fill_sql("last_value", "ffill", "store_id, product_id"), CAP_SQL, "store_id, product_id"))
 def clean_chain(spark, sf):
     return rounded(clean.clean(dirty_sales(spark, sf)).select("rid", "quantity", "value"), {"value": 2})
 

@@ -237,7 +237,7 @@ def align_features(spark, sf):
 # ------------------------------------------------------------------------------------------ metrics
 
 PAIRS_SQL = DAILY_SQL + """,
-forecast_pairs AS (SELECT *, roll_raw - 2 * std_raw AS yhat_lower, roll_raw + 2 * std_raw AS yhat_upper, roll_raw AS yhat
+forecast_pairs AS MATERIALIZED (SELECT *, roll_raw - 2 * std_raw AS yhat_lower, roll_raw + 2 * std_raw AS yhat_upper, roll_raw AS yhat
   FROM (SELECT store_id, product_id, date, value, cents, lag(value, 7) OVER (PARTITION BY store_id, product_id ORDER BY date) AS roll_raw,
     coalesce(CASE WHEN count(value) OVER w >= 14 THEN stddev_samp(value) OVER w END, 0) AS std_raw FROM sales_daily
     WINDOW w AS (PARTITION BY store_id, product_id ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)))"""

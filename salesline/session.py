@@ -56,6 +56,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_into_buckets(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """Store ``df`` in the shared folder, its files bucketed by a column, so that later groups and windows over that
+    column read them without a shuffle. The catalog's entry lives only until the files are named in the plan."""
+    spark, name = df.sparkSession, f"stored_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", f"{checkpoint_dir(spark)}/tables/{name}").format("parquet").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def join_small(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join a grouped table, computed once. Its size is then known, so that the planner sends it to all tasks if
     it is small and else shuffles, splitting hot keys."""
