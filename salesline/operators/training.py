@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import json
 import random
+import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +24,7 @@ from pyspark.sql import functions as F
 from salesline.operators import dataset, encode, forecast, metrics
 from salesline.operators.features import Encoders, build_features, training_rows
 from salesline.operators.windows import LAGS, WINDOWS
-from salesline.session import cut_lineage
+from salesline.session import checkpoint_dir, cut_lineage
 
 # Regularisation and harmonics of the seasonal regression.
 RIDGE = 1.0
@@ -85,20 +89,21 @@ def early_stop(errors: Sequence[float], patience: int) -> tuple[int, bool]:
 
 
 def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegressor, validation: str, patience: int) -> PipelineModel:
-    """Spark's own early stop has no patience: fits of a doubling number of trees, which begin alike, are compared by
-    their errors after each tree."""
-    stage, most = assembler(features), estimator.getMaxIter()
-    known, held = train.where(~F.col(validation)), stage.transform(train.where(F.col(validation)))
+    stage = assembler(features)
+    known, held = (stage.transform(train.where(c)) for c in (~F.col(validation), F.col(validation)))
+    return PipelineModel(stages=[stage, boost_patiently(known, held, estimator, patience)])
 
-    def boost(trees: int) -> PipelineModel:
-        return Pipeline(stages=[stage, estimator.copy({estimator.maxIter: trees})]).fit(known)
 
+def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor, patience: int) -> GBTRegressionModel:
+    """Spark's own early stop has no patience: fits of a doubling number of trees, which begin alike, are compared by
+    their errors after each tree."""
+    most = estimator.getMaxIter()
     trees = min(most, 2 * patience)
     while True:
-        model = boost(trees)
-        best, stopped = early_stop(model.stages[-1].evaluateEachIteration(held, "squared"), patience)
+        model = estimator.copy({estimator.maxIter: trees}).fit(known)
+        best, stopped = early_stop(model.evaluateEachIteration(held, "squared"), patience)
         if stopped or trees == most:
-            return model if best == trees else boost(best)
+            return model if best == trees else estimator.copy({estimator.maxIter: best}).fit(known)
         trees = min(most, 2 * trees)
 
 
@@ -126,6 +131,9 @@ class Trial:
     std: float
 
 
+LEDGER = "params string, fold int, rmse double"
+
+
 def search(
     folded: DataFrame,
     features: Sequence[str],
@@ -133,30 +141,45 @@ def search(
     target: str = "value",
     from_target: Callable[[DataFrame], DataFrame] | None = None,
     patience: int | None = None,
+    ledger: str | None = None,
+    parallel: int = 4,
 ) -> list[Trial]:
     """Mean RMSE over the expanding folds for each set of parameters, best first.
 
     ``folded`` has ``fold`` and ``role`` columns. With ``patience`` the validation rows of a fold stop its boosting, as
-    in ``fit``. ``from_target`` turns ``yhat`` back to the original
-    scale, with the observed value in ``value``.
+    in ``fit``. ``from_target`` turns ``yhat`` back to the original scale, with the observed value in ``value``.
+
+    The feature vectors are assembled and stored once, in a folder for each fold. ``parallel`` fits run side by side. Every
+    finished pair of parameters and fold is a file of the ``ledger`` (a folder), from which an interrupted search goes on.
     """
-    folds = [r["fold"] for r in folded.select("fold").distinct().orderBy("fold").collect()]
-    out = []
-    for params in trials:
-        errors = []
-        for k in folds:
-            part = folded.where(F.col("fold") == k)
-            if patience:
-                flagged = part.withColumn("is_validation", F.col("role") == "validation")
-                model = fit(flagged, features, boosted_trees(target, **params), "is_validation", patience=patience)
-            else:
-                model = fit(part.where("role = 'train'"), features, boosted_trees(target, **params))
-            scored = predict(model, part.where("role = 'validation'"))
-            scored = from_target(scored) if from_target else scored
-            scored = scored.withColumn("yhat", F.greatest("yhat", F.lit(0.0)))
-            errors.append(metrics.error_metrics(scored).first()["rmse"])
-        out.append(Trial(params, float(np.mean(errors)), float(np.std(errors))))
-    return sorted(out, key=lambda t: t.rmse)
+    spark, trials = folded.sparkSession, list(trials)
+    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    assembler(features).transform(folded).drop(*[c for c in features if c != target]).write.partitionBy("fold").parquet(path)
+    stored = spark.read.parquet(path)
+    folds = [r["fold"] for r in stored.select("fold").distinct().orderBy("fold").collect()]
+    ledger = ledger or f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    spark.createDataFrame([], LEDGER).write.mode("overwrite").json(f"{ledger}/start")
+    found = spark.read.schema(LEDGER).option("recursiveFileLookup", True).json(ledger).collect()  # a row for each fit
+    done = {(r["params"], r["fold"]): r["rmse"] for r in found}
+
+    def run(named: str, params: dict, fold: int) -> None:
+        part = stored.where(F.col("fold") == fold)
+        known, held = part.where("role = 'train'"), part.where("role = 'validation'")
+        estimator = boosted_trees(target, **params)
+        model = boost_patiently(known, held, estimator, patience) if patience else estimator.fit(known)
+        scored = model.transform(held).drop("features")
+        scored = from_target(scored) if from_target else scored
+        scored = scored.withColumn("yhat", F.greatest("yhat", F.lit(0.0)))
+        done[named, fold] = error = metrics.error_metrics(scored).first()["rmse"]
+        spark.createDataFrame([(named, fold, error)], LEDGER).coalesce(1).write.mode("overwrite").json(f"{ledger}/{zlib.crc32(named.encode())}-{fold}")
+
+    names = [json.dumps(p, sort_keys=True) for p in trials]
+    left = {(n, k): p for n, p in zip(names, trials, strict=True) for k in folds if (n, k) not in done}
+    with ThreadPoolExecutor(parallel) as pool:
+        for task in [pool.submit(inheritable_thread_target(spark)(run), n, p, k) for (n, k), p in left.items()]:
+            task.result()
+    errors = [[done[n, k] for k in folds] for n in names]
+    return sorted((Trial(p, float(np.mean(e)), float(np.std(e))) for p, e in zip(trials, errors, strict=True)), key=lambda t: t.rmse)
 
 
 # --------------------------------------------------------------------------- seasonal regression

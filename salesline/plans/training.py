@@ -11,7 +11,8 @@ from salesline.plans.forecasting import SERIES
 from salesline.plans.sources import scratch
 from salesline.plans.views import DAILY_SQL, sales_daily
 from salesline.registry import query, rounded
-from salesline.session import cut_lineage
+from salesline.session import checkpoint_dir, cut_lineage
+from salesline.sources.files import fingerprint
 
 MODEL_FEATURES = [
     *[f"lag_{k}" for k in windows.LAGS], *[f"roll_{s}_{w}" for w in windows.WINDOWS for s in ("mean", "std")],
@@ -82,9 +83,13 @@ def boosted_trees(spark, sf):
 
 @query("h8_parameter_search")
 def parameter_search(spark, sf):
+    """The whole search; one that was interrupted goes on from the ledger of the same rows in the shared folder."""
     train, _ = model_rows(spark, sf)
     folded = cut_lineage(dataset.expanding_folds(train))
-    trials = training.search(folded, MODEL_FEATURES, training.random_params(training.TRIALS), patience=training.PATIENCE)
+    rows = fingerprint(folded).select(F.md5(F.to_json(F.struct("*")))).first()[0]
+    trials = training.search(
+        folded, MODEL_FEATURES, training.random_params(training.TRIALS), patience=training.PATIENCE, ledger=f"{checkpoint_dir(spark)}/search/{rows}"
+    )
     names = ("maxDepth", "stepSize")
     more = ("maxIter", "subsamplingRate", "minInstancesPerNode")
     rows = [(i + 1, *(t.params[n] for n in names), t.rmse, t.std, *(t.params[n] for n in more)) for i, t in enumerate(trials)]

@@ -20,6 +20,8 @@ def get_session(app: str = "salesline", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # recording the caller of every column takes longer than planning
+        "spark.scheduler.mode": "FAIR",  # fits of a search run side by side
         **conf,
     }
     for key, value in settings.items():

@@ -194,13 +194,27 @@ def test_one_failing_backend_does_not_stop_the_rest(model_data):
     assert out.metrics.count() == 2
 
 
-def test_search_orders_trials(model_data):
+def test_search_orders_trials(model_data, tmp_path, monkeypatch):
     from salesline.operators import dataset
 
     _, rows, names = model_data
     folded = dataset.expanding_folds(rows, folds=2)
-    trials = training.search(folded, names, [{"maxIter": 1, "maxDepth": 1}, {"maxIter": 5, "maxDepth": 3}])
-    assert trials[0].rmse <= trials[1].rmse
+    chosen = [{"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0}, {"maxIter": 5, "maxDepth": 3, "subsamplingRate": 1.0}]
+    fits = []
+    monkeypatch.setattr(training, "boosted_trees", lambda *a, _made=training.boosted_trees, **k: fits.append(k) or _made(*a, **k))
+    ledger = str(tmp_path / "ledger")
+    trials = training.search(folded, names, chosen[:1], ledger=ledger, patience=2)
+    assert len(fits) == 2
+    trials = training.search(folded, names, chosen, ledger=ledger, patience=2)  # goes on: two fits are done already
+    assert len(fits) == 4 and fits[2:] == [chosen[1]] * 2
+    assert trials[0].params == chosen[1] and trials[0].rmse <= trials[1].rmse
+    for t in trials:
+        errors = []
+        for k in (0, 1) if folded.where("fold = 0").count() else (1, 2):
+            part = folded.where(F.col("fold") == k).withColumn("v", F.col("role") == "validation")
+            model = training.fit(part, names, training.boosted_trees(**t.params), "v", patience=2)
+            errors.append(training.metrics.error_metrics(training.predict(model, part.where("v")).withColumn("yhat", F.greatest("yhat", F.lit(0.0)))).first()["rmse"])
+        assert t.rmse == pytest.approx(np.mean(errors), rel=1e-9)
 
 
 def test_seasonal_regression(spark):
@@ -253,7 +267,7 @@ def test_training_queries_are_of_full_size(spark, monkeypatch):
     plans.feature_importance(spark, "")
     assert seen == [(1000, 6, 0.05, "is_validation", 50)]
     called = {}
-    monkeypatch.setattr(training, "search", lambda folded, features, trials, patience=None: called.update(
+    monkeypatch.setattr(training, "search", lambda folded, features, trials, patience=None, ledger=None: called.update(
         folds=folded.select("fold").distinct().count(), trials=len(list(trials)), patience=patience) or [])
     plans.parameter_search(spark, "")
     assert called == {"folds": 5, "trials": 50, "patience": 50} and min(training.SEARCH_SPACE["maxIter"]) >= 500
