@@ -516,6 +516,17 @@ def test_components(spark):
     assert got == label
 
 
+def test_undivided_runs_end():
+    """Units longer than the queue's limit, against the library: ``batch`` compares and raises."""
+    encoder = sentencepieces.Encoder(MODEL)
+    rng = random.Random(1)
+    mixed = "".join(rng.choice("abcdethn") for _ in range(20_000))
+    texts = ["a" * 300_000, " " * 100_000, "=" * 500, "ab" * 300, mixed, "é" * 90, "あ" * 100, "aé" * 300, "a" * 64, "a" * 65]
+    found = encoder.batch(texts)
+    decoded = ["".join(d for _, _, d in units).removeprefix(" ") for units in found]
+    assert decoded == texts
+
+
 # 11 periodic runs
 
 
