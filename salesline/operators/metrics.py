@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesline.session import join_small
+from salesline.operators.ordering import range_blocks, running_sum
+from salesline.session import cut_lineage, join_small
 
 # Score weights, and the lowest R2 of each verdict.
 WEIGHTS = {"mae": 0.4, "rmse": 0.4, "r2": 0.2}
@@ -81,18 +82,19 @@ def verdict(r2: Column) -> Column:
 def score_models(models: DataFrame, name: str = "model") -> DataFrame:
     """Score 0 to 100 from the ranks in MAE, RMSE and R2; a missing metric ranks last, ties go by name.
 
-    One row per model: a handful, so a single ordered window is enough.
+    The values of all metrics are sorted once, in ranges, and their places are running counts over the ranges.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-
-    def share(metric: str, best_high: bool) -> Column:
-        col = F.col(metric)
-        key = col.desc_nulls_last() if best_high else col.asc_nulls_last()
-        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key, F.col(name)))
-        return F.when(n == 1, 1.0).otherwise((n - place) / (n - 1))
-
-    total = sum((share(m, m == "r2") * w for m, w in WEIGHTS.items()), F.lit(0.0))
-    return models.withColumn("score", F.round(total * 100, 2)).withColumn("verdict", verdict(F.col("r2")))
+    stored = cut_lineage(models.withColumn("_id", F.monotonically_increasing_id()))
+    values = [F.struct(F.lit(m).alias("metric"), (-F.col(m) if m == "r2" else F.col(m)).alias("value")) for m in WEIGHTS]
+    cells = stored.select("_id", F.col(name).alias("_name"), F.explode(F.array(*values)).alias("c")).select("_id", "_name", "c.*")
+    order = ["metric", F.col("value").isNull(), F.col("value"), F.col("_name"), F.col("_id")]
+    placed = running_sum(range_blocks(cells, order), {"_place": F.lit(1).cast("long")}, ["metric"], totals=True)
+    n = F.col("_place_total")
+    share = F.when(n == 1, 1.0).otherwise((n - F.col("_place")) / (n - 1))
+    parts = placed.groupBy("_id").agg(*[F.max(F.when(F.col("metric") == m, share)).alias(f"_{m}") for m in WEIGHTS])
+    total = sum((F.col(f"_{m}") * w for m, w in WEIGHTS.items()), F.lit(0.0))
+    scored = stored.join(parts, "_id").withColumn("score", F.round(total * 100, 2)).withColumn("verdict", verdict(F.col("r2")))
+    return scored.drop("_id", *[f"_{m}" for m in WEIGHTS])
 
 
 def backend_label(file_name: Column) -> Column:

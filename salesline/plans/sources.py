@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesline.operators import conform, metrics, requests
 from salesline.plans.cleaning import PLAIN_SQL, layouts_sql, number_sql
-from salesline.plans.datasets import model_metrics
+from salesline.plans.datasets import MODELS_SQL, model_metrics, score_sql
 from salesline.plans.features import KEY
 from salesline.plans.views import (
     DAILY_SQL, DIRTY_SQL, LINE_SQL, TEXT_SQL, dirty_sales, dirty_text, sales_daily, sales_line, table,
@@ -110,21 +110,19 @@ def request_files(spark, sf):
     return requests.explode_requests(json_files.read_requests(spark, path)).drop("extras")
 
 
-@query("a7_metrics_files")
+@query(
+    "a7_metrics_files",
+    f"""WITH {MODELS_SQL}, s AS ({score_sql('model_metrics')}) SELECT model, round(mae, 4) AS mae, round(rmse, 4) AS rmse,
+    round(r2, 8) AS r2, score, verdict, model AS backend FROM s""",
+)
 def metrics_files(spark, sf):
     """Metrics of the simple models written as JSON files, read back, scored and labelled."""
     path = scratch(spark)
-    m = model_metrics(spark, sf)
-    body = F.to_json(
-        F.struct(F.col("mae").alias("MAE_test"), F.col("rmse").alias("RMSE_test"), F.struct("r2").alias("test"), "model")
-    )
-    m.select("model", body.alias("value")).repartition("model").write.partitionBy("model").option(
-        "compression", "none"
-    ).mode("overwrite").text(path)
-    texts = spark.read.option("wholetext", True).text(path).select("model", F.explode(F.split("value", "\n")).alias("value"))
-    entries = json_files.metric_entries(texts.where("value <> ''"))
+    body = F.struct(F.col("mae").alias("MAE_test"), F.col("rmse").alias("RMSE_test"), F.col("r2").alias("R2_test"))
+    model_metrics(spark, sf).select("model", body.alias("b")).select("model", "b.*").repartition("model").write.partitionBy("model").json(path)
+    entries = json_files.metric_entries(json_files.newest_metrics(spark, path))
     out = metrics.summarize_models(metrics.normalize_metrics(entries))
-    return out.withColumn("backend", metrics.backend_label(F.col("model")))
+    return rounded(out.withColumn("backend", metrics.backend_label(F.col("model"))), {"mae": 4, "rmse": 4, "r2": 8})
 
 
 @query(

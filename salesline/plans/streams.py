@@ -39,13 +39,6 @@ def stream_daily(spark, sf):
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     cents = F.floor(F.col("value") * 100 + 0.5).cast("bigint").alias("value")
-    daily = ingest.daily_totals(stream.select(F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z"))).alias("ts"), cents))
-    run = (
-        daily.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{path}/daily"))
-        .option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return spark.read.parquet(f"{path}/daily")
+    rows = stream.select(F.to_timestamp(F.concat(F.col("ts").cast("string"), F.lit("Z"))).alias("ts"), cents)
+    ingest.keep_daily_totals(rows, f"{path}/daily", f"{path}/state").awaitTermination()
+    return ingest.latest_totals(spark, f"{path}/daily")

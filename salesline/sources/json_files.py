@@ -35,10 +35,15 @@ def metric_entries(texts: DataFrame) -> DataFrame:
 
 
 def metrics_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """``(model, value, modified)``: one row per metrics file, summaries of earlier evaluations left out."""
+    """``(model, value, modified)``: one row per metrics file, summaries of earlier evaluations left out.
+
+    A file is known by its name, or by that of its folder if it is ``model=<name>``.
+    """
     files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
     read = files.text(folder).select(
-        F.col("_metadata.file_name").alias("model"), "value", F.col("_metadata.file_modification_time").alias("modified")
+        F.coalesce(F.url_decode(F.nullif(F.regexp_extract("_metadata.file_path", "/model=([^/]+)/", 1), F.lit(""))), F.col("_metadata.file_name")).alias("model"),
+        "value",
+        F.col("_metadata.file_modification_time").alias("modified")
     )
     return read.where(~F.lower("model").startswith("eval_summary"))
 

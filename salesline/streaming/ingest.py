@@ -63,3 +63,34 @@ def daily_totals(stream: DataFrame, value: str = "value", ts: str = "ts", late:
         .agg(F.sum(value).alias("total"), F.count(value).alias("n"))
         .select(F.to_date(F.to_utc_timestamp("_w.start", F.current_timezone())).alias("date"), "total", "n")
     )
+
+
+def store_version(target: str) -> Callable[[DataFrame, int], None]:
+    """Writes the days that a batch changed as a version of its own; a batch that is run again replaces its version."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return store
+
+
+def keep_daily_totals(stream: DataFrame, target: str, state: str, value: str = "value", ts: str = "ts", late: str = "2 days") -> StreamingQuery:
+    """Keep the totals of each day as versions under ``target``: a batch adds only the days it changed, with its number.
+
+    Days older than ``late`` are closed and leave the state, so that it holds a few days however long the stream runs.
+    """
+    daily = daily_totals(stream, value, ts, late)
+    return (
+        daily.writeStream.outputMode("update")
+        .foreachBatch(store_version(target))
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def latest_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The newest version of each day."""
+    versions = spark.read.parquet(target)
+    newest = F.max_by(F.struct("total", "n"), "batch").alias("v")
+    return versions.groupBy("date").agg(newest).select("date", "v.*")

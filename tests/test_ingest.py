@@ -191,6 +191,26 @@ def test_csv_records(spark, tmp_path):
     assert files.read_csv(spark, str(folder), sep=",", quoted=None).rows.count() == 3
 
 
+def test_daily_totals_are_versions(spark, tmp_path):
+    from salesline.streaming import ingest
+
+    def go(rows):
+        frame = spark.createDataFrame(rows, "ts string, value long").select(F.col("ts").cast("timestamp").alias("ts"), "value")
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("ts timestamp, value long").parquet(str(tmp_path / "in"))
+        ingest.keep_daily_totals(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        return {str(r.date): (r.total, r.n) for r in ingest.latest_totals(spark, str(tmp_path / "out")).collect()}
+
+    assert go([("2024-01-01 10:00:00", 1), ("2024-01-09 10:00:00", 2)]) == {"2024-01-01": (1, 1), "2024-01-09": (2, 1)}
+    # a day still open grows, a new one comes, a closed one takes no more rows
+    want = {"2024-01-01": (1, 1), "2024-01-09": (7, 2), "2024-01-10": (4, 1)}
+    assert go([("2024-01-01 11:00:00", 100), ("2024-01-09 11:00:00", 5), ("2024-01-10 01:00:00", 4)]) == want
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "out").glob("batch=*"))
+    again = spark.read.parquet(str(tmp_path / "out" / f"batch={last}")).collect()
+    ingest.store_version(str(tmp_path / "out"))(spark.createDataFrame(again, "date date, total long, n long") if again else spark.createDataFrame([], "date date, total long, n long"), last)
+    assert {str(r.date): (r.total, r.n) for r in ingest.latest_totals(spark, str(tmp_path / "out")).collect()} == want
+
+
 def test_copies_and_unreadable_files(spark, tmp_path):
     contents = {"one/x.csv": "h\n1\n2\n", "two/x.csv": "h\n1\n2\n", "two/y.csv": "h\n2\n1\n"}
     for name, text in contents.items():
