@@ -93,7 +93,9 @@ def fill_other_columns(
 def outlier_flag(
     df: DataFrame, value: str = "value", threshold: float = 3.0, keys: Sequence[str] = (), name: str = "is_outlier"
 ) -> DataFrame:
-    """True where the value is more than ``threshold`` sample deviations from the mean."""
+    """True where the value is more than ``threshold`` sample deviations from the mean. The rows are stored, as both the
+    statistics and the flags need them."""
+    df = cut_lineage(df)
     stats = [F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")]
     if keys:
         rows = join_small(df, df.groupBy(*keys).agg(*stats), keys)
@@ -176,7 +178,7 @@ def clean(
         rows = fill_missing(rows, [value], strategy, order, keys, blocks)
         rows = fill_in_order(rows, (), (), fill_others, order, keys, blocks) if fill_others else rows
     # Filling shuffles all rows; what follows passes over them several times.
-    rows = remove_outliers(cut_lineage(rows), value, threshold)
+    rows = remove_outliers(rows, value, threshold) if threshold and threshold > 0 else cut_lineage(rows)
     if "quantity" in rows.columns:
         rows = cap_quantity(rows, by_product=by_product and "product_id" in rows.columns, blocks=blocks)
         if "price" in rows.columns:

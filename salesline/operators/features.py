@@ -65,8 +65,11 @@ def build_features(
 ) -> tuple[DataFrame, Encoders]:
     """Features with the encoders they were built with. Given encoders are applied as they are.
 
-    New encoders are learned from one grouped pass over the input, stored because it is small.
+    New encoders are learned from one grouped pass over the input. The input, one row per day and series, is stored for
+    that pass and the features.
     """
+    if encoders is None:
+        df = cut_lineage(df)
     out = numeric_features(df, value, date, lags, sizes, keys, horizon)
     keys = [c for c in GROUP_COLUMNS if c in out.columns] if keys is None else list(keys)
     types = dict(out.dtypes)

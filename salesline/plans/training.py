@@ -219,3 +219,18 @@ def stored_encoders(spark, sf):
     path = scratch(spark)
     encode.save_encoders({"store_id": encode.fit_labels(sales_daily(spark, sf), "store_id")}, path, "label")
     return encode.load_encoder(spark, path, "label", "store_id")
+
+
+@query(
+    "g5_stored_means",
+    f"""WITH {DAILY_SQL}, g AS (SELECT avg(value) AS m FROM sales_daily) SELECT product_id,
+    round((sum(value) + 10 * (SELECT m FROM g)) / (count(value) + 10), 5) AS encoded, round((SELECT m FROM g), 5) AS global_mean
+    FROM sales_daily GROUP BY product_id""",
+)
+def stored_means(spark, sf):
+    """Smoothed target means written with the encoders and read back."""
+    from salesline.operators import encode
+
+    path = scratch(spark)
+    encode.save_encoders({"product_id": encode.fit_target_means(sales_daily(spark, sf), "product_id")}, path, "target")
+    return rounded(encode.load_encoder(spark, path, "target", "product_id"), {"encoded": 5, "global_mean": 5})
