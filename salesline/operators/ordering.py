@@ -53,6 +53,11 @@ class Series:
         return cond
 
 
+def blocks_for(stored: DataFrame, rows: int = ROWS_PER_BLOCK) -> int:
+    """How many blocks of so many rows a stored table fills; counting reads none of its columns."""
+    return max(1, -(-stored.count() // rows))
+
+
 def range_blocks(df: DataFrame, order: Sequence[str | Column], blocks: int | None = None) -> DataFrame:
     """Sort the table into consecutive blocks; adds the block number and the position in it.
 

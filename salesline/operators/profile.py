@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesline.operators.ordering import BLOCK, POS, range_blocks, running_sum
+from salesline.operators.ordering import BLOCK, blocks_for, range_blocks, running_sum
 from salesline.operators.quantiles import exact_quantiles, value_counts
+from salesline.session import cut_lineage
+
+# Fixed value: the distinct pairs of values a block of ``kendall`` holds.
+PAIRS_PER_BLOCK = 200_000
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -182,49 +189,80 @@ def spearman(df: DataFrame, x: str, y: str, blocks: int | None = None) -> DataFr
     return ranked.agg(F.try_divide(sums[0], sums[1] * sums[2]).alias("corr"))
 
 
-def _dense_rank(rows: DataFrame, col: str, name: str) -> DataFrame:
-    """Zero-based dense rank of ``col`` over blocks ordered by it."""
-    tops = rows.groupBy(BLOCK).agg(F.max(col).alias("_top"))
-    before = Window.partitionBy(F.lit(0)).orderBy(BLOCK)
-    tops = tops.select(F.col(BLOCK).alias("_kb"), F.lag("_top").over(before).alias("_prev"))
-    joined = rows.join(F.broadcast(tops), F.col(BLOCK) == F.col("_kb")).drop("_kb")
-    above = F.coalesce(F.lag(col).over(Window.partitionBy(BLOCK).orderBy(POS)), F.col("_prev"))
-    fresh = (above.isNull() | (above != F.col(col))).cast("long")
-    ranked = running_sum(joined.withColumn("_new", fresh), {name: "_new"})
-    return ranked.withColumn(name, F.col(name) - 1).drop("_prev", "_new")
+def _crossing(order: np.ndarray, weights: np.ndarray) -> int:
+    """The weight of all pairs that ``order``, which holds the numbers below its length once each, has the wrong way round.
+
+    Two numbers differ first at exactly one bit. Bit by bit, among numbers that agree above it, each one with the bit unset
+    meets all earlier ones that have it set.
+    """
+    if int(weights.sum()) >= 1 << 31:  # products beyond 64 bits
+        weights = weights.astype(object)
+    found, zero = 0, weights[:1] * 0
+    for bit in reversed(range(max(len(order) - 1, 0).bit_length())):
+        is_set = (order >> bit) & 1 == 1
+        sums = np.concatenate((zero, np.cumsum(np.where(is_set, weights, 0))))
+        head = order >> (bit + 1)
+        start = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
+        earlier = sums[:-1] - np.repeat(sums[start], np.diff(np.append(start, len(order))))
+        found += int(np.where(is_set, 0, earlier * weights).sum())
+        turn = np.argsort(order >> bit, kind="stable")
+        order, weights = order[turn], weights[turn]
+    return found
+
+
+def _ranks(*keys: np.ndarray) -> np.ndarray:
+    """The place of every row in the order of the keys, the first key first."""
+    out = np.empty(len(keys[0]), np.int64)
+    out[np.lexsort(keys[::-1])] = np.arange(len(out))
+    return out
+
+
+def _crossing_inside(part: pd.DataFrame) -> pd.DataFrame:
+    """Discordant pairs among the rows of a block by ``x``."""
+    part = part.sort_values(["_x", "_y"])
+    found = _crossing(_ranks(part["_y"].to_numpy(), part["_x"].to_numpy()), part["_w"].to_numpy())
+    return pd.DataFrame({"pairs": [Decimal(found)]})
+
+
+def _crossing_between(part: pd.DataFrame) -> pd.DataFrame:
+    """Discordant pairs among the rows of a block by ``y`` that stand in different blocks by ``x``."""
+    part = part.sort_values(["_x", "_y"])
+    x, y, w, at = (part[c].to_numpy() for c in ("_x", "_y", "_w", "_bx"))
+    found = _crossing(_ranks(y, x), w) - _crossing(_ranks(at, y, x), w)
+    return pd.DataFrame({"pairs": [Decimal(found)]})
 
 
 def kendall(df: DataFrame, x: str, y: str, blocks: int | None = None) -> DataFrame:
     """Kendall's tau-b, exact, without forming pairs of rows.
 
-    Equal pairs are counted first. Two rows with different ``y`` ranks differ first at exactly one
-    bit of the rank, so discordant pairs are counted bit by bit: among rows that agree above the bit,
-    in order of ``x``, each row with the bit unset meets all earlier rows that have it set.
+    Equal pairs are counted first. In the order of (x, y) two of them are discordant if they stand the other way round in
+    the order of (y, x). Both orders are cut into blocks. Pairs of rows that differ in both blocks are counted from the
+    rows in each pair of blocks, pairs within a block by ``x`` and the others within a block by ``y`` inside the block.
     """
-    rows = range_blocks(_pair_counts(df, x, y), ["_y", "_x"], blocks)
+    pairs = cut_lineage(_pair_counts(df, x, y))
+    blocks = blocks or blocks_for(pairs, PAIRS_PER_BLOCK)
+    by_x = range_blocks(pairs, ["_x", "_y"], blocks)
+    by_y = range_blocks(by_x.select("_x", "_y", "_w", F.col(BLOCK).alias("_bx")), ["_y", "_x"], blocks)
+    big = "decimal(38,0)"
+    inside = by_x.groupBy(BLOCK).applyInPandas(_crossing_inside, f"pairs {big}")
+    between = by_y.groupBy(BLOCK).applyInPandas(_crossing_between, f"pairs {big}")
+    cells = by_y.groupBy("_bx", F.col(BLOCK).alias("_by")).agg(F.sum("_w").alias("_n"))
+    numbers = F.sequence(F.lit(0), F.lit(blocks - 1))
+    grid = df.sparkSession.range(blocks).select(F.col("id").cast("int").alias("_bx"), F.explode(numbers).alias("_by"))
+    before = Window.partitionBy("_by").orderBy("_bx").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("_bx").orderBy(F.desc("_by")).rowsBetween(Window.unboundedPreceding, -1)
+    full = grid.join(cells, ["_bx", "_by"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)).cast("decimal(19,0)"))
+    met = full.withColumn("_s", F.sum("_n").over(before)).withColumn("_s", F.sum("_s").over(above).cast("decimal(19,0)"))
+    apart = met.agg(F.coalesce(F.sum(F.col("_n") * F.col("_s")), F.lit(0)).cast(big).alias("pairs"))
     top = F.expr("cast(_w as decimal(19,0))")
 
     def ties(keys: Sequence[str]) -> Column:
-        sums = rows.groupBy(*keys).agg(F.sum(top).cast("decimal(19,0)").alias("t"))
+        sums = pairs.groupBy(*keys).agg(F.sum(top).cast("decimal(19,0)").alias("t")) if keys else pairs.select(top.alias("t"))
         return sums.agg(F.sum(F.expr("t * (t - 1)")).cast("double") / 2).scalar()
 
-    total = rows.agg(F.sum("_w").cast("double")).scalar()
-    ranked = _dense_rank(rows, "_y", "_r")
-    levels = ranked.agg(F.max("_r")).first()[0]
-    bits = max((levels or 0).bit_length(), 1)
-    spread = ranked.select("_x", "_w", "_r", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))).alias("_bit"))
-    spread = spread.select(
-        "_bit", "_x", "_w", F.expr("shiftright(_r, _bit + 1)").alias("_head"), F.expr("shiftright(_r, _bit) & 1").alias("_set")
-    )
-    sides = spread.groupBy("_bit", "_head", "_x").agg(
-        F.sum(F.when(F.col("_set") == 1, F.col("_w")).otherwise(0)).alias("_high"),
-        F.sum(F.when(F.col("_set") == 0, F.col("_w")).otherwise(0)).alias("_low"),
-    )
-    ordered = range_blocks(sides, ["_bit", "_head", "_x"], blocks)
-    counted = running_sum(ordered, {"_run": "_high"}, ["_bit", "_head"])
-    crossing = F.expr("cast(_run - _high as decimal(19,0)) * cast(_low as decimal(19,0))")
+    total = pairs.agg(F.sum("_w").cast("double")).scalar()
     n0 = total * (total - 1) / 2
-    n1, n2, n3 = ties(["_x"]), ties(["_y"]), ties(["_x", "_y"])
-    out = counted.agg(F.sum(crossing).cast("double").alias("discordant"))
+    n1, n2, n3 = ties(["_x"]), ties(["_y"]), ties([])
+    out = inside.unionByName(between).unionByName(apart).agg(F.sum("pairs").cast("double").alias("discordant"))
     tau = F.try_divide(n0 - n1 - n2 + n3 - 2 * F.col("discordant"), F.sqrt((n0 - n1) * (n0 - n2)))
     return out.select(total.cast("long").alias("n"), "discordant", tau.alias("tau"))

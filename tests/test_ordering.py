@@ -125,6 +125,33 @@ def test_rank_correlations(table, rows):
     assert profile.kendall(table, "value", "day", blocks=5).first()["tau"] == pytest.approx(tau, abs=1e-12)
 
 
+def test_kendall_orders_every_pair_twice_only(spark, monkeypatch):
+    """No row for every bit of a rank; pairs within blocks, between them, ties and weights all count."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 40, 700), rng.integers(0, 300, 700)
+    df = spark.createDataFrame(pd.DataFrame({"x": a, "y": b}))
+    cut, ordered_rows = ordering.range_blocks, []
+
+    def counted(rows, *args):
+        ordered_rows.append(rows.count())
+        return cut(rows, *args)
+
+    monkeypatch.setattr(profile, "range_blocks", counted)
+    found = profile.kendall(df, "x", "y", blocks=9).first()
+    signs = np.sign(a[:, None] - a) * np.sign(b[:, None] - b)
+    assert found["discordant"] == (signs < 0).sum() / 2
+    assert sum(ordered_rows) <= 2 * len(set(zip(a.tolist(), b.tolist())))
+
+
+@pytest.mark.parametrize("most", [5, 1 << 40])
+def test_weighted_crossing(most):
+    rng = np.random.default_rng(4)
+    order, w = rng.permutation(77), rng.integers(most // 2, most, 77)
+    want = sum(int(w[i]) * int(w[j]) for i in range(77) for j in range(i) if order[j] > order[i])
+    assert profile._crossing(order, w) == want
+    assert profile._crossing(order[:1], w[:1]) == profile._crossing(order[:0], w[:0]) == 0
+
+
 def test_sequential_ids(table, rows):
     ids = table.withColumn("id", F.when(F.col("rid") % 3 != 0, F.concat(F.lit("store_"), "rid")))
     got = repair.fill_ids(ids, ["rid"], blocks=4).select("rid", "id").toPandas().set_index("rid")["id"]
