@@ -14,10 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from salesline.session import cut_into_buckets
+from salesline.session import cut_into_buckets, cut_lineage
 
 BLOCK, POS = "_blk", "_pos"
-ROWS_PER_BLOCK = 200_000
+ROWS_PER_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ class Series:
         return cond
 
 
-def blocks_for(stored: DataFrame, rows: int = ROWS_PER_BLOCK) -> int:
+def blocks_for(stored: DataFrame, rows: int) -> int:
     """How many blocks of so many rows a stored table fills; counting reads none of its columns."""
     return max(1, -(-stored.count() // rows))
 
@@ -61,14 +61,16 @@ def blocks_for(stored: DataFrame, rows: int = ROWS_PER_BLOCK) -> int:
 def range_blocks(df: DataFrame, order: Sequence[str | Column], blocks: int | None = None) -> DataFrame:
     """Sort the table into consecutive blocks; adds the block number and the position in it.
 
-    Block bounds come from a sample, so the result is stored before anything is derived from it. It is stored by block:
-    work inside the blocks shuffles no rows again.
+    Unless their number is given, there is a block for about ``ROWS_PER_BLOCK`` rows, so that a task needs no more memory
+    for a longer table. Rows are stored to be counted, and once more by block, as block bounds come from a sample and work
+    inside the blocks is to shuffle no rows again.
     """
-    target = [blocks] if blocks else []
-    ordered = df.repartitionByRange(*target, *order).sortWithinPartitions(*order)
+    if not blocks:
+        df = cut_lineage(df)
+        blocks = blocks_for(df, ROWS_PER_BLOCK)
+    ordered = df.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    number = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_into_buckets(ordered.withColumns({BLOCK: F.spark_partition_id(), POS: place}), BLOCK, number)
+    return cut_into_buckets(ordered.withColumns({BLOCK: F.spark_partition_id(), POS: place}), BLOCK, blocks)
 
 
 def _parts(keys: Sequence[str]) -> list[Column]:

@@ -52,6 +52,17 @@ def test_unknown_strategy(table):
         clean.fill_missing(table, ["value"], "guess")
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_longer_tables_get_more_blocks(table, rows, keys, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_BLOCK", 60)
+    blocks = ordering.range_blocks(table, [*keys, "day", "rid"])
+    sizes = [r["count"] for r in blocks.groupBy(ordering.BLOCK).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 120
+    want = ordered(rows, keys).set_index("rid")
+    want = (want.groupby("k")["value"] if keys else want["value"]).ffill()
+    same(collect(clean.fill_missing(table, ["value"], "ffill", ("day", "rid"), keys), "value"), want)
+
+
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_running_sum_and_totals(table, rows, keys):
     blocks = ordering.range_blocks(table, [*keys, "day", "rid"], 7)
