@@ -108,12 +108,17 @@ def _split_rows(reader: DataFrameReader, path: str | list[str], sep: str, column
 
 
 def file_headers(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """``(source_file, header)``: the first line of every file, from the first split of each."""
+    """``(source_file, header)``: the first line of every file, from the first split of each.
+
+    The set beside the line, of one value, makes Spark keep a line for each file in a hash map; without it, it would sort
+    all lines of a split.
+    """
     lines = spark.read.option("pathGlobFilter", pattern).text(folder)
     first = lines.where("_metadata.file_block_start = 0").select(
         F.col("_metadata.file_path").alias("source_file"), "value", F.monotonically_increasing_id().alias("_i")
     )
-    return first.groupBy("source_file").agg(F.min_by("value", "_i").alias("header"))
+    found = first.groupBy("source_file").agg(F.min_by("value", "_i").alias("header"), F.collect_set(F.lit(True)).alias("_any"))
+    return found.where(F.size("_any") > 0).drop("_any")
 
 
 def read_folder(spark: SparkSession, folder: str, pattern: str = "*.csv", sep: str | None = None) -> list[CsvRead]:

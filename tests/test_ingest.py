@@ -127,6 +127,15 @@ def test_folder_with_different_headers(spark, tmp_path):
     assert [(r["files"], r["first_file"].rsplit("/", 1)[1]) for r in found] == [(2, "one.csv")]
 
 
+def test_headers_need_no_sort_of_lines(spark, tmp_path, capsys):
+    write(tmp_path / "a.csv", "id,v\n" + "0,1\n" * 50)
+    write(tmp_path / "b.csv", "aa,v\n0,1\n")
+    heads = files.file_headers(spark, str(tmp_path))
+    assert sorted(r["header"] for r in heads.collect()) == ["aa,v", "id,v"]
+    heads.explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
 def test_fingerprint_ignores_order(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "i int, s string")
     b = spark.createDataFrame([(None, 2), ("x", 1)], "s string, i int")
