@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from salesline.llm import decontaminate, jaccard, langid, sentencepieces, suffixes
 from salesline.llm.common import table
-from salesline.session import checkpoint_dir
+from salesline.session import checkpoint_dir, cut_lineage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_COVER = 0.2
@@ -65,7 +65,7 @@ def suffix_dedup(spark, docs, sf_dir):
 
 def decontamination(spark, docs, sf_dir):
     """Cut benchmark passages out, and drop documents that lose all letters and digits by it."""
-    found = decontaminate.find_contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+    found = cut_lineage(decontaminate.find_contamination(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")))
     clean = decontaminate.remove_spans(found)
     emptied = (F.size(F.col("hits")["runs"]) > 0) & ~F.col("text").rlike(LETTERS)
     return with_text(clean.where(~F.coalesce(emptied, F.lit(False))), F.col("text"))

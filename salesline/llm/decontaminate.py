@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesline.llm.common import Powers, lower_table, mix, pieces, runs_of, span_hashes, text_bytes, without, words_of
+from salesline.llm.common import Powers, lower_table, mix, pieces, runs_of, span_hashes, text_bytes, trimmed, without, words_of
 
 WINDOW = 10
 ITEM_BYTES = 8 << 20
@@ -160,7 +160,7 @@ def _scan_block(df: DataFrame, text: str, groups: list[Windows], column: str) ->
                 columns = [*batch.columns, pa.array(out, kind)]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, column])
 
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(trimmed(work), schema)
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
@@ -230,14 +230,20 @@ def merged_runs(pairs):
 
 
 def remove_spans(documents: DataFrame, text: str = "text", hits: str = "hits") -> DataFrame:
-    """Cut the hit spans out of the texts; a null text stays null."""
+    """Cut the hit spans out of the texts; a null text stays null.
+
+    Store ``documents`` before: else every task has a Python worker for the search and one for the cuts at once.
+    """
     schema = documents.schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = batch.column(text).to_pylist(), batch.column(hits).to_pylist()
+        for batch in (piece for whole in batches for piece in pieces(whole, text)):
+            found = batch.column(hits).to_pylist()
+            if not any(h and h["spans"] for h in found):
+                yield batch
+                continue
             out = []
-            for t, h in zip(texts, found, strict=True):
+            for t, h in zip(batch.column(text).to_pylist(), found, strict=True):
                 if t is not None and h and h["spans"]:
                     raw, last, kept = t.encode(), 0, []
                     for span in h["spans"]:
@@ -248,7 +254,7 @@ def remove_spans(documents: DataFrame, text: str = "text", hits: str = "hits") -
             i = batch.schema.get_field_index(text)
             yield batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
 
-    return documents.mapInArrow(work, schema)
+    return documents.mapInArrow(trimmed(work), schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -775,3 +775,15 @@ def test_stages_on_awkward_rows(spark):
     for _, stage in p.STAGES:
         assert stage(spark, docs, SF).count() <= len(rows)
         assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_decontamination_runs_one_python_worker_a_task(spark, capsys):
+    import corpus_pipeline as p
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    rows = [(1, f"§ {item} é!", "en", "s", 9), (2, "é kept", "en", "s", 6), (3, item, "en", "s", 9), (4, None, "en", "s", None)]
+    out = p.decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), SF)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert sorted(got) == [1, 2, 4] and got[2] == "é kept" and got[4] is None and len(got[1]) < len(rows[0][1])
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
