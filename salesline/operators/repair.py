@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +51,13 @@ def repair_report(before: DataFrame, after_date: Column, id_col: str = "id", val
     )
 
 
-def repair_sample(df: DataFrame, order: Sequence[str], rows: int = 5) -> DataFrame:
-    """The first rows after repair, for the report."""
-    return df.orderBy(*order).limit(rows)
+def repair_sample(
+    df: DataFrame, order: Sequence[str], rows: int = 5, repaired: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """The first rows after repair, for the report. ``repaired`` repairs rows one by one, by columns it leaves in order:
+    then only the first ones have to be repaired. They are stored, as Spark would else move the repair below the order."""
+    first = df.orderBy(*order).limit(rows)
+    return repaired(cut_lineage(first)).orderBy(*order) if repaired else first
 
 
 def validate(

@@ -158,7 +158,11 @@ CONFORMED_SQL = f"""conformed AS (SELECT rid, try_cast(nullif(regexp_extract(sho
 
 
 def conformed(spark, sf):
-    return dirty_text(spark, sf).select(
+    return conformed_rows(dirty_text(spark, sf))
+
+
+def conformed_rows(rows):
+    return rows.select(
         "rid",
         parsing.first_digits(F.col("shop")).alias("id"),
         parsing.day_first_date(F.col("sold_on")).alias("date"),
@@ -185,9 +189,11 @@ def repair_report(spark, sf):
     FROM conformed ORDER BY rid LIMIT 5""",
 )
 def repair_sample(spark, sf):
-    rows = repair.repair_dates(conformed(spark, sf), "sold_on")
-    rows = rows.withColumn("value", repair.repair_value(F.col("value")))
-    return repair.repair_sample(rows.select("rid", "id", "date", "value"), ["rid"])
+    def repaired(rows):
+        fixed = repair.repair_dates(conformed_rows(rows), "sold_on")
+        return fixed.withColumn("value", repair.repair_value(F.col("value"))).select("rid", "id", "date", "value")
+
+    return repair.repair_sample(dirty_text(spark, sf), ["rid"], repaired=repaired)
 
 
 RULES_SQL = """SELECT 'min' AS rule, 'value' AS column, min(value) AS observed, 0.0::double AS threshold,
