@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from salesline.functions.parsing import (
     clean_number, day_first_date, first_digits, normalized_name, parsed_timestamp, plain_number,
 )
-from salesline.operators.profile import numeric_columns
+from salesline.operators.profile import numeric_columns, value_hash
 
 # The target columns and the names they go by.
 TARGETS = ("id", "date", "value")
@@ -103,7 +103,7 @@ def column_evidence(df: DataFrame, cols: Sequence[str] | None = None, approximat
         *([F.approx_count_distinct(text).alias("_u")] if approximate else []),
     )
     if not approximate:
-        hashes = [F.when(t.isNotNull(), F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))) for t in texts]
+        hashes = [F.when(t.isNotNull(), value_hash(t)) for t in texts]
         marks = df.select(F.posexplode(F.array(*hashes)).alias("_p", "h")).where("h is not null")
         counts = marks.select("_p", "h.a", "h.b").distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_u"))
         shares = shares.join(F.broadcast(counts), "_p", "left")  # a row for each column

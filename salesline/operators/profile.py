@@ -25,26 +25,39 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t.split("(")[0] in NUMERIC]
 
 
+def value_hash(value: Column) -> Column:
+    """128 bits that tell values apart."""
+    return F.struct(F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
+
+
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """One row per column: type, known and unknown cells, share unknown, distinct values, an example.
 
-    All columns are profiled in one pass; ``approximate`` trades exact distinct counts for a sketch.
+    Distinct values are counted in a second pass, by hashes of 128 bits; ``approximate`` takes a sketch in the first one
+    instead. Nested values, whose hashes pass over nulls, are counted as they are.
     """
     cols, types = list(cols or df.columns), dict(df.dtypes)
+    nested = [types[c].startswith(("struct", "array", "map")) for c in cols]
+    hashed = [] if approximate else [i for i, n in enumerate(nested) if not n]
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     row = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(c).alias(f"_n{i}") for i, c in enumerate(cols)],
-        *[distinct(F.col(c)).alias(f"_u{i}") for i, c in enumerate(cols)],
+        *[distinct(F.col(c)).alias(f"_u{i}") for i, c in enumerate(cols) if i not in hashed],
         *[F.min(F.col(c).cast("string")).alias(f"_e{i}") for i, c in enumerate(cols)],
     )
+    if hashed:
+        marks = [F.when(F.col(c).isNotNull(), value_hash(F.col(c))) for c in (cols[i] for i in hashed)]
+        cells = df.select(F.posexplode(F.array(*marks)).alias("_p", "h")).where("h is not null")
+        found = cells.select("_p", "h.a", "h.b").distinct()
+        row = row.crossJoin(found.agg(*[F.count_if(F.col("_p") == at).alias(f"_u{i}") for at, i in enumerate(hashed)]))
     entries = [
         F.struct(
             F.lit(c).alias("column"),
             F.lit(types[c]).alias("type"),
             F.col(f"_n{i}").alias("known"),
             (F.col("_rows") - F.col(f"_n{i}")).alias("unknown"),
-            F.round((F.col("_rows") - F.col(f"_n{i}")) / F.col("_rows") * 100, 1).alias("unknown_pct"),
+            F.round(F.try_divide(F.col("_rows") - F.col(f"_n{i}"), F.col("_rows")) * 100, 1).alias("unknown_pct"),
             F.col(f"_u{i}").alias("distinct"),
             F.col(f"_e{i}").alias("example"),
         )

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesline.functions import parsing
-from salesline.operators import combine, conform, metrics, report, repair, requests
+from salesline.operators import combine, conform, metrics, profile, report, repair, requests
 from salesline.sources import files, json_files
 
 
@@ -136,6 +136,27 @@ def test_headers_need_no_sort_of_lines(spark, tmp_path, capsys):
     assert "SortAggregate" not in capsys.readouterr().out
 
 
+def test_only_sampled_rows_are_repaired(spark):
+    df = spark.createDataFrame([(i, f"2024-{13 + i % 5}-05") for i in range(40)], "rid long, t string")
+    seen = []
+
+    def repaired(rows):
+        seen.append(rows.count())
+        return repair.repair_dates(rows.withColumn("date", parsing.day_first_date(F.col("t"))), "t").select("rid", "date")
+
+    got = repair.repair_sample(df.orderBy(F.desc("rid")), ["rid"], 3, repaired)
+    assert seen == [3] and [(r["rid"], r["date"]) for r in got.collect()] == [(i, dt.date(2024, 5, 13 + i)) for i in range(3)]
+
+
+def test_profile_repeats_no_row_for_a_column(spark, capsys):
+    df = spark.createDataFrame([("a", 1.5, (None, "x")), ("a", 0.0, ("x", None)), (None, -0.0, None)], "t string, x double, s struct<a:string,b:string>")
+    found = profile.column_profile(df)
+    assert [(r["column"], r["known"], r["unknown"], r["distinct"]) for r in found.collect()] == [("t", 2, 1, 1), ("x", 3, 0, 2), ("s", 2, 1, 2)]
+    assert [r["distinct"] for r in profile.column_profile(df.where("false")).collect()] == [0, 0, 0]
+    profile.column_profile(df, ["t", "x"]).explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_fingerprint_ignores_order(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "i int, s string")
     b = spark.createDataFrame([(None, 2), ("x", 1)], "s string, i int")
