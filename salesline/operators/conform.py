@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesline.functions.parsing import (
-    clean_number, day_first_date, first_digits, normalized_name, parsed_timestamp, plain_number,
+    clean_number, day_first_date, first_digits, normalized_name, numbers, parsed_timestamp,
 )
 from salesline.operators.profile import numeric_columns, value_hash
 
@@ -238,9 +238,10 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def apply_mapping(df: DataFrame, mapping: dict[str, str], extra_prefix: str = "") -> DataFrame:
-    """The typed targets, then all other columns under their own or a prefixed name."""
-    typed = {"id": first_digits, "date": day_first_date, "value": clean_number}
+def apply_mapping(df: DataFrame, mapping: dict[str, str], extra_prefix: str = "", value: Column | None = None) -> DataFrame:
+    """The typed targets, then all other columns under their own or a prefixed name. ``value`` is that target, if it is
+    parsed already."""
+    typed = {"id": first_digits, "date": day_first_date, "value": clean_number if value is None else lambda _: value}
     cols = [typed.get(t, lambda c: c)(F.col(f"`{c}`")).alias(t) for t, c in mapping.items()]
     taken = set(mapping.values())
     for c in df.columns:
@@ -271,15 +272,10 @@ def conform(
         mapping = fallback_mapping(df.sparkSession, evidence, mapping)
     require_targets(mapping)
     parts = find_value_parts(df.columns) if recompute else None
-    rows = df
-    if parts:
-        product = plain_number(_as_text(df, parts[0])) * plain_number(_as_text(df, parts[1]))
-        rows = rows.withColumn("_product", product)
-    out = apply_mapping(rows, mapping, extra_prefix)
-    if parts:
-        computed = f"{extra_prefix}_product"
-        out = out.withColumn("value", F.coalesce("value", computed)).drop(computed)
-    return out, mapping
+    found = [F.get("_numbers", F.lit(i)) for i in range(3)]
+    rows = df.withColumn("_numbers", numbers([_as_text(df, mapping["value"])], [_as_text(df, p) for p in parts or ()]))
+    value = F.coalesce(found[0], found[1] * found[2]) if parts else found[0]
+    return apply_mapping(rows, mapping, extra_prefix, value).drop(f"{extra_prefix}_numbers"), mapping
 
 
 def detect_report_columns(

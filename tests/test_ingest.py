@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,3 +262,29 @@ def test_copies_and_unreadable_files(spark, tmp_path):
 def test_request_dates_in_tables(spark, text, want):
     got = spark.createDataFrame([(text,)], "t string").select(parsing.request_timestamp(F.col("t")).cast("string").alias("d")).first()["d"]
     assert got == want
+
+
+def test_conform_is_compiled(spark, capsys):
+    """The JVM compiles no method of more than 8,000 bytes: whatever makes the texts must not be fused with all parsers."""
+    from salesline.plans.sources import conformed
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        conformed(spark, "/root/testdata/sf0.001").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_conform_numbers(spark):
+    rows = [("1", "2024-01-02", "3,5 €", "2", "4"), ("2", "2024-01-02", "-", "2", "4,5"), ("3", "2024-01-02", None, "n/a", "1")]
+    df = spark.createDataFrame(rows, "id string, date string, total string, qty string, price string")
+    mapping = {"id": "id", "date": "date", "value": "total"}
+    for prefix in ("", "extra_"):
+        out, _ = conform.conform(df, mapping, extra_prefix=prefix)
+        assert out.columns == ["id", "date", "value", f"{prefix}qty", f"{prefix}price"]
+        assert [r["value"] for r in out.orderBy("id").collect()] == [3.5, 9.0, None]
+    plain, _ = conform.conform(df, mapping, recompute=False)
+    assert [r["value"] for r in plain.orderBy("id").collect()] == [3.5, None, None]
