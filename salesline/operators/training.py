@@ -410,11 +410,13 @@ class Bundle:
 def recompute_bias(bundle: Bundle, df: DataFrame, horizon: int, target: str = "value") -> tuple[Bundle, DataFrame]:
     """The bundle with its bias recomputed on the last dates of raw series, and the figures it comes from.
 
-    The features are built again from the series; the correction is minus the mean error of the uncorrected scores.
+    The features are built again from the series, in one pass that stores them; the correction is minus the mean error of
+    the uncorrected scores.
     """
-    rows = training_rows(bundle.table(df), bundle.features)
+    rows = cut_lineage(training_rows(bundle.table(df), bundle.features))
     held = dataset.split_by_time(rows, horizon).where("split = 'test'")
     scored = predict(bundle.model, held).withColumn("yhat", replace(bundle.post, bias=0.0).original(F.col("yhat")))
     found = metrics.error_metrics(scored, target).select("n", "bias", (-F.col("bias")).alias("bias_correction"))
+    found = cut_lineage(found)
     bias = found.first()["bias_correction"]
     return replace(bundle, post=replace(bundle.post, bias=float(bias), bias_in_log=False)), found

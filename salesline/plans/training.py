@@ -146,9 +146,9 @@ def all_backends(spark, sf):
 BUNDLE_FEATURES = [*MODEL_FEATURES, *SERIES, "store_id_target_enc", "product_id_target_enc", "store_dayofweek", "month_store", "price"]
 
 
-def stored_bundle(spark, sf, make):
+def stored_bundle(spark, daily, make):
     """A model trained on the feature table with codes and target means, written with all it needs and read back."""
-    table, encoders = features.build_features(sales_daily(spark, sf))
+    table, encoders = features.build_features(daily)
     rows = features.training_rows(table, BUNDLE_FEATURES).select(*SERIES, "date", "value", *[c for c in BUNDLE_FEATURES if c not in SERIES])
     train = dataset.split_by_time(cut_lineage(rows), 28).where("split = 'train'")
     path = scratch(spark)
@@ -159,8 +159,9 @@ def stored_bundle(spark, sf, make):
 @query("h16_recomputed_bias")
 def recomputed_bias(spark, sf):
     """The bias of a stored linear model, on features built again from the series."""
-    bundle = stored_bundle(spark, sf, lambda train: training.fit(train, BUNDLE_FEATURES, training.BACKENDS["linear"]("value")))
-    return training.recompute_bias(bundle, sales_daily(spark, sf), 28)[1]
+    daily = cut_lineage(sales_daily(spark, sf))
+    bundle = stored_bundle(spark, daily, lambda train: training.fit(train, BUNDLE_FEATURES, training.BACKENDS["linear"]("value")))
+    return training.recompute_bias(bundle, daily, 28)[1]
 
 
 # The longest lag leaves out the first 28 days of a series; windows need fewer.
@@ -173,9 +174,10 @@ CHECKED_SQL = f"""WITH {DAILY_SQL}, known AS (SELECT date FROM (SELECT date, row
 def corrected_model(spark, sf):
     """A stored forest whose bias is recomputed, and whose corrected scores of the same rows are unbiased."""
     forest = RandomForestRegressor(labelCol="value", featuresCol="features", predictionCol="yhat", numTrees=10, maxDepth=5, seed=42)
-    bundle = stored_bundle(spark, sf, lambda train: training.fit(train, BUNDLE_FEATURES, forest))
-    corrected, _ = training.recompute_bias(bundle, sales_daily(spark, sf), 28)
-    scored = training.predict(corrected.model, features.training_rows(corrected.table(sales_daily(spark, sf)), BUNDLE_FEATURES))
+    daily = cut_lineage(sales_daily(spark, sf))
+    bundle = stored_bundle(spark, daily, lambda train: training.fit(train, BUNDLE_FEATURES, forest))
+    corrected, _ = training.recompute_bias(bundle, daily, 28)
+    scored = training.predict(corrected.model, cut_lineage(features.training_rows(corrected.table(daily), BUNDLE_FEATURES)))
     scored = scored.withColumn("yhat", corrected.post.corrected(F.col("yhat")))
     held = dataset.split_by_time(scored, 28).where("split = 'test'")
     return held.agg(F.count(F.lit(1)).alias("n"), (F.abs(F.avg(F.col("yhat") - F.col("value"))) < 1e-6).alias("unbiased"))
@@ -184,8 +186,9 @@ def corrected_model(spark, sf):
 @query("i4_recursive_trees")
 def recursive_trees(spark, sf):
     """Boosted trees of a stored bundle, forecasting all series a week ahead."""
-    bundle = stored_bundle(spark, sf, lambda train: fit_trees(train, BUNDLE_FEATURES))
-    return bundle.forecast(sales_daily(spark, sf), 7, seasonal=True)
+    daily = cut_lineage(sales_daily(spark, sf))
+    bundle = stored_bundle(spark, daily, lambda train: fit_trees(train, BUNDLE_FEATURES))
+    return bundle.forecast(daily, 7, seasonal=True)
 
 
 @query(

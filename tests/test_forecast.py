@@ -271,3 +271,34 @@ def test_training_queries_are_of_full_size(spark, monkeypatch):
         folds=folded.select("fold").distinct().count(), trials=len(list(trials)), patience=patience) or [])
     plans.parameter_search(spark, "")
     assert called == {"folds": 5, "trials": 50, "patience": 50} and min(training.SEARCH_SPACE["maxIter"]) >= 500
+
+
+def counted(df):
+    """The rows of ``df``, and a count of how often one is read."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def mark(row):
+        seen.add(1)
+        return row
+
+    return df.sparkSession.createDataFrame(df.rdd.map(mark), df.schema), seen
+
+
+def test_bias_reads_the_series_once(model_data):
+    df, _, names = model_data
+    table, encoders = features.build_features(df, lags=(1, 7), sizes=(7,))
+    model = training.fit(features.training_rows(table, names), names, training.BACKENDS["linear"]("value"))
+    rows, seen = counted(df)
+    _, found = training.recompute_bias(training.Bundle(model, names, encoders, lags=(1, 7), windows=(7,)), rows, 14)
+    assert found.count() == 1
+    assert seen.value == df.count()
+
+
+def test_bias_query_reads_the_lines_once(spark, monkeypatch):
+    from salesline.plans import training as plans
+
+    daily = plans.sales_daily(spark, "/root/testdata/sf0.001")
+    rows, seen = counted(daily)
+    monkeypatch.setattr(plans, "sales_daily", lambda *_: rows)
+    assert plans.recomputed_bias(spark, "").count() == 1
+    assert seen.value == daily.count()
