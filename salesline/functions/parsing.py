@@ -68,9 +68,10 @@ def parsed_timestamp(text: Column) -> Column:
 
     Days and months may have one digit. A second number above 12 after a day is the day, and the first the month.
     Minutes, seconds and fractions may be missing; a zone's offset is taken off. One pattern writes the parts in the order
-    of a timestamp, which is then cast.
+    of a timestamp, which is then cast. It has 8 signs at least and starts with a digit or a blank, so that other texts need
+    no pattern.
     """
-    stamp = F.regexp_replace(text, STAMP, PARTS)
+    stamp = F.regexp_replace(F.when((F.octet_length(text) >= 8) & (F.ascii(text) <= ord("9")), text), STAMP, PARTS)
     at = F.substring_index(F.substring(stamp, 2, 40), "|", 1).try_cast("timestamp_ntz")
     hours = F.substring_index(F.substring_index(stamp, "|", -2), "|", 1)
     minutes = F.substring_index(stamp, "|", -1).try_cast("int")

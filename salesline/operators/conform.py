@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from salesline.functions.parsing import (
     clean_number, day_first_date, first_digits, normalized_name, numbers, parsed_timestamp,
 )
-from salesline.operators.profile import numeric_columns, value_hash
+from salesline.operators.profile import numeric_columns
 
 # The target columns and the names they go by.
 TARGETS = ("id", "date", "value")
@@ -88,25 +88,28 @@ def _as_text(df: DataFrame, c: str) -> Column:
 def column_evidence(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """One row per column: share of known cells that are dates or numbers, distinct values per row.
 
-    The shares come from one narrow stream of cells, reduced to a row for each column where it is read, so that the code
-    of both parsers stays small enough to be compiled. Distinct values are counted in a second pass, by hashes of 128 bits.
+    One pass makes a narrow stream of cells. Equal cells of a column are counted together first, so that each different
+    text is parsed once and the distinct values are those that are left; ``approximate`` parses every cell where it is read
+    and takes a sketch instead, so that nothing but a row for each column is shuffled.
     """
     cols = list(cols or df.columns)
-    texts = [_as_text(df, c) for c in cols]
-    text = F.col("_text")
-    cells = df.select(F.posexplode(F.array(*texts)).alias("_p", "_text"))
+    text, times = F.col("_text"), F.col("_times")
+    cells = df.select(F.posexplode(F.array(*[_as_text(df, c) for c in cols])).alias("_p", "_text"))
+    if approximate:
+        cells, distinct = cells.withColumn("_times", F.lit(1)), F.approx_count_distinct(text)
+    else:
+        cells, distinct = cells.groupBy("_p", "_text").agg(F.count(F.lit(1)).alias("_times")), F.count(text)
+
+    def cells_with(found: Column) -> Column:
+        return F.sum(F.when(found.isNotNull(), times).otherwise(0))
+
     shares = cells.groupBy("_p").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(text).alias("known"),
-        F.count(parsed_timestamp(text)).alias("_dates"),
-        F.count(clean_number(text)).alias("_numbers"),
-        *([F.approx_count_distinct(text).alias("_u")] if approximate else []),
+        F.sum(times).alias("rows"),
+        cells_with(text).alias("known"),
+        cells_with(parsed_timestamp(text)).alias("_dates"),
+        cells_with(clean_number(text)).alias("_numbers"),
+        distinct.alias("_u"),
     )
-    if not approximate:
-        hashes = [F.when(t.isNotNull(), value_hash(t)) for t in texts]
-        marks = df.select(F.posexplode(F.array(*hashes)).alias("_p", "h")).where("h is not null")
-        counts = marks.select("_p", "h.a", "h.b").distinct().groupBy("_p").agg(F.count(F.lit(1)).alias("_u"))
-        shares = shares.join(F.broadcast(counts), "_p", "left")  # a row for each column
 
     def share(part: str) -> Column:
         return F.coalesce(F.try_divide(F.col(part), F.col("known")), F.lit(0.0))
@@ -116,7 +119,7 @@ def column_evidence(df: DataFrame, cols: Sequence[str] | None = None, approximat
         "known",
         share("_dates").alias("date_share"),
         share("_numbers").alias("number_share"),
-        (F.coalesce("_u", F.lit(0)) / F.col("rows")).alias("distinct_share"),
+        (F.col("_u") / F.col("rows")).alias("distinct_share"),
     )
 
 

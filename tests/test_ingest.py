@@ -288,3 +288,39 @@ def test_conform_numbers(spark):
         assert [r["value"] for r in out.orderBy("id").collect()] == [3.5, 9.0, None]
     plain, _ = conform.conform(df, mapping, recompute=False)
     assert [r["value"] for r in plain.orderBy("id").collect()] == [3.5, None, None]
+
+
+def test_evidence_reads_once(spark):
+    """The rows are read in one pass, and each different text is parsed once."""
+    from salesline.plans.sources import text_rows
+
+    plan = conform.column_evidence(text_rows(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") and len(re.findall(r"Relation \[[^\]]*l_shipdate", plan)) == 1
+
+
+@pytest.mark.parametrize("approximate", [False, True])
+def test_evidence_counts(spark, approximate):
+    rows = [("2024-01-02", "1", None), ("2024-01-02", "x", None), ("soon", "2", None), (None, "2", None)]
+    out = conform.column_evidence(spark.createDataFrame(rows, "a string, b string, c string"), approximate=approximate)
+    found = {r["column"]: tuple(r)[1:] for r in out.collect()}
+    assert found["a"] == (3, pytest.approx(2 / 3), 0.0, 0.5)
+    assert found["b"] == (4, 0.0, 0.75, 0.75)
+    assert found["c"] == (0, 0.0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("1/2/2024", dt.datetime(2024, 2, 1)),
+        ("20240102", dt.datetime(2024, 1, 2)),
+        (" \t2024-1-2", dt.datetime(2024, 1, 2)),
+        ("\n\x0b1/2/2024 ", dt.datetime(2024, 2, 1)),
+        ("2024-01-02 03:04+01:00", dt.datetime(2024, 1, 2, 2, 4)),
+        ("1/2/202", None),
+        ("store 2024-01-02", None),
+        ("\x012024-01-02", None),
+        ("", None),
+    ],
+)
+def test_stamps_at_the_edge(spark, text, want):
+    assert one(spark, text, parsing.parsed_timestamp) == want
