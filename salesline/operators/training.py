@@ -12,7 +12,7 @@ from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -96,17 +96,28 @@ def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegr
 
 def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor, patience: int) -> GBTRegressionModel:
     """Spark's own early stop has no patience: fits of a doubling number of trees, which begin alike, are compared by
-    their errors after each tree."""
+    their errors after each tree. The first has few trees more than the fewest that can end a fit."""
     most = estimator.getMaxIter()
-    trees = min(most, 2 * patience)
+    trees = min(most, patience + patience // 5 + 1)
     while True:
         model = estimator.copy({estimator.maxIter: trees}).fit(known)
         best, stopped = early_stop(model.evaluateEachIteration(held, "squared"), patience)
         if stopped or trees == most:
-            return model if best == trees else estimator.copy({estimator.maxIter: best}).fit(known)
+            return model if best == trees else first_trees(model, best)
         trees = min(most, 2 * trees)
 
 
+def first_trees(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The model of the first ``trees`` trees, which a fit of so many trees would give again."""
+    context = SparkContext._active_spark_context
+    ml = context._jvm.org.apache.spark.ml.regression
+    kept = context._gateway.new_array(ml.DecisionTreeRegressionModel, trees)
+    weights = context._gateway.new_array(context._jvm.double, trees)
+    for i, tree in enumerate(model.trees[:trees]):
+        kept[i], weights[i] = tree._java_obj, model.treeWeights[i]
+    return model._copyValues(GBTRegressionModel(ml.GBTRegressionModel(model.uid, kept, weights, model.numFeatures)), {model.maxIter: trees})
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features")
 
@@ -132,6 +143,8 @@ class Trial:
 
 
 LEDGER = "params string, fold int, rmse double"
+# Training rows of a fit for each of its tasks: every level of every tree is a job, so that small tasks cost more than their rows.
+FIT_ROWS = 100_000
 
 
 def search(
@@ -142,21 +155,23 @@ def search(
     from_target: Callable[[DataFrame], DataFrame] | None = None,
     patience: int | None = None,
     ledger: str | None = None,
-    parallel: int = 4,
+    parallel: int | None = None,
 ) -> list[Trial]:
     """Mean RMSE over the expanding folds for each set of parameters, best first.
 
     ``folded`` has ``fold`` and ``role`` columns. With ``patience`` the validation rows of a fold stop its boosting, as
     in ``fit``. ``from_target`` turns ``yhat`` back to the original scale, with the observed value in ``value``.
 
-    The feature vectors are assembled and stored once, in a folder for each fold. ``parallel`` fits run side by side. Every
+    The feature vectors are assembled and stored once, in a folder for each fold. ``parallel`` fits run side by side, as many
+    as there are cores by default, each in a task for ``FIT_ROWS`` rows; those that may take longest begin first. Every
     finished pair of parameters and fold is a file of the ``ledger`` (a folder), from which an interrupted search goes on.
     """
     spark, trials = folded.sparkSession, list(trials)
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     assembler(features).transform(folded).drop(*[c for c in features if c != target]).write.partitionBy("fold").parquet(path)
     stored = spark.read.parquet(path)
-    folds = [r["fold"] for r in stored.select("fold").distinct().orderBy("fold").collect()]
+    counts = stored.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("rows")).orderBy("fold").collect()  # a row for each fold
+    folds = {r["fold"]: r["rows"] for r in counts}
     ledger = ledger or f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     spark.createDataFrame([], LEDGER).write.mode("overwrite").json(f"{ledger}/start")
     found = spark.read.schema(LEDGER).option("recursiveFileLookup", True).json(ledger).collect()  # a row for each fit
@@ -164,7 +179,7 @@ def search(
 
     def run(named: str, params: dict, fold: int) -> None:
         part = stored.where(F.col("fold") == fold)
-        known, held = part.where("role = 'train'"), part.where("role = 'validation'")
+        known, held = part.where("role = 'train'").coalesce(-(-folds[fold] // FIT_ROWS) or 1), part.where("role = 'validation'")
         estimator = boosted_trees(target, **params)
         model = boost_patiently(known, held, estimator, patience) if patience else estimator.fit(known)
         scored = model.transform(held).drop("features")
@@ -175,8 +190,9 @@ def search(
 
     names = [json.dumps(p, sort_keys=True) for p in trials]
     left = {(n, k): p for n, p in zip(names, trials, strict=True) for k in folds if (n, k) not in done}
-    with ThreadPoolExecutor(parallel) as pool:
-        for task in [pool.submit(inheritable_thread_target(spark)(run), n, p, k) for (n, k), p in left.items()]:
+    longest = sorted(left, key=lambda f: -folds[f[1]] * left[f].get("maxDepth", 5) / left[f].get("stepSize", 0.1))
+    with ThreadPoolExecutor(parallel or spark.sparkContext.defaultParallelism) as pool:
+        for task in [pool.submit(inheritable_thread_target(spark)(run), n, left[n, k], k) for n, k in longest]:
             task.result()
     errors = [[done[n, k] for k in folds] for n in names]
     return sorted((Trial(p, float(np.mean(e)), float(np.std(e))) for p, e in zip(trials, errors, strict=True)), key=lambda t: t.rmse)

@@ -256,6 +256,51 @@ def test_patient_boosting(spark):
     assert training.fit(noise, ["a", "b"], trees, "is_validation", patience=3).stages[-1].getNumTrees < 37
 
 
+def test_patient_boosting_fits_few_trees_once(spark, monkeypatch, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = [(float(i % 20), float(i % 7), float(i % 20) * (1 if i < 200 else -1), i >= 200) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, value double, is_validation boolean").coalesce(1).cache()
+    sizes = []
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, d, _fit=GBTRegressor._fit: sizes.append(self.getMaxIter()) or _fit(self, d))
+    trees = training.boosted_trees(maxIter=200, maxDepth=2, stepSize=0.1, subsamplingRate=0.7)
+    worse = training.fit(df, ["a", "b"], trees, "is_validation", patience=10)  # every tree raises the error on these rows
+    assert worse.stages[-1].getNumTrees == 1 and sizes == [13]
+    known = training.assembler(["a", "b"]).transform(df.where("not is_validation"))
+    whole, refit = (trees.copy({trees.maxIter: n}).fit(known) for n in (9, 4))
+    cut = training.first_trees(whole, 4)
+    assert cut.getNumTrees == 4 and cut.treeWeights == refit.treeWeights and cut.getMaxIter() == 4
+    assert cut.featureImportances == refit.featureImportances and cut.numFeatures == 2
+    expected = [r["yhat"] for r in refit.transform(known).collect()]
+    assert [r["yhat"] for r in cut.transform(known).collect()] == expected
+    PipelineModel(stages=[cut]).write().save(str(tmp_path / "cut"))
+    assert [r["yhat"] for r in PipelineModel.load(str(tmp_path / "cut")).transform(known).collect()] == expected
+
+
+def test_search_deals_few_rows_to_one_task(model_data, monkeypatch):
+    from salesline.operators import dataset
+
+    _, rows, names = model_data
+    folded = dataset.expanding_folds(rows, folds=2).repartition(8)
+    trials = [{"maxIter": n, "maxDepth": n, "subsamplingRate": 1.0} for n in (1, 2)]
+    seen = []
+
+    def watched(known, held, estimator, patience, _boost=training.boost_patiently):
+        seen.append((estimator.getMaxDepth() * known.count(), known.rdd.getNumPartitions()))
+        return _boost(known, held, estimator, patience)
+
+    monkeypatch.setattr(training, "boost_patiently", watched)
+    few = training.search(folded, names, trials, patience=2, parallel=1)
+    assert len(seen) == 4 and {tasks for _, tasks in seen} == {1}
+    assert [work for work, _ in seen] == sorted((work for work, _ in seen), reverse=True)  # the longest fits begin
+    monkeypatch.setattr(training, "FIT_ROWS", 1)
+    many = training.search(folded, names, trials, patience=2)
+    assert len(seen) == 8 and min(tasks for _, tasks in seen[4:]) > 1
+    assert [t.params for t in few] == [t.params for t in many]
+    assert [t.rmse for t in few] == pytest.approx([t.rmse for t in many], rel=1e-9)
+
+
 def test_training_queries_are_of_full_size(spark, monkeypatch):
     from salesline.plans import training as plans
 
