@@ -95,16 +95,17 @@ def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegr
 
 
 def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor, patience: int) -> GBTRegressionModel:
-    """Spark's own early stop has no patience: fits of a doubling number of trees, which begin alike, are compared by
-    their errors after each tree. The first has few trees more than the fewest that can end a fit."""
-    most = estimator.getMaxIter()
-    trees = min(most, patience + patience // 5 + 1)
+    """Spark's own early stop has no patience: fits of a growing number of trees, which begin alike, are compared by
+    their errors after each tree. Each has few trees more than the fewest that can end a fit after the smallest error so
+    far, but half as many again as the last at least, and twice as many if the error still falls."""
+    most, slack = estimator.getMaxIter(), patience // 5
+    trees = min(most, patience + slack + 1)
     while True:
         model = estimator.copy({estimator.maxIter: trees}).fit(known)
         best, stopped = early_stop(model.evaluateEachIteration(held, "squared"), patience)
         if stopped or trees == most:
             return model if best == trees else first_trees(model, best)
-        trees = min(most, 2 * trees)
+        trees = min(most, 2 * trees if trees - best <= slack else max(best + patience + slack + 1, trees * 3 // 2))
 
 
 def first_trees(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:

@@ -278,6 +278,21 @@ def test_patient_boosting_fits_few_trees_once(spark, monkeypatch, tmp_path):
     assert [r["yhat"] for r in PipelineModel.load(str(tmp_path / "cut")).transform(known).collect()] == expected
 
 
+def test_patient_boosting_grows_no_more_than_needed(monkeypatch):
+    from types import SimpleNamespace as Fake
+
+    def sizes(best, most=1000):
+        seen, errors = [], [abs(i - best + 1) for i in range(most)]
+        model = lambda n: Fake(evaluateEachIteration=lambda *_: errors[:n])
+        estimator = Fake(maxIter="n", getMaxIter=lambda: most, copy=lambda p: seen.append(p["n"]) or Fake(fit=lambda _: model(p["n"])))
+        assert training.boost_patiently(None, None, estimator, 50) in (best, None)
+        return seen
+
+    monkeypatch.setattr(training, "first_trees", lambda model, trees: trees)
+    assert sizes(1) == sizes(11) == [61] and sizes(30) == [61, 91] and sizes(45) == [61, 106]
+    assert sizes(60) == [61, 122] and sizes(400) == [61, 122, 244, 488]
+
+
 def test_search_deals_few_rows_to_one_task(model_data, monkeypatch):
     from salesline.operators import dataset
 
