@@ -58,7 +58,7 @@ def suffix_dedup(spark, docs, sf_dir):
 
     A character of which only some bytes stay is dropped; null texts stay null.
     """
-    cut = suffixes.replace_text(suffixes.cut_repeats(docs.select(*COLUMNS)))
+    cut = suffixes.cut_repeats(docs.select(*COLUMNS), replace=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(LETTERS)
     return with_text(cut.where(~F.coalesce(emptied, F.lit(False))), F.col("text"))
 

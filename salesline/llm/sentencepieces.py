@@ -72,13 +72,13 @@ class Vocabulary:
         self.keys, self.merged = np.array(keys, np.int64)[order], np.array(merged, np.int64)[order]
         self.pairs = dict(zip(self.keys.tolist(), self.merged.tolist(), strict=True))
         self.ranks = self.rank_of.tolist()
-        self.symbol_of = np.full(0x110001, -1, np.int64)
+        self.symbol_of = np.full(0x110001, -1, np.int32)
         for c, i in self.symbol.items():
             if len(c) == 1:
                 self.symbol_of[ord(c)] = i
         self.digits = [str(i) for i in range(len(self.pieces))]
         # the class of every character: itself below 256, the mark, unknown, or some other one of the vocabulary
-        self.class_of = np.full(0x110001, UNKNOWN, np.int64)
+        self.class_of = np.full(0x110001, UNKNOWN, np.int16)
         for c in {c for p in normal for c in p}:
             self.class_of[ord(c)] = BLANK if c == MARK else ord(c) if ord(c) < 256 else OTHER
         # whether two neighbours may be in one unit: some piece has them side by side (assumed of other characters)
@@ -113,7 +113,7 @@ class Vocabulary:
         done: list[list[int]] = [[] for _ in units]
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         unit = np.repeat(np.arange(len(units)), np.fromiter(map(len, units), np.int64, len(units)))
-        sym = self.symbol_of[np.minimum(codes, len(self.symbol_of) - 1)]
+        sym = self.symbol_of[np.minimum(codes, len(self.symbol_of) - 1)].astype(np.int64)
         foreign = np.zeros(len(units), bool)
         foreign[unit[sym < 0]] = True
         for i in np.flatnonzero(foreign).tolist():  # characters that no piece holds: they never merge
@@ -277,8 +277,7 @@ def encode_digests(documents: DataFrame, model_path: str, text: str = "text", ch
 def _run(documents, model_path, text, check, new, kind, rows) -> DataFrame:
     documents = without(documents, [f.name for f in new])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the remembered units hold no cycles, and walking them costs more than encoding
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model_path, check)
         library, end = encoder.vocabulary.library, encoder.vocabulary.end
         for whole in batches:
@@ -295,4 +294,11 @@ def _run(documents, model_path, text, check, new, kind, rows) -> DataFrame:
                 columns = [*batch.columns, *(pa.array(c, k) for c, k in zip(rows(texts, ids, decoded), kind, strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *(f.name for f in new)])
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the remembered units hold no cycles, and walking them costs more than encoding
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()  # later tasks use the same worker
+
     return documents.mapInArrow(trimmed(work), T.StructType([*documents.schema.fields, *new]))

@@ -368,13 +368,14 @@ def find_repeats(rows: DataFrame) -> DataFrame:
     return first.where(F.col("kind") == STRETCH).select("doc", "a", "b").unionByName(rest)
 
 
-def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text", replace: bool = False) -> DataFrame:
     """``documents`` with kept (binary, the bytes that stay), n_bytes, n_removed and n_spans.
 
     A byte goes if a string of ``LENGTH`` bytes covers it that also starts earlier: in a row of smaller id, or before
     it in the same text. Null text is empty; texts shorter than ``LENGTH`` stay; rows of equal or null id are
     ordered as ``numbered`` says. Stretches that touch count as one span. Columns of
-    the added names are replaced.
+    the added names are replaced. With ``replace`` the text becomes what is left of it (bytes that are no whole
+    character are dropped; an uncut text stays as it is) in the same pass, so that no task has more than one Python worker.
     """
     new = [T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     documents = without(documents, [*(f.name for f in new), "_doc", "_hit", "_spans"])
@@ -394,7 +395,7 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, texts = [], []
             for t, pairs in zip(batch.column(text).to_pylist(), batch.column("_spans").to_pylist(), strict=True):
                 raw, last, kept, spans_cut = (t or "").encode(), 0, [], 0
                 for a, b in sorted((p["a"], p["b"]) for p in pairs or ()):
@@ -404,6 +405,10 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
                     last = max(last, b)
                 body = b"".join([*kept, raw[last:]])
                 out.append((body, len(raw), len(raw) - len(body), spans_cut))
+                texts.append(body.decode("utf-8", "ignore") if len(body) < len(raw) else t)
+            if replace:
+                i = batch.schema.get_field_index(text)
+                batch = batch.set_column(i, batch.schema.field(i), pa.array(texts, batch.schema.field(i).type))
             body = list(zip(*out, strict=True)) or [()] * 4
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             columns = [batch.column(n) for n in names] + [pa.array(c, k) for c, k in zip(body, kinds, strict=True)]
@@ -411,25 +416,13 @@ def cut_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text") -
 
     quoted = [f"`{n}`" for n in names]
     flagged = rows.select(*quoted, "_doc").mapInArrow(trimmed(flag), T.StructType([*fields, T.StructField("_doc", T.LongType()), T.StructField("_hit", T.BooleanType())]))
-    hit = flagged.where("_hit").drop("_hit").join(spans.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    # merged, as a broadcast would leave flagging and cutting in one task, with a Python worker each
+    hit = flagged.where("_hit").drop("_hit").join(spans.withColumnRenamed("doc", "_doc").hint("merge"), "_doc", "left")
     body, nothing = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(0).cast("long")
     whole = [F.encode(body, "UTF-8").alias("kept"), F.octet_length(body).cast("long").alias("n_bytes"), nothing.alias("n_removed"), nothing.alias("n_spans")]
     rest = flagged.where("not _hit").select(*quoted, *whole)
     return rest.unionByName(hit.select(*quoted, "_spans").mapInArrow(trimmed(cut), T.StructType([*fields, *new])))
 
 
-def replace_text(cut: DataFrame, text: str = "text") -> DataFrame:
-    """The result of ``cut_repeats`` with what is left as its text; bytes that are no whole character are dropped."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(batch.column(text).to_pylist(), batch.column("kept").to_pylist(), batch.column("n_removed").to_pylist(), strict=True)
-            out = [t if not n else k.decode("utf-8", "ignore") for t, k, n in rows]
-            i = batch.schema.get_field_index(text)
-            yield batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
-
-    return cut.mapInArrow(trimmed(work), cut.schema)
-
-
 def digest(cut: DataFrame, doc: str = "doc_id") -> DataFrame:
     return cut.select(F.col(doc).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -165,6 +165,45 @@ def test_cut_repeats_awkward(spark):
     assert suffixes.cut_repeats(frame(spark, [])).count() == 0
 
 
+def test_cut_texts_replaced_in_the_same_pass(spark):
+    shared = "".join(f"é{i} " for i in range(60))
+    texts = {1: shared, 2: f"日本 {shared} 🙂", 3: None, 4: "", 5: "alone �", 6: "ĩ" + shared[1:]}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3)
+    plain = {r.doc_id: r for r in suffixes.cut_repeats(docs).collect()}
+    found = suffixes.cut_repeats(docs, replace=True)
+    assert found.columns == suffixes.cut_repeats(docs).columns
+    for r in found.collect():
+        p = plain[r.doc_id]
+        assert p.text == texts[r.doc_id] and (r.kept, r.n_removed, r.n_spans) == (p.kept, p.n_removed, p.n_spans)
+        assert r.text == (bytes(r.kept).decode("utf-8", "ignore") if r.n_removed else texts[r.doc_id])
+    assert {d for d, p in plain.items() if p.n_removed} == {2, 6} and plain[6].kept.decode("utf-8", "ignore") != plain[6].kept.decode("utf-8", "replace")
+
+
+def python_passes(plan):
+    """The most MapInArrow that follow each other in a plan without an exchange: a task has a Python worker for each."""
+    most, above = 0, []
+    for line in plan.splitlines():
+        if name := re.search(r"[A-Za-z]", line):
+            above = [x for x in above if x[0] < name.start()]
+            passes = above[-1][1] if above else 0
+            node = re.sub(r"^\*?\(\d+\) ", "", line[name.start() :])
+            above.append((name.start(), 0 if "Exchange" in node.split()[0] else passes + node.startswith("MapInArrow")))
+            most = max(most, above[-1][1])
+    return most
+
+
+def test_suffix_stage_runs_one_python_worker_a_task(spark, capsys):
+    import corpus_pipeline as p
+
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, "en", "s", 9), (2, f"own {text}", "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = p.suffix_dedup(spark, docs, SF)
+    out.explain()
+    assert python_passes(capsys.readouterr().out) == 1
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {1: text, 2: "own "} or got == {1: text, 2: "own"}
+
+
 # 3 search
 
 
@@ -363,6 +402,22 @@ def test_pieces_match_the_library(spark):
         assert r.decoded == library.decode(list(r.ids))
 
 
+def test_workers_collect_garbage_after_encoding(spark):
+    import gc
+
+    def collects(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for b in batches:
+            yield b.set_column(0, "id", pa.array([int(gc.isenabled())] * b.num_rows, pa.int64()))
+
+    docs = spark.range(64).selectExpr("id as doc_id", "concat('text ', id) as text").repartition(16)
+    assert sentencepieces.encode_decode(docs, MODEL).count() == 64
+    assert spark.range(0, 64, 1, 16).mapInArrow(collects, "id long").where("id = 0").count() == 0 and gc.isenabled()
+
+
 def test_agenda_on_random_text():
     encoder, rng = sentencepieces.Encoder(MODEL), random.Random(6)
     texts = ["".join(rng.choices("abcdefghinorst  ▁\n.é日🙂0", k=rng.randint(0, 80))) for _ in range(1000)]
