@@ -21,7 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesline.operators import dataset, encode, forecast, metrics
+from salesline.operators import boosting, dataset, encode, forecast, metrics
 from salesline.operators.features import Encoders, build_features, training_rows
 from salesline.operators.windows import LAGS, WINDOWS
 from salesline.session import checkpoint_dir, cut_lineage
@@ -94,10 +94,12 @@ def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegr
     return PipelineModel(stages=[stage, boost_patiently(known, held, estimator, patience)])
 
 
-def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor, patience: int) -> GBTRegressionModel:
-    """Spark's own early stop has no patience: fits of a growing number of trees, which begin alike, are compared by
+def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor | boosting.InTask, patience: int) -> GBTRegressionModel:
+    """A fit in one task counts errors as it grows. Spark's own early stop has no patience: fits of a growing number of trees, which begin alike, are compared by
     their errors after each tree. Each has few trees more than the fewest that can end a fit after the smallest error so
     far, but half as many again as the last at least, and twice as many if the error still falls."""
+    if isinstance(estimator, boosting.InTask):
+        return estimator.fit(known, held, patience)
     most, slack = estimator.getMaxIter(), patience // 5
     trees = min(most, patience + slack + 1)
     while True:
@@ -171,8 +173,8 @@ def search(
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     assembler(features).transform(folded).drop(*[c for c in features if c != target]).write.partitionBy("fold").parquet(path)
     stored = spark.read.parquet(path)
-    counts = stored.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("rows")).orderBy("fold").collect()  # a row for each fold
-    folds = {r["fold"]: r["rows"] for r in counts}
+    counts = stored.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("rows"), F.count(F.lit(1)).alias("all")).orderBy("fold").collect()  # a row for each fold
+    folds, cells = {r["fold"]: r["rows"] for r in counts}, {r["fold"]: r["all"] * len(features) for r in counts}
     ledger = ledger or f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     spark.createDataFrame([], LEDGER).write.mode("overwrite").json(f"{ledger}/start")
     found = spark.read.schema(LEDGER).option("recursiveFileLookup", True).json(ledger).collect()  # a row for each fit
@@ -181,7 +183,7 @@ def search(
     def run(named: str, params: dict, fold: int) -> None:
         part = stored.where(F.col("fold") == fold)
         known, held = part.where("role = 'train'").coalesce(-(-folds[fold] // FIT_ROWS) or 1), part.where("role = 'validation'")
-        estimator = boosted_trees(target, **params)
+        estimator = boosting.in_task(boosted_trees(target, **params), known, cells[fold])
         model = boost_patiently(known, held, estimator, patience) if patience else estimator.fit(known)
         scored = model.transform(held).drop("features")
         scored = from_target(scored) if from_target else scored

@@ -316,6 +316,88 @@ def test_search_deals_few_rows_to_one_task(model_data, monkeypatch):
     assert [t.rmse for t in few] == pytest.approx([t.rmse for t in many], rel=1e-9)
 
 
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Training and validation rows: a column of many values, one of few, one of no use."""
+    rng = np.random.default_rng(11)
+    a, b, c = rng.normal(size=900), rng.integers(0, 9, 900), rng.random(900)
+    y = 1e4 + 30 * a + 7 * (b % 3) + rng.normal(0, 9, 900)
+    rows = [(float(u), float(v), float(w), float(x), i >= 600) for i, (u, v, w, x) in enumerate(zip(a, b, c, y))]
+    df = training.assembler(["a", "b", "c"]).transform(spark.createDataFrame(rows, "a double, b double, c double, value double, held boolean"))
+    return df.where("not held").coalesce(1).cache(), df.where("held").coalesce(1).cache()
+
+
+@pytest.mark.parametrize("settings", [{"maxDepth": 1}, {"maxDepth": 4, "minInstancesPerNode": 20}, {"maxDepth": 7, "maxBins": 300, "minInfoGain": 2.0}])
+def test_trees_of_one_task_are_those_of_spark(noisy, tmp_path, settings):
+    from salesline.operators import boosting
+
+    known, held = noisy
+    estimator = training.boosted_trees(maxIter=8, subsamplingRate=1.0, **settings)
+    want, got = estimator.fit(known), boosting.InTask(estimator).fit(known)
+    assert [t.numNodes for t in got.trees] == [t.numNodes for t in want.trees]
+    assert got.treeWeights == want.treeWeights and got.numFeatures == 3 and got.extractParamMap() == want.extractParamMap()
+    for rows in (known, held):
+        a, b = ([r["yhat"] for r in m.transform(rows).collect()] for m in (got, want))
+        assert a == pytest.approx(b, rel=1e-9)
+    np.testing.assert_allclose(got.featureImportances.toArray(), want.featureImportances.toArray(), rtol=1e-6, atol=1e-9)
+    got.write().save(str(tmp_path / "model"))
+    assert type(got).load(str(tmp_path / "model")).toDebugString == got.toDebugString
+
+
+def test_one_task_stops_and_draws_as_spark(noisy):
+    from salesline.operators import boosting
+
+    known, held = noisy
+    trees = training.boosted_trees(maxIter=60, maxDepth=3, stepSize=0.1, subsamplingRate=1.0)
+    want, got = (training.boost_patiently(known, held, e, 5) for e in (trees, boosting.InTask(trees)))
+    assert 1 < got.getNumTrees == want.getNumTrees < 60
+    half = trees.copy({trees.subsamplingRate: 0.5, trees.maxIter: 20})
+    want, got, again = (e.fit(known) for e in (half, boosting.InTask(half), boosting.InTask(half)))
+    assert again.toDebugString.split("\n")[1:] == got.toDebugString.split("\n")[1:]
+    error = [training.metrics.error_metrics(m.transform(known)).first()["rmse"] for m in (want, got)]
+    assert error[1] != error[0] and error[1] == pytest.approx(error[0], rel=0.05)
+
+
+def test_one_task_takes_only_what_it_knows(noisy, monkeypatch):
+    from pyspark.ml.feature import StringIndexer
+
+    from salesline.operators import boosting
+
+    known, _ = noisy
+    trees = training.boosted_trees(maxIter=2)
+    assert isinstance(boosting.in_task(trees, known, 2700), boosting.InTask)
+    assert boosting.in_task(trees, known, boosting.TASK_CELLS + 1) is trees
+    absolute = trees.copy({trees.lossType: "absolute"})
+    assert boosting.in_task(absolute, known, 2700) is absolute
+    codes = StringIndexer(inputCol="b", outputCol="code").fit(known).transform(known).drop("features")
+    assert boosting.in_task(trees, training.assembler(["code"]).transform(codes), 900) is trees
+    with pytest.raises(Exception, match="no rows to learn from"):
+        boosting.InTask(trees).fit(known.limit(0))
+    lost = known.sparkSession.createDataFrame([(float("nan"), 1.0), (2.0, 3.0)], "a double, value double")
+    with pytest.raises(Exception, match="no numbers"):  # as Spark
+        boosting.InTask(trees).fit(training.assembler(["a"]).transform(lost))
+    assert boosting.InTask(trees.copy({trees.subsamplingRate: 0.01})).fit(known.limit(3)).getNumTrees == 2  # bags may be empty
+
+
+def test_search_fits_in_one_task(model_data, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    from salesline.operators import boosting, dataset
+
+    _, rows, names = model_data
+    folded = dataset.expanding_folds(rows, folds=2)
+    trials = [{"maxIter": 30, "maxDepth": n, "stepSize": 0.3, "subsamplingRate": 1.0, "minInstancesPerNode": 20} for n in (1, 3)]
+    fits = []
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, d, _fit=GBTRegressor._fit: fits.append(self) or _fit(self, d))
+    one = training.search(folded, names, trials, patience=2)
+    assert not fits
+    monkeypatch.setattr(boosting, "TASK_CELLS", 0)
+    many = training.search(folded, names, trials, patience=2)  # folds too large for a task are Spark's
+    assert len(fits) >= 4
+    assert [t.params for t in one] == [t.params for t in many]
+    assert [t.rmse for t in one] == pytest.approx([t.rmse for t in many], rel=1e-9)
+
+
 def test_training_queries_are_of_full_size(spark, monkeypatch):
     from salesline.plans import training as plans
 
