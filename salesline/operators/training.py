@@ -95,9 +95,10 @@ def _fit_patiently(train: DataFrame, features: Sequence[str], estimator: GBTRegr
 
 
 def boost_patiently(known: DataFrame, held: DataFrame, estimator: GBTRegressor | boosting.InTask, patience: int) -> GBTRegressionModel:
-    """A fit in one task counts errors as it grows. Spark's own early stop has no patience: fits of a growing number of trees, which begin alike, are compared by
-    their errors after each tree. Each has few trees more than the fewest that can end a fit after the smallest error so
-    far, but half as many again as the last at least, and twice as many if the error still falls."""
+    """A fit in one task counts errors as it grows. Spark's own early stop has no patience: fits of a growing number of
+    trees, which begin alike, are compared by their errors after each tree. Each has few trees more than the fewest that
+    can end a fit after the smallest error so far, but half as many again as the last at least, and twice as many if the
+    error still falls."""
     if isinstance(estimator, boosting.InTask):
         return estimator.fit(known, held, patience)
     most, slack = estimator.getMaxIter(), patience // 5
@@ -166,14 +167,16 @@ def search(
     in ``fit``. ``from_target`` turns ``yhat`` back to the original scale, with the observed value in ``value``.
 
     The feature vectors are assembled and stored once, in a folder for each fold. ``parallel`` fits run side by side, as many
-    as there are cores by default, each in a task for ``FIT_ROWS`` rows; those that may take longest begin first. Every
-    finished pair of parameters and fold is a file of the ``ledger`` (a folder), from which an interrupted search goes on.
+    as there are cores by default, each in one task (``boosting.in_task``) or, if the fold is too large, in a task for
+    ``FIT_ROWS`` rows; those that may take longest begin first. Every finished pair of parameters and fold is a file of the
+    ``ledger`` (a folder), from which an interrupted search goes on.
     """
     spark, trials = folded.sparkSession, list(trials)
     path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     assembler(features).transform(folded).drop(*[c for c in features if c != target]).write.partitionBy("fold").parquet(path)
     stored = spark.read.parquet(path)
-    counts = stored.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("rows"), F.count(F.lit(1)).alias("all")).orderBy("fold").collect()  # a row for each fold
+    sizes = F.count_if(F.col("role") == "train").alias("rows"), F.count(F.lit(1)).alias("all")
+    counts = stored.groupBy("fold").agg(*sizes).orderBy("fold").collect()  # a row for each fold
     folds, cells = {r["fold"]: r["rows"] for r in counts}, {r["fold"]: r["all"] * len(features) for r in counts}
     ledger = ledger or f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     spark.createDataFrame([], LEDGER).write.mode("overwrite").json(f"{ledger}/start")
